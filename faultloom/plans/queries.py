@@ -1,6 +1,6 @@
 """All registered queries. Importing the modules fills the registry."""
 
-from faultloom.plans import q_intake, q_labels  # noqa: F401
+from faultloom.plans import q_agreement, q_intake, q_labels  # noqa: F401
 from faultloom.plans.registry import QUERIES
 
 __all__ = ["QUERIES"]
