@@ -6,7 +6,7 @@ import time
 from collections.abc import Callable, Iterator, Mapping
 from typing import Any
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -27,6 +27,12 @@ _COUNTS = [f.name for f in USAGE if f.name != "node_id"]
 LABELLED = T.StructType(
     [*LABELS.fields, *USAGE.fields[1:], T.StructField("error", T.StringType())]
 )
+_ARROW = {
+    T.StringType(): pa.string(),
+    T.DoubleType(): pa.float64(),
+    T.BooleanType(): pa.bool_(),
+    T.LongType(): pa.int64(),
+}
 
 
 def _attempt(labeller: Labeller, prompt: str, tries: int, wait: float) -> dict[str, Any]:
@@ -65,18 +71,18 @@ def label_prompts(
     if parallelism:
         prompts = prompts.repartition(parallelism)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeller = factory()
         for batch in batches:
+            ids, texts = (batch.column(name).to_pylist() for name in ("node_id", "prompt"))
             rows = [
-                {"node_id": node_id, **_attempt(labeller, prompt, tries, wait)}
-                for node_id, prompt in zip(batch["node_id"], batch["prompt"], strict=True)
+                {"node_id": node_id, **_attempt(labeller, text, tries, wait)}
+                for node_id, text in zip(ids, texts, strict=True)
             ]
-            frame = pd.DataFrame(rows, columns=LABELLED.names)
-            frame[_COUNTS] = frame[_COUNTS].astype("Int64")
-            yield frame
+            yield pa.RecordBatch.from_pylist(rows, schema)
 
-    return prompts.mapInPandas(run, LABELLED)
+    schema = pa.schema([(field.name, _ARROW[field.dataType]) for field in LABELLED])
+    return prompts.mapInArrow(run, LABELLED)
 
 
 def accepted(labelled: DataFrame) -> DataFrame:

@@ -50,9 +50,19 @@ def shared_dir(spark: SparkSession) -> str:
     return base
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return os.path.join(shared_dir(spark), f"faultloom-{spark.sparkContext.applicationId}")
+
+
 def scratch_path(spark: SparkSession, tag: str) -> str:
     """A path under the shared folder that no other run uses."""
-    return os.path.join(shared_dir(spark), f"faultloom-{tag}-{uuid.uuid4().hex}")
+    return os.path.join(_scratch_root(spark), f"{tag}-{uuid.uuid4().hex}")
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove what this application wrote to the shared folder. Call it when all results are out."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, tag: str) -> DataFrame:
