@@ -56,9 +56,9 @@ def merge_latest(
         return _newest_per_issue(tagged_old.unionByName(tagged_new))
     keys = new.select("node_id").distinct()
     touched = tagged_old.join(keys, "node_id", "left_semi")
-    return existing.join(keys, "node_id", "left_anti").unionByName(
-        _newest_per_issue(touched.unionByName(tagged_new))
-    )
+    untouched = existing.join(keys, "node_id", "left_anti")
+    merged = untouched.unionByName(_newest_per_issue(touched.unionByName(tagged_new)))
+    return merged.select(*existing.columns)
 
 
 def union_shards(*shards: DataFrame) -> DataFrame:
