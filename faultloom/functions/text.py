@@ -39,8 +39,13 @@ def contains_any(text: Column, terms: Sequence[str]) -> Column:
 
 
 def any_label_contains(labels: Column, terms: Sequence[str]) -> Column:
-    """True if any label, lower-cased, contains any term."""
-    return F.coalesce(F.exists(labels, lambda x: contains_any(F.lower(x), terms)), F.lit(False))
+    """True if any label, lower-cased, contains any term.
+
+    The labels are tested as one text. A NUL between them, which no term has,
+    keeps a term from matching across two labels; unlike a test per array
+    element this stays inside generated code.
+    """
+    return contains_any(or_empty(F.lower(F.array_join(labels, "\0"))), terms)
 
 
 def words(text: Column, stop_words: Sequence[str]) -> Column:

@@ -1 +1,5 @@
-"""Operators: functions from DataFrames to DataFrames. None of them runs a job by itself."""
+"""Operators: functions from DataFrames to DataFrames.
+
+Almost all are lazy. Linking writes its term vectors and stratified sampling
+its bucket counts to the shared folder when called.
+"""

@@ -141,9 +141,10 @@ def kappa_report(
         return report
     asked = F.explode(F.array(*[F.lit(axis) for axis in axes])).alias("axis")
     wanted = primary.sparkSession.range(1).select(asked)
-    # A left join against the asked-for axes keeps a row to raise from.
+    # A left join against the asked-for axes keeps a row to raise from. The report has a row per
+    # axis, so it is always broadcast.
     checked = F.when(F.col("n").isNull(), F.raise_error(F.lit(NO_OVERLAP))).otherwise(F.col("n"))
-    return wanted.join(report, "axis", "left").withColumn("n", checked.cast("long"))
+    return wanted.join(F.broadcast(report), "axis", "left").withColumn("n", checked.cast("long"))
 
 
 def mean_kappa(report: DataFrame, undefined: str = "null") -> DataFrame:

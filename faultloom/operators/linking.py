@@ -56,6 +56,7 @@ class _Texts(NamedTuple):
     issues: DataFrame  # node_id, text_id
     records: DataFrame  # corpus_id, external_id, text_id
     distinct: DataFrame  # text_id, text, n_issues, n_records
+    sizes: DataFrame  # n_chars, a row per issue and record
 
 
 def _texts(issues: DataFrame, records: DataFrame) -> _Texts:
@@ -75,6 +76,7 @@ def _texts(issues: DataFrame, records: DataFrame) -> _Texts:
         left.select("node_id", identity),
         right.select("corpus_id", "external_id", identity),
         distinct,
+        both.select(F.length("text").alias("n_chars")),
     )
 
 
@@ -94,8 +96,12 @@ def term_counts(texts: DataFrame, stop_words: Sequence[str], *keep: str) -> Data
 
 
 def document_frequency(texts: DataFrame, stop_words: Sequence[str], key: str) -> DataFrame:
-    """In how many texts each word or word pair occurs, and how often in all."""
-    return term_counts(texts, stop_words, key).groupBy("term").agg(
+    """In how many texts each word or word pair occurs, and how often in all.
+
+    Shuffling the texts by key, not the many terms made of them, lets each
+    text's terms be counted where the text is.
+    """
+    return term_counts(texts.repartition(key), stop_words, key).groupBy("term").agg(
         F.count("*").alias("df"), F.sum("tf").alias("occurrences")
     )
 
@@ -109,22 +115,26 @@ def _weighted_terms(
     marks terms some record contains; the others only matter for the norm.
 
     Frequent terms would be hot keys of the join of terms with frequencies.
-    At most ``_HOT_TERMS`` terms can each hold that fraction of all entries, so
-    these few are broadcast and their entries get a join key salted by text.
+    At most ``_HOT_TERMS`` terms can each hold more than that fraction of all
+    entries, so these few are broadcast and their entries get a join key salted
+    by text.
     """
-    n_texts = (
-        texts.issues.select(F.lit(1).alias("one"))
-        .unionByName(texts.records.select(F.lit(1).alias("one")))
-        .agg(F.count("*").cast("double").alias("n"))
-        .scalar()
-    )
+    # A text of n characters has at most 2 (n + 1) / 3 words and word pairs.
+    totals = (
+        texts.sizes.agg(
+            F.struct(
+                F.count("*").cast("double").alias("n_texts"),
+                (F.sum(F.col("n_chars") + 1) * 2 / 3 / _HOT_TERMS).alias("hot_from"),
+            ).alias("totals")
+        )
+    ).scalar()
+    n_texts, hot_from = totals["n_texts"], totals["hot_from"]
     counts = term_counts(texts.distinct, stop_words, "text_id", "n_issues", "n_records")
     frequency = counts.groupBy("term").agg(
         F.count("*").alias("entries"),
         F.sum(F.col("n_issues") + F.col("n_records")).alias("df"),
         F.max(F.col("n_records") > 0).alias("shared"),
     )
-    hot_from = frequency.agg((F.sum("entries") / _HOT_TERMS).alias("n")).scalar()
     hot = frequency.filter(F.col("entries") > hot_from).select(
         "term", F.col("df").alias("hot_df"), F.col("shared").alias("hot_shared")
     )
@@ -142,7 +152,8 @@ def _weighted_terms(
     )
     return (
         entries.join(
-            known.withColumnsRenamed({"key": "entry_key", "term": "entry_term"}),
+            # The vocabulary outgrows the estimate made from the text files; never broadcast it.
+            known.withColumnsRenamed({"key": "entry_key", "term": "entry_term"}).hint("merge"),
             ["entry_key", "entry_term"],
             "left",
         )

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from faultloom.session import materialize
+
 _BUCKET_DIGITS = 3
 
 
@@ -20,36 +22,32 @@ def sample_order(key: str, seed: int) -> Column:
     return F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")))
 
 
-def _take(df: DataFrame, targets: DataFrame | None, by: list[str], n: int, key: str, seed: int) -> DataFrame:
-    """The first rows in sample order of each group: ``n`` in all, or its ``target``.
-
-    ``targets`` has the columns ``by`` and ``target``, a row per group.
-    """
-    hashed = df.withColumn("_h", sample_order(key, seed)).withColumn(
+def _hashed(df: DataFrame, key: str, seed: int) -> DataFrame:
+    return df.withColumn("_h", sample_order(key, seed)).withColumn(
         "_b", F.substring("_h", 1, _BUCKET_DIGITS)
     )
-    counts = hashed.groupBy(*by, "_b").agg(F.count("*").alias("_n"))
-    if targets is None:
-        counts = counts.withColumn("target", F.lit(n))
-    else:
-        counts = _join_null_safe(counts, targets, by)
+
+
+def _bucket_counts(df: DataFrame, by: list[str], key: str, seed: int) -> DataFrame:
+    """Rows per group and bucket: at most 4,096 rows per group, from key and group columns only."""
+    return _hashed(df.select(*by, key), key, seed).groupBy(*by, "_b").agg(F.count("*").alias("_n"))
+
+
+def _take(df: DataFrame, counts: DataFrame, by: list[str], key: str, seed: int) -> DataFrame:
+    """The first ``target`` rows in sample order of each group.
+
+    ``counts`` are bucket counts with a ``target`` column. One scan of the
+    table joins the buckets that have room; the rows kept are shuffled by
+    bucket, and in a bucket that is cut the rank decides.
+    """
     before = F.sum("_n").over(
         Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     )
     room = F.least("_n", F.col("target") - F.coalesce(before, F.lit(0)))
-    rooms = counts.withColumn("_room", room).filter(F.col("_room") > 0)
-    # Each bucket is complete or cut. Rows of a cut bucket are the only ones that get ranked.
-    rooms = rooms.select(*by, "_b", "_room", (F.col("_room") < F.col("_n")).alias("_cut"))
-    kept = _join_null_safe(hashed, rooms, [*by, "_b"])
-    whole = kept.filter(~F.col("_cut")).select(*df.columns)
+    rooms = counts.withColumn("_room", room).filter(F.col("_room") > 0).select(*by, "_b", "_room")
+    kept = _join_null_safe(_hashed(df, key, seed), rooms, [*by, "_b"])
     rank = F.row_number().over(Window.partitionBy(*by, "_b").orderBy("_h", F.col(key)))
-    cut = (
-        kept.filter("_cut")
-        .withColumn("_rank", rank)
-        .filter(F.col("_rank") <= F.col("_room"))
-        .select(*df.columns)
-    )
-    return whole.unionByName(cut)
+    return kept.withColumn("_rank", rank).filter(F.col("_rank") <= F.col("_room")).select(*df.columns)
 
 
 def _join_null_safe(left: DataFrame, right: DataFrame, by: list[str]) -> DataFrame:
@@ -68,7 +66,8 @@ def random_sample(df: DataFrame, n: int, *, key: str = "node_id", seed: int = 42
     """Exactly ``n`` rows, or all of them where there are fewer."""
     if n <= 0:
         return df.limit(0)
-    return _take(df, None, [], n, key, seed)
+    counts = _bucket_counts(df, [], key, seed).withColumn("target", F.lit(n))
+    return _take(df, counts, [], key, seed)
 
 
 def _shave(rows: DataFrame, value: str, excess: str, result: str) -> DataFrame:
@@ -144,19 +143,34 @@ def stratified_sample(
     """Exactly ``n`` rows with every stratum present, or all rows where there are fewer.
 
     Without a stratum, or with more strata than ``n``, the sample is plain.
-    Null is a stratum like any other. Both counts are read before the plan is
-    chosen, one small aggregate over the stratum column.
+    Null is a stratum like any other. Bucket counts are written to the shared
+    folder first, at most 4,096 rows per stratum; the number of rows and strata
+    that decide between these cases is read from them.
     """
     if stratum is None:
         return random_sample(df, n, key=key, seed=seed)
-    sizes = stratum_sizes(df, stratum)
+    counts = materialize(_bucket_counts(df, [stratum], key, seed), "bucket-counts")
+    sizes = counts.groupBy(stratum).agg(F.sum("_n").alias("size"))
+    return _stratified(df, n, counts, sizes, stratum, None, key, seed)
+
+
+def _stratified(
+    df: DataFrame,
+    n: int,
+    counts: DataFrame,
+    sizes: DataFrame,
+    stratum: str,
+    weight: str | None,
+    key: str,
+    seed: int,
+) -> DataFrame:
     groups, rows = sizes.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
     if n >= rows:
         return df
     if n < groups:
         return random_sample(df, n, key=key, seed=seed)
-    targets = allocate(sizes, n, stratum=stratum).select(stratum, "target")
-    return _take(df, targets, [stratum], n, key, seed)
+    targets = allocate(sizes, n, stratum=stratum, weight=weight).select(stratum, "target")
+    return _take(df, _join_null_safe(counts, targets, [stratum]), [stratum], key, seed)
 
 
 def oversampled(
@@ -174,14 +188,15 @@ def oversampled(
     number, so rows worth looking at (flagged for review, disputed) get more room.
     """
     composite = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in strata])
-    tagged = df.withColumn("_stratum", composite).withColumn("_weight", weight)
-    sizes = tagged.groupBy("_stratum").agg(
-        F.count("*").alias("size"), F.sum("_weight").alias("weight")
+    tagged = df.withColumn("_stratum", composite)
+    counts = (
+        _hashed(tagged.withColumn("_weight", weight), key, seed)
+        .groupBy("_stratum", "_b")
+        .agg(F.count("*").alias("_n"), F.sum("_weight").alias("_w"))
     )
-    groups, rows = sizes.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
-    if n >= rows:
-        return df
-    if n < groups:
-        return random_sample(df, n, key=key, seed=seed)
-    targets = allocate(sizes, n, stratum="_stratum", weight="weight").select("_stratum", "target")
-    return _take(tagged, targets, ["_stratum"], n, key, seed).select(*df.columns)
+    counts = materialize(counts, "bucket-counts")
+    sizes = counts.groupBy("_stratum").agg(F.sum("_n").alias("size"), F.sum("_w").alias("weight"))
+    found = _stratified(
+        tagged, n, counts.drop("_w"), sizes, "_stratum", "weight", key, seed
+    )
+    return found.select(*df.columns)

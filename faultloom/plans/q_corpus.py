@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faultloom import dims
@@ -23,36 +23,40 @@ _WEEK_SQL = "strftime(classified_at, '%G-W%V')"
 
 
 def _order_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Orders as an existing table (even keys) and a newer one (every third key)."""
-    orders = views.table(spark, sf_dir, "orders")
+    """Orders as an existing table, and again as a newer run over all of them.
 
-    def side(rows: DataFrame, name: str, days: int) -> DataFrame:
-        labelled = F.col("o_orderdate").cast("timestamp") + F.make_dt_interval(days=F.lit(days))
-        return rows.select(
-            F.col("o_orderkey").cast("string").alias("node_id"),
-            F.when(F.col("o_orderkey") % 10 != 0, labelled).alias("classified_at"),
+    In the newer run every third order has an id of its own and every seventh
+    label is older than the one it meets; every tenth label has no time.
+    """
+    orders = views.table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey")
+    same_id = key.cast("string")
+    own_id = F.when(key % 3 == 1, F.concat(F.lit("N"), same_id)).otherwise(same_id)
+    days = F.when(key % 7 == 0, F.lit(-30)).otherwise(F.lit(30))
+
+    def side(name: str, node_id: Column, shift: Column) -> DataFrame:
+        labelled = F.col("o_orderdate").cast("timestamp") + F.make_dt_interval(days=shift)
+        return orders.select(
+            node_id.alias("node_id"),
+            F.when(key % 10 != 0, labelled).alias("classified_at"),
             F.col("o_orderdate").cast("timestamp").alias("updated_at"),
             F.col("o_orderpriority").alias("symptom"),
             F.lit(name).alias("side"),
         )
 
-    key = F.col("o_orderkey")
-    # Every seventh new label is older than the one it meets.
-    older = side(orders.filter((key % 3 == 0) & (key % 7 == 0)), "new", -30)
-    newer = side(orders.filter((key % 3 == 0) & (key % 7 != 0)), "new", 30)
-    return older.unionByName(newer), side(orders.filter(key % 2 == 0), "existing", 0)
+    return side("new", own_id, days), side("existing", same_id, F.lit(0))
 
 
 _SIDES_SQL = """
 sides AS (
   SELECT CAST(o_orderkey AS VARCHAR) AS node_id,
          CASE WHEN o_orderkey % 10 <> 0 THEN o_orderdate END AS classified_at,
-         o_orderpriority AS symptom, 'existing' AS side, 0 AS is_new FROM orders WHERE o_orderkey % 2 = 0
+         o_orderpriority AS symptom, 'existing' AS side, 0 AS is_new FROM orders
   UNION ALL
-  SELECT CAST(o_orderkey AS VARCHAR),
+  SELECT CASE WHEN o_orderkey % 3 = 1 THEN 'N' || o_orderkey ELSE CAST(o_orderkey AS VARCHAR) END,
          CASE WHEN o_orderkey % 10 <> 0 THEN o_orderdate
               + CASE WHEN o_orderkey % 7 = 0 THEN INTERVAL (-30) DAY ELSE INTERVAL 30 DAY END END,
-         o_orderpriority, 'new', 1 FROM orders WHERE o_orderkey % 3 = 0)"""
+         o_orderpriority, 'new', 1 FROM orders)"""
 
 _NEWEST_SQL = f"""WITH {_SIDES_SQL}
     SELECT node_id, {sql_iso("classified_at")} AS classified_at, symptom, side FROM sides
@@ -108,15 +112,14 @@ def shard_union(spark, sf_dir):
 
 
 def _revisioned(issues: DataFrame) -> DataFrame:
-    """Issues by the week of their label, with later revisions repeating every third issue."""
+    """Issues by the week of their label, and a later revision that holds all of them."""
     rows = issues.withColumn("revision", revision_tag(F.col("classified_at")))
-    again = issues.filter(F.col("issue_number") % 3 == 0).withColumn("revision", F.lit("2024-W51"))
-    return rows.unionByName(again)
+    return rows.unionByName(issues.withColumn("revision", F.lit("2024-W51")))
 
 
 _REVISIONS_SQL = f"""
 revs AS (SELECT *, {_WEEK_SQL} AS revision FROM v_issues
-         UNION ALL SELECT *, '2024-W51' FROM v_issues WHERE issue_number % 3 = 0)"""
+         UNION ALL SELECT *, '2024-W51' FROM v_issues)"""
 
 
 @query(
@@ -195,13 +198,14 @@ def snapshot_roundtrip(spark, sf_dir):
     SELECT node_id, CASE WHEN issue_number % 3 = 0 THEN 'loop' ELSE symptom END AS symptom FROM v_issues""",
 )
 def publish_roundtrip(spark, sf_dir):
-    """Two weeks published one after the other: the second relabels every third issue."""
+    """Two weeks published one after the other: a third of the second's labels are newer."""
     root, corpus = scratch_path(spark, "snapshots"), scratch_path(spark, "corpus")
     issues = views.issues(spark, sf_dir)
-    again = issues.filter(F.col("issue_number") % 3 == 0).withColumns(
+    days = F.when(F.col("issue_number") % 3 == 0, F.lit(7)).otherwise(F.lit(-7))
+    again = issues.withColumns(
         {
             "symptom": F.lit("loop"),
-            "classified_at": F.col("classified_at") + F.make_dt_interval(days=F.lit(7)),
+            "classified_at": F.col("classified_at") + F.make_dt_interval(days=days),
         }
     )
     for revision, rows in (("2024-W05", issues), ("2024-W06", again)):
@@ -366,8 +370,10 @@ def known_framework(spark, sf_dir):
 @query(
     "revision_diff",
     f"""{with_views(ISSUES_SQL)},
-    a AS (SELECT * FROM v_issues WHERE issue_number % 4 <> 0 AND framework_slug <> 'src3'),
-    b AS (SELECT * FROM v_issues WHERE issue_number % 5 <> 0 AND framework_slug <> 'src4')
+    a AS (SELECT node_id, framework_slug FROM v_issues),
+    b AS (SELECT CASE WHEN issue_number % 5 = 0 THEN node_id || 'x' ELSE node_id END AS node_id,
+                 CASE WHEN framework_slug = 'src4' THEN 'moved' ELSE framework_slug END AS framework_slug
+          FROM v_issues)
     SELECT 'issues' AS what, 'added' AS change, count(*) AS n FROM (SELECT node_id FROM b EXCEPT SELECT node_id FROM a)
     UNION ALL SELECT 'issues', 'removed', count(*) FROM (SELECT node_id FROM a EXCEPT SELECT node_id FROM b)
     UNION ALL SELECT 'frameworks', 'added', count(*) FROM (SELECT framework_slug FROM b EXCEPT SELECT framework_slug FROM a)
@@ -375,9 +381,16 @@ def known_framework(spark, sf_dir):
     UNION ALL SELECT 'taxonomy', 'added', 1 UNION ALL SELECT 'taxonomy', 'removed', 2""",
 )
 def revision_diff(spark, sf_dir):
-    issues = views.issues(spark, sf_dir)
-    old = issues.filter((F.col("issue_number") % 4 != 0) & (F.col("framework_slug") != "src3"))
-    new = issues.filter((F.col("issue_number") % 5 != 0) & (F.col("framework_slug") != "src4"))
+    old = views.issues(spark, sf_dir)
+    node_id, slug = F.col("node_id"), F.col("framework_slug")
+    new = old.withColumns(
+        {
+            "node_id": F.when(
+                F.col("issue_number") % 5 == 0, F.concat(node_id, F.lit("x"))
+            ).otherwise(node_id),
+            "framework_slug": F.when(slug == "src4", F.lit("moved")).otherwise(slug),
+        }
+    )
     labels = dims.taxonomy(spark)
     # A later taxonomy that drops one label and rewords another.
     reworded = F.when(F.col("label") == "loop", F.lit("Never ends.")).otherwise(F.col("definition"))

@@ -100,15 +100,18 @@ def prefilter_documents(spark, sf_dir):
 
 _CURSORS_SQL = """
 v_cursors AS (
-  SELECT framework_slug AS slug, max(updated_at) AS last_scraped_at FROM v_stream
-  WHERE issue_number % 1000 < 400 AND framework_slug < 'm' GROUP BY 1
+  SELECT framework_slug AS slug,
+         CASE WHEN framework_slug < 'm' THEN min(updated_at) + INTERVAL 10 DAY END AS last_scraped_at
+  FROM v_stream GROUP BY 1
 )"""
 
 
 def _cursors(stream: DataFrame) -> DataFrame:
-    """Cursors of some frameworks only, from the updates seen so far."""
-    seen = stream.filter((F.col("issue_number") % 1000 < 400) & (F.col("framework_slug") < "m"))
-    return intake.next_cursors(seen)
+    """Ten days after each framework's first update; the later slugs have no time yet."""
+    first = F.min("updated_at") + F.make_dt_interval(days=F.lit(10))
+    return stream.groupBy(F.col("framework_slug").alias("slug")).agg(
+        F.when(F.col("slug") < "m", first).alias("last_scraped_at")
+    )
 
 
 @query(

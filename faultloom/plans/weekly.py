@@ -38,6 +38,7 @@ class WeeklyRun:
     as_of: str
     corpus: str | None = None
     quarantine: str | None = None
+    usage: str | None = None
     only_framework: str | None = None
     cap: int | None = None
     labelling: Labelling = field(default_factory=Labelling)
@@ -92,6 +93,8 @@ def _labelled(kept: DataFrame, run: WeeklyRun, revision: str, clock) -> DataFram
     if run.quarantine:
         bad = labelling.rejected(labelled)
         bad.write.mode("overwrite").parquet(f"{run.quarantine}/{revision}/labels")
+    if run.usage:
+        labelling.usage(labelled).write.mode("overwrite").parquet(f"{run.usage}/{revision}")
     return rows.issue_rows(
         kept,
         labelling.accepted(labelled),

@@ -74,7 +74,7 @@ def type_payloads(payloads: DataFrame, known: DataFrame | None = None) -> DataFr
         "title",
         "body",
         F.col("html_url").alias("url"),
-        F.transform(F.coalesce("labels", F.array()), lambda x: x["name"]).alias("labels"),
+        F.coalesce("labels.name", F.array().cast("array<string>")).alias("labels"),
         "state",
         "author_association",
         F.col("pull_request").isNotNull().alias("is_pull_request"),

@@ -80,6 +80,12 @@ def read_revisions(spark: SparkSession, root: str) -> DataFrame:
     return _with_revision(spark, paths)
 
 
+def read_latest(spark: SparkSession, root: str) -> DataFrame:
+    """Issues of the newest revision under a root; only its files are read."""
+    newest = revisions(spark, root)[-1:]
+    return _with_revision(spark, [snapshot_table(root, name, "issues") for name in newest])
+
+
 def find_shards(spark: SparkSession, root: str) -> list[str]:
     """Every shard's issues table under a tree, sorted."""
     return fs.find(spark, root, "issues.parquet")

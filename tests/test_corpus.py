@@ -163,6 +163,8 @@ def test_revisions(spark, tmp_path):
     assert snapshots.revisions(spark, root) == ["2026-W09", "2026-W10"]
     rows = snapshots.read_revisions(spark, root)
     assert {r.node_id for r in curation.latest_revision(rows).collect()} == {"n1", "n2"}
+    assert {r.node_id for r in snapshots.read_latest(spark, root).collect()} == {"n1", "n2"}
+    assert snapshots.read_latest(spark, f"{root}/none").count() == 0
     row = stats.growth(rows, F.lit("2026-03-02").cast("timestamp")).first()
     assert (row.total_rows_across_revisions, row.classified_since, row.distinct_issues) == (3, 1, 2)
     old, new = (rows.filter(F.col("revision") == r) for r in ("2026-W09", "2026-W10"))
@@ -266,12 +268,13 @@ def test_only_framework_with_labeller_and_links(spark, tmp_path):
     def records(session):
         return session.createDataFrame([("mast", "1", "t", "websurfer crash after tool"), ("mast", "2", "t", "bakery revenue"), ("mast", "3", "t", "alpine towns")], "corpus_id string, external_id string, title string, text string")
 
-    run = weekly(tmp_path, only_framework="autogen", labelling=Labelling(factory, "v4_pro", "m1"), loaders={"mast": records})
+    run = weekly(tmp_path, only_framework="autogen", usage=str(tmp_path / "usage"), labelling=Labelling(factory, "v4_pro", "m1"), loaders={"mast": records})
     snapshot = run_weekly(spark, run)
     rows = spark.read.parquet(f"{snapshot}/issues.parquet").collect()
     assert [(r.node_id, r.classifier_model, r.symptom) for r in rows] == [("a", "m1", "crash")]
     links = spark.read.parquet(f"{snapshot}/cross_links.parquet").collect()
     assert [(r.node_id, r.external_id, r.method) for r in links] == [("a", "1", "semantic")]
+    assert [r.node_id for r in spark.read.parquet(f"{tmp_path}/usage/2026-W17").collect()] == ["a"]
     quarantine = f"{tmp_path}/quarantine/2026-W17"
     assert [r.problem for r in spark.read.parquet(f"{quarantine}/payloads").collect()] == ["unknown state"]
     assert [r.node_id for r in spark.read.parquet(f"{quarantine}/labels").collect()] == ["b"]

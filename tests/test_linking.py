@@ -87,7 +87,7 @@ def test_a_crowd_of_copies_is_linked_in_full(spark):
 
 
 def test_hot_terms_take_the_salted_way(spark, monkeypatch):
-    monkeypatch.setattr(linking, "_HOT_TERMS", 20)
+    monkeypatch.setattr(linking, "_HOT_TERMS", 40)
     monkeypatch.setattr(linking, "_SALTS", 4)
     issues = [(f"n{i}", f"common words{i % 7} planner step{i}") for i in range(40)]
     records = [(f"r{i}", f"common planner step{i} words{i}") for i in range(6)]
