@@ -60,8 +60,8 @@ class _Texts(NamedTuple):
 
 
 def _texts(issues: DataFrame, records: DataFrame) -> _Texts:
-    """Collapse equal texts; the SHA-256 of a text, as bytes, is its identity."""
-    identity = F.unhex(F.sha2("text", 256)).alias("text_id")
+    """Collapse equal texts; 128 bits of a text's SHA-256 are its identity."""
+    identity = F.unhex(F.substring(F.sha2("text", 256), 1, 32)).alias("text_id")
     left = issues.filter(F.col("text").isNotNull())
     right = records.filter(F.col("text").isNotNull())
     both = left.select(
@@ -80,16 +80,21 @@ def _texts(issues: DataFrame, records: DataFrame) -> _Texts:
     )
 
 
+def _terms(texts: DataFrame, stop_words: Sequence[str], *keep: str) -> DataFrame:
+    """``keep`` columns and ``terms``, the words and word pairs of each text."""
+    words = texts.select(*keep, tx.words(F.col("text"), stop_words).alias("words"))
+    return words.select(*keep, tx.unigrams_and_bigrams(F.col("words")).alias("terms"))
+
+
 def term_counts(texts: DataFrame, stop_words: Sequence[str], *keep: str) -> DataFrame:
     """Word and word-pair counts per text: ``keep`` columns, ``term``, ``tf``.
 
     The first of the kept columns identifies the text. Where the input is
     already partitioned by it, counting needs no shuffle.
     """
-    words = texts.select(*keep, tx.words(F.col("text"), stop_words).alias("words"))
-    terms = F.explode(tx.unigrams_and_bigrams(F.col("words")))
     return (
-        words.select(*keep, terms.alias("term"))
+        _terms(texts, stop_words, *keep)
+        .select(*keep, F.explode("terms").alias("term"))
         .groupBy(*keep, "term")
         .agg(F.count("*").alias("tf"))
     )
@@ -130,33 +135,32 @@ def _weighted_terms(
     ).scalar()
     n_texts, hot_from = totals["n_texts"], totals["hot_from"]
     counts = term_counts(texts.distinct, stop_words, "text_id", "n_issues", "n_records")
-    frequency = counts.groupBy("term").agg(
-        F.count("*").alias("entries"),
-        F.sum(F.col("n_issues") + F.col("n_records")).alias("df"),
-        F.max(F.col("n_records") > 0).alias("shared"),
+    # For frequencies a text's terms are made distinct within its row, before anything is grouped.
+    frequency = (
+        _terms(texts.distinct, stop_words, "n_issues", "n_records")
+        .select("n_issues", "n_records", F.explode(F.array_distinct("terms")).alias("term"))
+        .groupBy("term")
+        .agg(
+            F.count("*").alias("entries"),
+            F.sum(F.col("n_issues") + F.col("n_records")).alias("df"),
+            F.max(F.col("n_records") > 0).alias("shared"),
+        )
     )
     hot = frequency.filter(F.col("entries") > hot_from).select(
         "term", F.col("df").alias("hot_df"), F.col("shared").alias("hot_shared")
     )
     # A term of a single text needs no lookup: the text's own counts are its frequency.
+    # Sorting by a 64-bit hash is cheap; the term itself stays part of the key.
     known = frequency.filter(F.col("entries") > 1).select(
         F.xxhash64("term").alias("key"), "term", "df", "shared"
     )
-    # Sorting by a 64-bit hash is cheap; the term itself stays part of the key.
-    is_hot = F.col("hot_df").isNotNull()
     salt = F.pmod(F.xxhash64("text_id"), F.lit(_SALTS))
-    entries = counts.join(F.broadcast(hot), "term", "left").select(
-        "*",
-        F.when(is_hot, salt).otherwise(F.xxhash64("term")).alias("entry_key"),
-        F.when(is_hot, F.lit("")).otherwise(F.col("term")).alias("entry_term"),
-    )
+    key = F.when(F.col("hot_df").isNotNull(), salt).otherwise(F.xxhash64("term"))
     return (
-        entries.join(
-            # The vocabulary outgrows the estimate made from the text files; never broadcast it.
-            known.withColumnsRenamed({"key": "entry_key", "term": "entry_term"}).hint("merge"),
-            ["entry_key", "entry_term"],
-            "left",
-        )
+        counts.join(F.broadcast(hot), "term", "left")
+        .withColumn("key", key)
+        # The vocabulary outgrows the estimate made from the text files; never broadcast it.
+        .join(known.hint("merge"), ["key", "term"], "left")
         .withColumn("df", F.coalesce("hot_df", "df", F.col("n_issues") + F.col("n_records")))
         .withColumn("shared", F.coalesce("hot_shared", "shared", F.col("n_records") > 0))
         .filter(F.col("df") <= F.lit(max_share) * n_texts)
