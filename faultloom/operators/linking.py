@@ -8,13 +8,14 @@ in full. The steps:
 2. Term and document frequencies come from grouped counts that are combined
    before the shuffle. Weights need one join of the terms with their frequency,
    in which the hot terms, few by definition, are broadcast.
-3. Within a text, terms are ordered from rare to frequent. The prefix of an
-   issue ends where the norm of what follows drops below the threshold. The
-   rest of the vector can then add less than the threshold to any similarity,
-   so a pair that shares no prefix term cannot reach it (Bayardo, Ma, Srikant:
-   Scaling Up All Pairs Similarity Search, WWW 2007).
+3. Within a text, terms are ordered from rare to frequent. What a term and all
+   after it can add to a similarity is at most the norm of that part of the
+   issue times the largest norm any record has on terms that frequent. The
+   issue's prefix ends where this product drops below the threshold, so a pair
+   that shares no prefix term cannot reach it (prefix filtering after Bayardo,
+   Ma, Srikant: Scaling Up All Pairs Similarity Search, WWW 2007).
 4. Prefix terms are joined with the records' terms and summed per pair. A pair
-   survives if its sum plus the norm of the issue's rest reaches the threshold.
+   survives if its sum plus what the issue's rest can add reaches the threshold.
    The rest is added for the survivors only.
 5. Surviving pairs of texts are expanded to the issues and records behind them.
 
@@ -179,13 +180,13 @@ def _weighted_terms(
     )
 
 
-def _vectors(weighted: DataFrame, threshold: float) -> DataFrame:
-    """Unit vectors over shared terms: text_id, sides, term, w, in_prefix, rest_norm.
+def _vectors(weighted: DataFrame) -> DataFrame:
+    """Unit vectors over shared terms: text_id, sides, term, w, tail, level.
 
+    ``tail`` is the norm of a term together with the text's more frequent
+    terms, ``level`` the power of two its document frequency has reached.
     Terms no record has are first summed into one entry per text, as only the
-    norm needs them. Windows over a text's own entries, most frequent first,
-    give its norm and the running sums; ``rest_norm`` is the norm of what
-    follows the prefix.
+    norm needs them. The windows run over one text's own entries.
     """
     square = F.col("weight") * F.col("weight")
     entries = weighted.groupBy(
@@ -195,12 +196,9 @@ def _vectors(weighted: DataFrame, threshold: float) -> DataFrame:
     frequent_first = Window.partitionBy("text_id").orderBy(F.desc("df"), "term")
     to_here = frequent_first.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     whole = frequent_first.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    tail = F.sqrt(F.col("_running") / F.col("_total"))
-    outside = tail < F.lit(threshold - _SLACK)
     return (
         entries.withColumn("_total", F.sum("mass").over(whole))
         .withColumn("_running", F.sum(F.when(shared, F.col("mass")).otherwise(0.0)).over(to_here))
-        .withColumn("rest_norm", F.coalesce(F.max(F.when(outside, tail)).over(whole), F.lit(0.0)))
         .filter(shared)
         .select(
             "text_id",
@@ -208,25 +206,50 @@ def _vectors(weighted: DataFrame, threshold: float) -> DataFrame:
             (F.col("n_records") > 0).alias("of_record"),
             "term",
             F.sqrt(F.col("mass") / F.col("_total")).alias("w"),
-            (~outside).alias("in_prefix"),
-            "rest_norm",
+            F.sqrt(F.col("_running") / F.col("_total")).alias("tail"),
+            F.floor(F.log2("df")).cast("int").alias("level"),
         )
     )
 
 
+def _reach(record_terms: DataFrame) -> DataFrame:
+    """Per level, the largest norm any record has on terms at or above it.
+
+    A row per power of two, so at most 64 rows whatever the data.
+    """
+    upwards = Window.orderBy(F.desc("level")).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    return (
+        record_terms.groupBy("level")
+        .agg(F.max("tail").alias("tail"))
+        .select("level", F.max("tail").over(upwards).alias("reach"))
+    )
+
+
 def _similar_texts(vectors: DataFrame, threshold: float) -> DataFrame:
     """Pairs of an issue's and a record's text with a similarity at or above the threshold."""
-    issue_terms = vectors.filter("of_issue").withColumnRenamed("text_id", "issue_text")
-    record_terms = vectors.filter("of_record").select(
+    floor = threshold - _SLACK
+    of_record = vectors.filter("of_record")
+    record_terms = of_record.select(
         F.col("text_id").alias("record_text"), "term", F.col("w").alias("record_w")
     )
-    prefix = issue_terms.filter("in_prefix").select("issue_text", "term", "w", "rest_norm")
-    rest = issue_terms.filter("NOT in_prefix").select("issue_text", "term", "w")
+    # What a term and the more frequent ones after it can still add to any similarity.
+    can_add = F.col("tail") * F.col("reach")
+    issue_terms = (
+        vectors.filter("of_issue")
+        .join(F.broadcast(_reach(of_record)), "level")
+        .select(F.col("text_id").alias("issue_text"), "term", "w", can_add.alias("can_add"))
+    )
+    prefix = issue_terms.filter(F.col("can_add") >= floor)
+    rest = issue_terms.filter(F.col("can_add") < floor)
+    bounds = rest.groupBy("issue_text").agg(F.max("can_add").alias("bound"))
     survivors = (
         prefix.join(record_terms, "term")
         .groupBy("issue_text", "record_text")
-        .agg(F.sum(F.col("w") * F.col("record_w")).alias("sum"), F.max("rest_norm").alias("bound"))
-        .filter(F.col("sum") + F.col("bound") >= threshold - _SLACK)
+        .agg(F.sum(F.col("w") * F.col("record_w")).alias("sum"))
+        .join(bounds, "issue_text", "left")
+        .filter(F.col("sum") + F.coalesce("bound", F.lit(0.0)) >= floor)
         .select("issue_text", "record_text", "sum")
     )
     added = F.coalesce(F.col("w") * F.col("record_w"), F.lit(0.0))
@@ -259,7 +282,7 @@ def link_texts(
     stop_words = english_stop_words() if stop_words is None else stop_words
     texts = _texts(issues, records)
     vectors = materialize(
-        _vectors(_weighted_terms(texts, stop_words, max_share), threshold), "vectors"
+        _vectors(_weighted_terms(texts, stop_words, max_share)), "vectors"
     )
     links = (
         _similar_texts(vectors, threshold)
