@@ -30,13 +30,18 @@ class Labelling:
 
 @dataclass(frozen=True)
 class WeeklyRun:
-    """Where a run reads and writes. ``as_of`` is its clock, an ISO instant."""
+    """Where a run reads and writes. ``as_of`` is its clock, an ISO instant.
+
+    ``main_is_unique`` says that only runs like this one ever published to the
+    corpus, so its main table has a row per issue.
+    """
 
     landing: str
     snapshots: str
     cursors: str
     as_of: str
     corpus: str | None = None
+    main_is_unique: bool = False
     quarantine: str | None = None
     usage: str | None = None
     only_framework: str | None = None
@@ -74,7 +79,9 @@ def run_weekly(spark: SparkSession, run: WeeklyRun) -> str:
     links = linking.link_issues(issues, records, **run.link_options)
     snapshot = snapshots.write_snapshot(issues, links, run.snapshots, revision)
     if run.corpus:
-        snapshots.publish(spark, snapshot, run.corpus, revision)
+        snapshots.publish(
+            spark, snapshot, run.corpus, revision, existing_unique=run.main_is_unique
+        )
     state.save_cursors(state.advance(cursors, intake.next_cursors(kept)), run.cursors)
     return snapshot
 

@@ -120,14 +120,17 @@ def publish(
     *,
     also_main: bool = True,
     cumulative: bool = True,
+    existing_unique: bool = False,
     strict_reference: bool = False,
 ) -> dict[str, str]:
     """Publish a snapshot's tables to its revision and, usually, to main.
 
     ``cumulative`` first merges the snapshot's issues onto main's, newest row
-    per issue; the other tables are replaced. A table the snapshot lacks is
-    skipped. The revision is written once and main is copied from it, so the
-    merge runs once. Returns the paths written, per table.
+    per issue; the other tables are replaced. Where main was only ever written
+    by such merges, ``existing_unique`` keeps its untouched rows out of the
+    ranking. A table the snapshot lacks is skipped. The revision is written
+    once and main is copied from it, so the merge runs once. Returns the paths
+    written, per table.
     """
     written = {}
     for name in TABLES:
@@ -138,7 +141,12 @@ def publish(
         rows = spark.read.schema(TABLES[name]).parquet(source)
         if name == "issues" and cumulative:
             existing = read_table(spark, corpus_table(corpus, None, name), name)
-            rows = merge_latest(rows, existing, strict_reference=strict_reference)
+            rows = merge_latest(
+                rows,
+                existing,
+                existing_unique=existing_unique,
+                strict_reference=strict_reference,
+            )
         target = corpus_table(corpus, revision, name)
         _replace(rows, target)
         written[name] = target

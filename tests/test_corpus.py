@@ -235,7 +235,9 @@ def test_dry_run_of_every_framework(spark, tmp_path):
     # A second run sees only what is at or after the cursors, and adds it to main.
     land(tmp_path / "landing", "openai/swarm", node_id="late", updated_at="2026-04-28T00:00:00Z")
     land(tmp_path / "landing", "openai/swarm", node_id="early", updated_at="2026-04-01T00:00:00Z")
-    snapshot = run_weekly(spark, weekly(tmp_path, as_of="2026-04-30T12:00:00Z"))
+    snapshot = run_weekly(
+        spark, weekly(tmp_path, as_of="2026-04-30T12:00:00Z", main_is_unique=True)
+    )
     ids = {r.node_id for r in spark.read.parquet(f"{snapshot}/issues.parquet").collect()}
     assert "late" in ids and "early" not in ids
     main = snapshots.read_table(spark, f"{tmp_path}/corpus/main/issues", "issues")
