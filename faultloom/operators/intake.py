@@ -104,6 +104,21 @@ def since_cursor(issues: DataFrame, cursors: DataFrame) -> DataFrame:
     )
 
 
+def latest_versions(issues: DataFrame) -> DataFrame:
+    """The newest version of each issue, as landed files may hold several.
+
+    Ranked within partitions before the shuffle; a hash settles equal times.
+    """
+    newest = Window.partitionBy("node_id").orderBy(
+        F.desc_nulls_last("updated_at"), F.desc(F.xxhash64(*issues.columns))
+    )
+    return (
+        issues.withColumn("_rank", F.row_number().over(newest))
+        .filter(F.col("_rank") == 1)
+        .drop("_rank")
+    )
+
+
 def only_framework(
     issues: DataFrame, slug: str, known: Sequence[str] | None = None
 ) -> DataFrame:

@@ -70,7 +70,8 @@ def run_weekly(spark: SparkSession, run: WeeklyRun) -> str:
     wanted = payloads.good_rows(typed)
     if run.only_framework:
         wanted = intake.only_framework(wanted, run.only_framework)
-    wanted = intake.keep_failures(intake.since_cursor(wanted, cursors))
+    wanted = intake.latest_versions(intake.since_cursor(wanted, cursors))
+    wanted = intake.keep_failures(wanted)
     # The kept rows feed the labels, the links and the cursors; read the landing files once.
     kept = materialize(intake.cap_per_framework(wanted, run.cap), "kept")
 

@@ -244,6 +244,13 @@ def test_dry_run_of_every_framework(spark, tmp_path):
     assert main.count() == 13
 
 
+def test_several_versions_of_an_issue_count_once(spark, tmp_path):
+    for day, title in ((21, "crash one"), (23, "crash three"), (22, "crash two")):
+        land(tmp_path / "landing", "openai/swarm", title=title, updated_at=f"2026-04-{day}T00:00:00Z")
+    snapshot = run_weekly(spark, weekly(tmp_path))
+    assert [r.title for r in spark.read.parquet(f"{snapshot}/issues.parquet").collect()] == ["crash three"]
+
+
 def test_empty_week(spark, tmp_path):
     (tmp_path / "landing").mkdir()
     (tmp_path / "landing" / "p.json").write_text("")
