@@ -40,11 +40,14 @@ def pin_utc(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    Only where the setting is missing (a local test session) is one made.
+    Only a local session, where every task runs on this machine, gets one made
+    if the setting is missing.
     """
     base = spark.conf.get(CHECKPOINT_DIR, None)
     if base:
         return base
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
     base = tempfile.mkdtemp(prefix="faultloom-")
     spark.conf.set(CHECKPOINT_DIR, base)
     return base

@@ -6,7 +6,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from faultloom.session import build_session  # noqa: E402
+from faultloom.session import build_session, clear_scratch  # noqa: E402
 
 TESTDATA = os.environ.get("TESTDATA", "/root/testdata")
 
@@ -21,12 +21,12 @@ def spark():
             "spark.ui.enabled": "false",
             "spark.sql.shuffle.partitions": "4",
             "spark.driver.memory": "8g",
-            "spark.checkpoint.dir": f"{scratch}/checkpoints",
             "spark.sql.warehouse.dir": f"{scratch}/warehouse",
         },
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    clear_scratch(session)
     session.stop()
 
 
