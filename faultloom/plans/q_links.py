@@ -72,7 +72,7 @@ def record_text(spark, sf_dir):
     tf AS (SELECT doc_id, term, count(*) AS tf FROM terms GROUP BY ALL),
     df AS (SELECT term, count(*) AS df, sum(tf) AS occurrences FROM tf GROUP BY 1)
     SELECT df, count(*) AS n_terms, CAST(sum(occurrences) AS BIGINT) AS occurrences,
-           max(term) AS last_term FROM df GROUP BY df""",
+           CAST(sum(length(term)) AS BIGINT) AS n_chars FROM df GROUP BY df""",
 )
 def ngram_document_frequency(spark, sf_dir):
     """How many terms occur in 1, 2, 3, ... documents, over all whole texts."""
@@ -81,7 +81,7 @@ def ngram_document_frequency(spark, sf_dir):
     return frequency.groupBy("df").agg(
         F.count("*").alias("n_terms"),
         F.sum("occurrences").alias("occurrences"),
-        F.max("term").alias("last_term"),
+        F.sum(F.length("term")).alias("n_chars"),
     )
 
 
