@@ -3,9 +3,11 @@
 import oracle
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from faultloom.plans.queries import QUERIES as REGISTERED
 
-QUERIES, SQL = queries(), oracle_sql()
+QUERIES = {name: q.run for name, q in REGISTERED.items()}
+SQL = {name: q.oracle for name, q in REGISTERED.items() if q.oracle is not None}
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
