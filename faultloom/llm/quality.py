@@ -67,18 +67,21 @@ def _sql_holds(rule: Rule) -> str:
     return " AND ".join(tests) or "TRUE"
 
 
+def _joined_with_later(step: int):
+    """Each hash combined with the one ``step`` places later; the last few have no partner."""
+
+    def join(h: Column) -> Column:
+        later = F.slice(h, F.lit(step + 1), F.greatest(F.size(h) - step, F.lit(0)))
+        return F.zip_with(h, later, lambda a, b: F.xxhash64(a, b))
+
+    return join
+
+
 def _window_hashes(found: Column) -> Column:
     """A hash for every window of eight words, by doubling: words, pairs, fours, eights."""
     hashes = F.transform(found, lambda w: F.xxhash64(w))
     for step in (1, 2, 4):
-        hashes = let(
-            hashes,
-            lambda h, step=step: F.zip_with(
-                h,
-                F.slice(h, F.lit(step + 1), F.greatest(F.size(h) - step, F.lit(0))),
-                lambda a, b: F.xxhash64(a, b),
-            ),
-        )
+        hashes = let(hashes, _joined_with_later(step))
     return F.slice(hashes, F.lit(1), F.greatest(F.size(found) - (WINDOW - 1), F.lit(0)))
 
 
