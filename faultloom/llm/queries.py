@@ -7,7 +7,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faultloom.llm import quality
+from faultloom.llm import packing, quality, sharding
 from faultloom.llm.common import table
 
 
@@ -16,10 +16,26 @@ class Query(NamedTuple):
     oracle: str | None = None
 
 
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"), shards=40)
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op1_packing": Query(op1_packing),
+    "op5_sharding": Query(op5_sharding),
     "op8_quality_rules": Query(op8_quality_rules, quality.oracle_sql()),
 }
