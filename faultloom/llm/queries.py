@@ -7,7 +7,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faultloom.llm import packing, quality, sharding
+from faultloom.llm import packing, quality, sharding, warc
 from faultloom.llm.common import table
 
 
@@ -26,6 +26,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.roundtrip(table(spark, sf_dir, "pages"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), shards=40)
 
@@ -36,6 +40,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": Query(op1_packing),
+    "op3_warc": Query(op3_warc, warc.ORACLE_SQL),
     "op5_sharding": Query(op5_sharding),
     "op8_quality_rules": Query(op8_quality_rules, quality.oracle_sql()),
 }
