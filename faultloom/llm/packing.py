@@ -22,6 +22,7 @@ rows are packed like others. No rows, no sequences.
 
 from __future__ import annotations
 
+import re
 import zlib
 from bisect import bisect_right, insort
 from collections import defaultdict
@@ -36,7 +37,7 @@ from faultloom.llm.common import batch, texts_as_bytes
 
 TIERS = (4096, 2048, 1024, 512, 256)
 #: Tokens of a step group, tokens of a pool, words remembered with their ids.
-STEP_TOKENS, POOL_TOKENS, WORDS = 65_536, 2_000_000, 300_000
+STEP_TOKENS, POOL_TOKENS, WORDS = 65_536, 2_000_000, 600_000
 
 SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long,"
@@ -53,22 +54,48 @@ class WordIds(dict):
     """Ids of white-space separated words, four little-endian bytes each.
 
     The tokenizer drops white space and never merges across it, so a text's ids
-    are those of its words in order. The memory is bounded.
+    are those of its words in order. It also parts letters from ASCII punctuation
+    behind them and ignores ASCII case, so a word that is new is mostly a stem
+    that is known. The memory is bounded: a full table starts anew.
     """
 
+    # The lazy group leaves all punctuation at the word's end to the other.
+    parts = re.compile(rb"(.*?)([!-/:-@\[-`{-~]*)", re.DOTALL).fullmatch
+
     def __init__(self, path: str):
         super().__init__()
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer, self.stems = Tokenizer.from_file(path), {}
 
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= WORDS:
             self.clear()
-        ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
-        value = self[word] = b"".join(i.to_bytes(4, "little") for i in ids)
+        value = self[word] = self._new(word)
+        return value
+
+    def _new(self, word: bytes) -> bytes:
+        if b"<|" in word:  # special tokens are read as such
+            return self._encode(word)
+        stem, tail = self.parts(word).groups()
+        if b"'" in tail or not stem[-1:].isalpha():
+            stem, tail = word, b""
+        if stem.isascii():
+            stem = stem.lower()
+        return self._stem(stem) + (self._stem(tail) if tail else b"")
+
+    def _stem(self, stem: bytes) -> bytes:
+        value = self.stems.get(stem)
+        if value is None:
+            if len(self.stems) >= WORDS:
+                self.stems.clear()
+            value = self.stems[stem] = self._encode(stem)
         return value
 
+    def _encode(self, word: bytes) -> bytes:
+        ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
+        return b"".join(i.to_bytes(4, "little") for i in ids)
+
 
 @cache
 def word_ids(path: str) -> WordIds:
