@@ -29,6 +29,25 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def _joined_with_later(step: int) -> Callable[[Column], Column]:
+    """Each hash combined with the one ``step`` places later; the last few have no partner."""
+
+    def join(h: Column) -> Column:
+        later = F.slice(h, F.lit(step + 1), F.greatest(F.size(h) - step, F.lit(0)))
+        return F.zip_with(h, later, lambda a, b: F.xxhash64(a, b))
+
+    return join
+
+
+def window_hashes(found: Column, window: int) -> Column:
+    """A hash for every window of words, by doubling; ``window`` is a power of two."""
+    hashes, step = F.transform(found, lambda w: F.xxhash64(w)), 1
+    while step < window:
+        hashes = let(hashes, _joined_with_later(step))
+        step *= 2
+    return F.slice(hashes, F.lit(1), F.greatest(F.size(found) - (window - 1), F.lit(0)))
+
+
 def has_rows(df: DataFrame) -> bool:
     return bool(df.take(1))
 

@@ -16,7 +16,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faultloom.llm.common import SPACES, let, words
+from faultloom.llm.common import SPACES, let, window_hashes, words
 
 WINDOW = 8
 SYMBOLS = "#*$%&|<>"
@@ -67,24 +67,6 @@ def _sql_holds(rule: Rule) -> str:
     return " AND ".join(tests) or "TRUE"
 
 
-def _joined_with_later(step: int):
-    """Each hash combined with the one ``step`` places later; the last few have no partner."""
-
-    def join(h: Column) -> Column:
-        later = F.slice(h, F.lit(step + 1), F.greatest(F.size(h) - step, F.lit(0)))
-        return F.zip_with(h, later, lambda a, b: F.xxhash64(a, b))
-
-    return join
-
-
-def _window_hashes(found: Column) -> Column:
-    """A hash for every window of eight words, by doubling: words, pairs, fours, eights."""
-    hashes = F.transform(found, lambda w: F.xxhash64(w))
-    for step in (1, 2, 4):
-        hashes = let(hashes, _joined_with_later(step))
-    return F.slice(hashes, F.lit(1), F.greatest(F.size(found) - (WINDOW - 1), F.lit(0)))
-
-
 def _covered(found: Column) -> Column:
     """Words inside windows that occur twice, comparing the windows themselves."""
     starts = F.sequence(F.lit(1), F.size(found) - (WINDOW - 1))
@@ -113,7 +95,7 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     body = F.coalesce(F.col(text), F.lit(""))
     lines = F.filter(F.split(body, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     split = docs.withColumns({"_body": body, "_words": words(F.col(text)), "_lines": lines})
-    hashed = split.withColumns({"_windows": _window_hashes(F.col("_words"))})
+    hashed = split.withColumns({"_windows": window_hashes(F.col("_words"), WINDOW)})
     found = F.col("_words")
     repeats = F.when(
         F.size(F.array_distinct("_windows")) == F.size("_windows"), F.lit(0)

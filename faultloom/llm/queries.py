@@ -7,7 +7,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faultloom.llm import packing, quality, sharding, warc
+from faultloom.llm import decontamination, packing, quality, sharding, warc
 from faultloom.llm.common import table
 
 
@@ -38,9 +38,16 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.decontaminate(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 QUERIES = {
     "op1_packing": Query(op1_packing),
     "op3_warc": Query(op3_warc, warc.ORACLE_SQL),
     "op5_sharding": Query(op5_sharding),
     "op8_quality_rules": Query(op8_quality_rules, quality.oracle_sql()),
+    "op10_decontamination": Query(op10_decontamination, decontamination.oracle_sql()),
 }
