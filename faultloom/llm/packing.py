@@ -36,8 +36,8 @@ from pyspark.sql import functions as F
 from faultloom.llm.common import batch, texts_as_bytes
 
 TIERS = (4096, 2048, 1024, 512, 256)
-#: Tokens of a step group, tokens of a pool, words remembered with their ids.
-STEP_TOKENS, POOL_TOKENS, WORDS = 65_536, 2_000_000, 600_000
+#: Tokens of a step group, tokens of a pool, words and stems of words remembered with their ids.
+STEP_TOKENS, POOL_TOKENS, WORDS, STEMS = 65_536, 2_000_000, 600_000, 1_500_000
 
 SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long,"
@@ -87,7 +87,7 @@ class WordIds(dict):
     def _stem(self, stem: bytes) -> bytes:
         value = self.stems.get(stem)
         if value is None:
-            if len(self.stems) >= WORDS:
+            if len(self.stems) >= STEMS:
                 self.stems.clear()
             value = self.stems[stem] = self._encode(stem)
         return value
