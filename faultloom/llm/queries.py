@@ -7,7 +7,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faultloom.llm import decontamination, packing, quality, sharding, warc
+from faultloom.llm import decontamination, packing, quality, sharding, toxicity, warc
 from faultloom.llm.common import table
 
 
@@ -30,6 +30,12 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.roundtrip(table(spark, sf_dir, "pages"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), shards=40)
 
@@ -47,6 +53,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_packing": Query(op1_packing),
     "op3_warc": Query(op3_warc, warc.ORACLE_SQL),
+    "op4_toxicity": Query(op4_toxicity),
     "op5_sharding": Query(op5_sharding),
     "op8_quality_rules": Query(op8_quality_rules, quality.oracle_sql()),
     "op10_decontamination": Query(op10_decontamination, decontamination.oracle_sql()),
