@@ -7,7 +7,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faultloom.llm import decontamination, packing, quality, sharding, toxicity, warc
+from faultloom.llm import decontamination, minhash, packing, quality, sharding, toxicity, warc
 from faultloom.llm.common import table
 
 
@@ -26,6 +26,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.dedup_documents(table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.roundtrip(table(spark, sf_dir, "pages"))
 
@@ -52,6 +56,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": Query(op1_packing),
+    "op2_minhash": Query(op2_minhash),
     "op3_warc": Query(op3_warc, warc.ORACLE_SQL),
     "op4_toxicity": Query(op4_toxicity),
     "op5_sharding": Query(op5_sharding),
