@@ -7,7 +7,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faultloom.llm import decontamination, minhash, packing, quality, sharding, toxicity, warc
+from faultloom.llm import decontamination, lines, minhash, packing, quality, sharding, toxicity, warc
 from faultloom.llm.common import table
 
 
@@ -44,6 +44,10 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), shards=40)
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.report(table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"))
 
@@ -60,6 +64,7 @@ QUERIES = {
     "op3_warc": Query(op3_warc, warc.ORACLE_SQL),
     "op4_toxicity": Query(op4_toxicity),
     "op5_sharding": Query(op5_sharding),
+    "op6_line_dedup": Query(op6_line_dedup, lines.oracle_sql()),
     "op8_quality_rules": Query(op8_quality_rules, quality.oracle_sql()),
     "op10_decontamination": Query(op10_decontamination, decontamination.oracle_sql()),
 }
