@@ -7,7 +7,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faultloom.llm import decontamination, lines, minhash, packing, quality, sharding, toxicity, warc
+from faultloom.llm import decontamination, lines, minhash, ngrams, packing, quality, sharding, toxicity, warc
 from faultloom.llm.common import table
 
 
@@ -48,6 +48,10 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.report(table(spark, sf_dir, "documents"))
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngrams.score(table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"))
 
@@ -65,6 +69,7 @@ QUERIES = {
     "op4_toxicity": Query(op4_toxicity),
     "op5_sharding": Query(op5_sharding),
     "op6_line_dedup": Query(op6_line_dedup, lines.oracle_sql()),
+    "op7_lm_scoring": Query(op7_lm_scoring),
     "op8_quality_rules": Query(op8_quality_rules, quality.oracle_sql()),
     "op10_decontamination": Query(op10_decontamination, decontamination.oracle_sql()),
 }
