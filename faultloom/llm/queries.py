@@ -7,7 +7,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faultloom.llm import decontamination, lines, minhash, ngrams, packing, quality, sharding, toxicity, warc
+from faultloom.llm import decontamination, lines, minhash, ngrams, packing, quality, sharding, suffixes, toxicity, warc
 from faultloom.llm.common import table
 
 
@@ -56,6 +56,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.decontaminate(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -71,5 +75,6 @@ QUERIES = {
     "op6_line_dedup": Query(op6_line_dedup, lines.oracle_sql()),
     "op7_lm_scoring": Query(op7_lm_scoring),
     "op8_quality_rules": Query(op8_quality_rules, quality.oracle_sql()),
+    "op9_suffix_dedup": Query(op9_suffix_dedup),
     "op10_decontamination": Query(op10_decontamination, decontamination.oracle_sql()),
 }
