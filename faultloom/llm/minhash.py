@@ -10,9 +10,11 @@
    probability of reaching the threshold is under ``POSTERIOR_MISS`` is dropped.
 4. Survivors are verified exactly on their whole sets: first each node's likeliest
    pair, then those pairs that would still join two components.
-5. Buckets that hold several components after that are compared all through, in
-   blocks whose pairs are tested inside a task; only survivors of the posterior
-   bound leave it, and are verified. So no link is left out for the hubs' sake.
+5. Buckets that still hold several components are compared all through, in blocks
+   of a bounded size, inside tasks: the pairs of different components, each in one
+   of its buckets, go through the posterior bound and the exact test, and only
+   links leave the task. So no link is left out for the hubs' sake, and no pairs
+   are emitted.
 
 Sizes prune before signatures: sets of which one is too small cannot be linked.
 
@@ -34,14 +36,16 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faultloom.llm.common import WordHashes, batch, mixed, pieces, texts_as_bytes
+from faultloom.llm.common import WordHashes, batch, has_rows, mixed, pieces, texts_as_bytes
 from faultloom.llm.components import connected_components
 from faultloom.session import materialize
 
 HASHES, STEP = 128, 32
 BAND_MISS, POSTERIOR_MISS = 1e-6, 1e-8
-#: Texts hashed at once (bytes), nodes of a block, node keys that are broadcast at most.
-TEXT_BYTES, BLOCK, BROADCAST_ROWS = 1 << 20, 512, 1_000_000
+#: Texts hashed at once (bytes), nodes and shingles of a block, node keys that are broadcast at most.
+TEXT_BYTES, BLOCK, BLOCK_SHINGLES, BROADCAST_ROWS = 1 << 20, 1024, 1_000_000, 1_000_000
+#: Pairs of signatures compared at once, pairs intersected one by one at most, columns of a matrix product.
+STEP_PAIRS, FEW_PAIRS, COLUMNS = 50_000, 2_000, 4_096
 
 _K1, _K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -165,11 +169,12 @@ def _members(nodes: DataFrame) -> DataFrame:
 
 
 def _hubs(nodes: DataFrame) -> DataFrame:
-    """(bucket, hub, hub_n, n_members) of buckets of two nodes or more."""
+    """(bucket, hub, hub_n, n_members, sum_n) of buckets of two nodes or more."""
     pick = F.min(F.struct(F.xxhash64("node", "bucket"), "node", "n_shingles")).alias("pick")
-    found = _members(nodes).groupBy("bucket").agg(pick, F.count(F.lit(1)).alias("n_members"))
+    sums = F.count(F.lit(1)).alias("n_members"), F.sum("n_shingles").alias("sum_n")
+    found = _members(nodes).groupBy("bucket").agg(pick, *sums)
     return found.filter("n_members > 1").select(
-        "bucket", F.col("pick.node").alias("hub"), F.col("pick.n_shingles").alias("hub_n"), "n_members"
+        "bucket", F.col("pick.node").alias("hub"), F.col("pick.n_shingles").alias("hub_n"), "n_members", "sum_n"
     )
 
 
@@ -233,41 +238,101 @@ def _rooted(df: DataFrame, roots: DataFrame, column: str) -> DataFrame:
     return out.withColumn(f"root_{column}", F.coalesce("_root", column)).drop("_root")
 
 
-def _blocks(percent: int):
-    """Pairs of two blocks of a bucket, tested in the task: those of different components that survive."""
+def _common(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Common elements of pairs of sets; many pairs by a matrix product over elements that two sets have."""
+    if len(left) <= FEW_PAIRS:
+        return np.array([len(np.intersect1d(sets[i], sets[j], assume_unique=True)) for i, j in zip(left, right, strict=True)], np.int64)
+    rows, cols = np.unique(left), np.unique(right)
+    used = np.union1d(rows, cols)
+    sizes = [len(sets[k]) for k in used]
+    element, owner = np.concatenate([sets[k] for k in used]), np.repeat(np.arange(len(used)), sizes)
+    _, number, times = np.unique(element, return_inverse=True, return_counts=True)
+    shared = times > 1
+    column = np.cumsum(shared) - 1
+    keep = shared[number]
+    owner, number = owner[keep], column[number[keep]]
+    at_row, at_col = np.searchsorted(used, rows), np.searchsorted(used, cols)
+    product = np.zeros((len(rows), len(cols)), np.float32)
+    by_number = np.argsort(number, kind="stable")
+    owner, number = owner[by_number], number[by_number]
+    for lo in range(0, int(shared.sum()), COLUMNS):
+        part = slice(*np.searchsorted(number, [lo, lo + COLUMNS]))
+        has = np.zeros((len(used), COLUMNS), np.float32)
+        has[owner[part], number[part] - lo] = 1
+        product += has[at_row] @ has[at_col].T
+    return product[np.searchsorted(rows, left), np.searchsorted(cols, right)].astype(np.int64)
+
+
+def _pairs_to_see(block: dict[str, np.ndarray], bucket: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of one block, or of two, that this bucket is to look at and whose components and sizes allow a link."""
+    left = np.flatnonzero(block["side"] == 0)
+    right = np.flatnonzero(block["side"] == 1)
+    alone = not len(right)
+    right = left if alone else right
+    _, root = np.unique(block["root"], return_inverse=True)
+    n, bands = block["n"], block["bands"]
+    see = root[left][:, None] != root[right]
+    low, high = np.minimum(n[left][:, None], n[right]), np.maximum(n[left][:, None], n[right])
+    see &= low * 100 >= high * percent
+    # Of the buckets that a pair shares, the first band's sees it.
+    for k in range(int(np.flatnonzero(bands[0] == bucket)[0])):
+        see &= bands[left, k][:, None] != bands[right, k]
+    if alone:
+        see &= np.arange(len(left))[:, None] < np.arange(len(left))
+    i, j = np.nonzero(see)
+    return left[i], right[j]
+
+
+def _blocks(words: int, percent: int):
+    """Links between components among the pairs of two blocks of a bucket, found inside the task."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        node, side = np.array(table.column("node").to_pylist(), object), table.column("side").to_numpy()
-        root, n = np.array(table.column("root_node").to_pylist(), object), table.column("n_shingles").to_numpy()
+        node = np.array(table.column("node").to_pylist(), object)
+        block = {
+            "side": table.column("side").to_numpy(),
+            "n": table.column("n_shingles").to_numpy(),
+            "root": np.array(table.column("root_node").to_pylist(), object),
+            "bands": np.array(table.column("bands").to_pylist(), np.int64),
+        }
+        i, j = _pairs_to_see(block, key[0].as_py(), percent)
         signature = _matrix(table.column("signature").to_pylist())
-        left = np.flatnonzero(side == 0)
-        right = np.flatnonzero(side == 1) if (side == 1).any() else left
-        found: dict[str, list] = {"a": [], "b": [], "agree": []}
-        for i in left:
-            others = right[(root[right] != root[i]) & (np.minimum(n[right], n[i]) * 100 >= np.maximum(n[right], n[i]) * percent)]
-            agree = sequential(np.broadcast_to(signature[i], (len(others), HASHES)), signature[others], percent)
-            for j, m in zip(others[agree >= 0], agree[agree >= 0], strict=True):
-                found["a"].append(min(node[i], node[j]))
-                found["b"].append(max(node[i], node[j]))
-                found["agree"].append(int(m))
-        return pa.table({"a": pa.array(found["a"], pa.binary()), "b": pa.array(found["b"], pa.binary()), "agree": pa.array(found["agree"], pa.int32())})
+        alive = [
+            np.flatnonzero(sequential(signature[i[k : k + STEP_PAIRS]], signature[j[k : k + STEP_PAIRS]], percent) >= 0) + k
+            for k in range(0, len(i), STEP_PAIRS)
+        ]
+        alive = np.concatenate(alive) if alive else np.empty(0, np.int64)
+        i, j = i[alive], j[alive]
+        if len(i):
+            known, sets = WordHashes(limit=100_000), [None] * len(node)
+            texts = table.column("text").cast(pa.large_binary())
+            for k in np.union1d(i, j).tolist():
+                sets[k] = shingles(known.of((texts[k].as_py() or b"").lower().split()), words)
+            common = _common(sets, i, j)
+            linked = common * 100 >= (block["n"][i] + block["n"][j] - common) * percent
+            i, j = i[linked], j[linked]
+        # One link of a node to a component is as good as all.
+        links = {(node[x], block["root"][y]): node[y] for x, y in zip(i.tolist(), j.tolist(), strict=True)}
+        a, b = [x for x, _ in links], list(links.values())
+        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
 
     return run
 
 
-def _rest_pairs(nodes: DataFrame, hubs: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Surviving pairs of different components inside buckets of three nodes or more."""
-    large = hubs.filter("n_members > 2").select("bucket", "n_members")
-    members = _rooted(_members(nodes).join(large, "bucket"), roots, "node")
-    members = materialize(members, "bucket-members")
-    mixed_ones = (
+def _rest_links(docs: DataFrame, nodes: DataFrame, hubs: DataFrame, roots: DataFrame, words: int, percent: int) -> DataFrame:
+    """(a, b): links that still join components, from buckets of three nodes or more that hold several."""
+    large = hubs.filter("n_members > 2").select("bucket", "n_members", "sum_n")
+    members = materialize(_rooted(_members(nodes).join(large, "bucket"), roots, "node"), "bucket-members")
+    several = (
         members.groupBy("bucket")
         .agg(F.min("root_node").alias("x"), F.max("root_node").alias("y"))
         .filter("x <> y")
         .select("bucket")
     )
-    open_ = members.join(mixed_ones, "bucket", "left_semi")
-    n_blocks = F.ceil(F.col("n_members") / BLOCK).cast("int")
+    open_ = materialize(members.join(several, "bucket", "left_semi"), "open-members")
+    used = open_.select("node").distinct()
+    texts = _texts(docs, nodes, used)
+    whole = materialize(nodes.select("node", "signature", "bands").join(texts, "node"), "open-nodes")
+    n_blocks = F.ceil(F.greatest(F.col("n_members") / BLOCK, F.col("sum_n") / BLOCK_SHINGLES)).cast("int")
     dealt = (
         open_.withColumn("n_blocks", n_blocks)
         .withColumn("block", F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int"))
@@ -277,10 +342,9 @@ def _rest_pairs(nodes: DataFrame, hubs: DataFrame, roots: DataFrame, percent: in
             F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
             F.when(F.col("block") > F.col("other"), 1).otherwise(0).alias("side"),
         )
-        .join(nodes.select("node", "signature"), "node")
+        .join(whole, "node")
     )
-    found = dealt.groupBy("bucket", "i", "j").applyInArrow(_blocks(percent), "a binary, b binary, agree int")
-    return found.distinct()
+    return dealt.groupBy("bucket", "i", "j").applyInArrow(_blocks(words, percent), "a binary, b binary")
 
 
 def _versioned(docs: DataFrame, id: str, text: str) -> DataFrame:
@@ -317,17 +381,13 @@ def near_duplicates(
     apart = F.col("root_a") != F.col("root_b")
     second = _rooted(_rooted(stars, roots, "a"), roots, "b").filter(apart).select("a", "b")
     second = materialize(second.join(first, ["a", "b"], "left_anti"), "second-pairs")
-    if second.take(1):
+    if has_rows(second):
         links = materialize(links.union(_verified(second, texts, words, percent)), "links")
         roots = materialize(connected_components(links), "roots")
 
-    rest = materialize(
-        _rest_pairs(nodes, hubs, roots, percent).join(stars, ["a", "b"], "left_anti"), "rest-pairs"
-    )
-    if rest.take(1):
-        ends = rest.select(F.col("a").alias("node")).union(rest.select(F.col("b").alias("node"))).distinct()
-        texts = materialize(_texts(rows, nodes, ends), "rest-texts")
-        links = materialize(links.union(_verified(rest, texts, words, percent)), "links")
+    rest = materialize(_rest_links(rows, nodes, hubs, roots, words, percent), "rest-links")
+    if has_rows(rest):
+        links = materialize(links.union(rest), "links")
         roots = materialize(connected_components(links), "roots")
 
     in_root = _rooted(nodes.select("node", F.col("rep.doc_id").alias("least")), roots, "node")

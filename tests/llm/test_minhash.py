@@ -47,9 +47,10 @@ def test_table(spark, sf_dir):
     same(m.dedup_documents(docs, 3, 85).collect(), pairs, 3, 85)
 
 
-@pytest.mark.parametrize("block", [4, 512])
-def test_families_and_edges(spark, monkeypatch, block):
-    monkeypatch.setattr(m, "BLOCK", block)
+@pytest.mark.parametrize("block, few, columns", [(4, 2000, 4096), (512, 0, 7), (16, 3, 64)])
+def test_families_and_edges(spark, monkeypatch, block, few, columns):
+    for name, value in (("BLOCK", block), ("FEW_PAIRS", few), ("COLUMNS", columns)):
+        monkeypatch.setattr(m, name, value)
     rng = np.random.default_rng(1)
     word = lambda: f"w{rng.integers(5000)}"
     docs = []
@@ -57,7 +58,7 @@ def test_families_and_edges(spark, monkeypatch, block):
         base = [word() for _ in range(80)]
         for _ in range(25):
             own = list(base)
-            for _ in range(rng.integers(0, 6)):
+            for _ in range(rng.integers(0, 10)):
                 own[rng.integers(len(own))] = word()
             docs.append(" ".join(own))
     docs += [None, "", " \n", "one", "ONE", "one two", "one  two\t", "a b c", "É b c", "é b c", "x " * 5000]
@@ -92,3 +93,16 @@ def test_components(spark):
     got = {r.node: r.root for r in connected_components(spark.createDataFrame(chain, "a long, b long")).collect()}
     assert got == {**{i: 1 for i in range(2, 41)}, **{i: 100 for i in range(101, 160)}, 200: 199}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_common_elements_by_product():
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 60, 40).astype(np.uint64)) for _ in range(30)]
+    i, j = np.triu_indices(30, 1)
+    want = [len(set(sets[a].tolist()) & set(sets[b].tolist())) for a, b in zip(i, j, strict=True)]
+    for few in (0, 10_000):
+        m.FEW_PAIRS, before = few, m.FEW_PAIRS
+        try:
+            assert m._common(sets, i, j).tolist() == want
+        finally:
+            m.FEW_PAIRS = before
