@@ -5,7 +5,7 @@ deleted or replaced. Each line emits itself and every variant with one word left
 out, as hashed keys. Lines with an equal key at the same place differ in that one
 word; a line equal to another's variant is that other less a word. Partners found
 by hash are verified on their words. Of lines within the bound of each other, and
-of equal lines, the earliest by (id, line number) is kept: an occurrence goes if
+of equal lines, the earliest by (id, line number, hash of the text) is kept: an occurrence goes if
 any earlier line is equal or within the bound, whether or not that one stays.
 
 Lines of fewer than ``MIN_WORDS`` words always stay: greetings, headings, blanks.
@@ -16,8 +16,8 @@ that many lines share, the earliest is found by an aggregate that Spark combines
 before its shuffle and is joined back: groups are never gathered, and all lines
 of a group are compared with its earliest only.
 
-Null texts are empty. Null ids come first in the order. Rows with the same id are
-one document's: their equal lines of the same number are kept or go together.
+Null texts are empty. Null ids come first in the order. Rows that repeat an id and
+its text are one document's: their lines are kept or go together.
 """
 
 from __future__ import annotations
@@ -35,46 +35,64 @@ def _version(text: str) -> Column:
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
 
 
+def _parts(text: str) -> Column:
+    return F.split(F.coalesce(F.col(text), F.lit("")), "\n")
+
+
 def _lines(docs: DataFrame, id: str, text: str) -> DataFrame:
-    """(doc_id, version, line_no, ws, n, line): long enough lines; ``line`` is a digest of the words."""
-    parts = F.split(F.coalesce(F.col(text), F.lit("")), "\n")
-    rows = docs.select(F.col(id).alias("doc_id"), _version(text).alias("version"), parts.alias("parts"))
+    """(line, at, halves) of long enough lines: a digest of the words, the place, what near lines share."""
+    rows = docs.select(F.col(id).alias("doc_id"), _version(text).alias("version"), _parts(text).alias("parts"))
     # Outer: an inner generator would have Spark split once more below it.
     found = rows.select("doc_id", "version", F.posexplode_outer("parts").alias("line_no", "part"))
-    split = found.select("doc_id", "version", "line_no", words(F.col("part")).alias("ws"))
-    long = split.withColumn("n", F.size("ws")).filter(F.col("n") >= MIN_WORDS)
-    return long.withColumn("line", F.unhex(F.md5(F.array_join("ws", " "))))
+    split = found.withColumn("ws", words(F.col("part"))).withColumn("n", F.size("ws"))
+    return split.filter(F.col("n") >= MIN_WORDS).select(
+        F.unhex(F.md5(F.array_join("ws", " "))).alias("line"),
+        F.struct("doc_id", "line_no", "version").alias("at"),
+        _halves().alias("halves"),
+    )
 
 
 def _halves() -> Column:
-    """Hashes of the first and last words, as many as this line or one a word shorter is sure to share."""
+    """Hashes of as many first and last words as this line and one a word longer or shorter share.
+
+    As many as the power of two up to half of the shorter line's words, so a line
+    mostly has two hashes.
+    """
 
     def half(n: Column) -> list[Column]:
-        m = F.floor((n - 1) / 2).cast("int")
+        m = F.pow(F.lit(2), F.floor(F.log2((n - 1) / 2) + 1e-9)).cast("int")
         tail = F.slice("ws", F.col("n") - m + 1, m)
         return [F.xxhash64(F.lit("first"), m, F.slice("ws", F.lit(1), m)), F.xxhash64(F.lit("last"), m, tail)]
 
     return F.array_distinct(F.array(*half(F.col("n")), *half(F.col("n") - 1)))
 
 
+def _if_few(df: DataFrame) -> DataFrame:
+    """A written table, marked for broadcast while its rows are few."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def _distinct(lines: DataFrame) -> DataFrame:
-    """(line, at, halves): each different line and its earliest place."""
-    place = F.struct("doc_id", "line_no").alias("at")
-    rows = lines.select("line", place, _halves().alias("halves"))
-    return rows.groupBy("line").agg(F.min("at").alias("at"), F.first("halves").alias("halves"))
-
-
-def _candidates(lines: DataFrame, known: DataFrame) -> DataFrame:
-    """(line, at, ws) of lines that share a half with another line."""
-    spread = known.select("line", F.explode_outer("halves").alias("half"))
-    shared = spread.groupBy("half").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("half")
-    some = spread.join(shared, "half", "left_semi").select("line").distinct()
-    some = materialize(known.join(some, "line", "left_semi").select("line", "at"), "line-candidates")
-    if some.count() <= BROADCAST_ROWS:
-        some = F.broadcast(some)
-    return lines.select("line", "ws").join(some, "line").groupBy("line").agg(
-        F.first("at").alias("at"), F.first("ws").alias("ws")
+    """(line, at, halves, k): each different line, its earliest place, and how often it occurs."""
+    return lines.groupBy("line").agg(
+        F.min("at").alias("at"), F.first("halves").alias("halves"), F.count(F.lit(1)).alias("k")
+    )
+
+
+def _candidates(docs: DataFrame, known: DataFrame, id: str, text: str) -> DataFrame:
+    """(line, at, ws) of lines that share a half with another line; their words are read where they lie first."""
+    spread = known.select("line", "at", F.explode_outer("halves").alias("half"))
+    shared = spread.groupBy("half").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
+    shared = _if_few(materialize(shared.select("half"), "shared-halves"))
+    some = spread.join(shared, "half", "left_semi").select("line", "at").distinct()
+    per_doc = some.groupBy(F.col("at.doc_id").alias("_id"), F.col("at.version").alias("_version")).agg(
+        F.collect_list(F.struct("line", "at")).alias("wanted")
     )
+    per_doc = _if_few(materialize(per_doc, "line-candidates"))
+    met = docs.select(id, F.col(text).alias("_text")).join(per_doc, _same(docs[id], F.col("_text")))
+    found = met.select(_parts("_text").alias("parts"), F.explode_outer("wanted").alias("w"))
+    rows = found.select("w.line", "w.at", words(F.get("parts", F.col("w.at.line_no"))).alias("ws"))
+    return rows.dropDuplicates(["line"])
 
 
 def _rest(ws: str | Column, place: Column) -> Column:
@@ -127,16 +145,16 @@ def _shadowed(candidates: DataFrame) -> DataFrame:
 
 
 def removed_lines(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, version, line_no, near): the occurrences that go; ``near`` if no earlier line is equal."""
-    lines = _lines(docs, id, text)
-    known = materialize(_distinct(lines), "lines")
-    candidates = materialize(_candidates(lines, known), "candidate-lines")
+    """(doc_id, line_no, version, near): the occurrences that go; ``near`` if no earlier line is equal."""
+    lines = materialize(_lines(docs, id, text), "lines")
+    known = materialize(_distinct(lines), "distinct-lines")
+    candidates = materialize(_candidates(docs, known, id, text), "candidate-lines")
     shadowed = materialize(_shadowed(candidates), "shadowed-lines").withColumn("shadowed", F.lit(True))
-    fate = known.select("line", "at").join(shadowed, "line", "left")
-    first = F.struct("doc_id", "line_no").eqNullSafe(F.col("at"))
-    met = lines.select("doc_id", "version", "line_no", "line").join(fate, "line")
-    gone = met.filter(~first | F.col("shadowed").isNotNull())
-    return gone.select("doc_id", "version", "line_no", first.alias("near"))
+    fate = known.select("line", F.col("at").alias("first"), "k").join(shadowed, "line", "left")
+    fate = materialize(fate.filter("k > 1 OR shadowed").select("line", "first", "shadowed"), "line-fates")
+    met = lines.select("line", "at").join(_if_few(fate), "line")
+    first = F.col("at").eqNullSafe(F.col("first"))
+    return met.filter(~first | F.col("shadowed")).select("at.*", first.alias("near"))
 
 
 def _per_document(docs: DataFrame, id: str, text: str) -> DataFrame:
@@ -147,14 +165,14 @@ def _per_document(docs: DataFrame, id: str, text: str) -> DataFrame:
     return materialize(found.withColumnsRenamed({"doc_id": "_id", "version": "_version"}), "removed-lines")
 
 
-def _same(docs: DataFrame, id: str, text: str) -> Column:
-    return docs[id].eqNullSafe(F.col("_id")) & (_version(text) == F.col("_version"))
+def _same(id: Column, text: Column) -> Column:
+    return id.eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col("_version"))
 
 
 def report(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_lines, n_removed, n_near, removed_lines) for every row; line numbers from 0, with commas."""
     gone = _per_document(docs, id, text)
-    n_lines = F.size(F.split(F.coalesce(F.col(text), F.lit("")), "\n")).cast("long")
+    n_lines = F.size(_parts(text)).cast("long")
     narrow = docs.select(F.col(id).alias("doc_id"), _version(text).alias("version"), n_lines.alias("n_lines"))
     same = narrow["doc_id"].eqNullSafe(gone["_id"]) & (narrow["version"] == gone["_version"])
     return narrow.join(gone, same, "left").select(
@@ -168,7 +186,7 @@ def report(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame
 def filtered(docs: DataFrame, id: str = "doc_id", text: str = "text", length: str = "n_chars") -> DataFrame:
     """All rows and columns, the text without the lines that go, its length renewed. Nothing left is an empty text."""
     gone = _per_document(docs, id, text).drop("n_near")
-    joined = docs.join(gone, _same(docs, id, text), "left")
+    joined = docs.join(gone, _same(docs[id], docs[text]), "left")
     left = F.filter(F.split(F.col(text), "\n"), lambda x, i: ~F.array_contains("removed", i))
     renewed = joined.withColumn(text, F.when(F.col("removed").isNull(), F.col(text)).otherwise(F.array_join(left, "\n")))
     if length in docs.columns:
