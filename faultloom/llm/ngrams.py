@@ -40,14 +40,15 @@ from faultloom.llm.common import WordHashes, batch, mixed, pieces, texts_as_byte
 from faultloom.session import materialize
 
 FOLDS, HELD_OUT = 5, 1
-BASE, PROBES, PRIOR = 1.5, 6, 10.0
-SEGMENT_BITS, MAX_SEGMENTS = 23, 80
+BASE, PRIOR = 1.5, 10.0
+SEGMENT_BITS, MAX_SEGMENTS = 23, 64
 HOT_WORDS, FLUSH_WORDS, FLUSH_PAIRS, TEXT_BYTES = 200_000, 300_000, 2_000_000, 1 << 20
 
 #: The end of a text as a token; no word has white space.
 END = b"\n"
 _PAIR, _LEVEL = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
-_MASK = np.uint64((1 << SEGMENT_BITS) - 1)
+_WORD_BITS = SEGMENT_BITS - 6
+_WORD, _BIT = np.uint64((1 << _WORD_BITS) - 1), np.uint64(63)
 
 
 def held_out(id: Column) -> Column:
@@ -124,12 +125,15 @@ def count_of(levels: np.ndarray) -> np.ndarray:
     return middle[levels]
 
 
-def _positions(grams: np.ndarray, at: int) -> Iterator[np.ndarray]:
-    """Bits of the entries (gram, at) inside their segments."""
+def _places(grams: np.ndarray, at: int) -> list[tuple[np.ndarray, list[np.ndarray]]]:
+    """An entry (gram, at) is three bits in each of two 64-bit words of its segment: (word, bits) twice.
+
+    A probe so reads memory in two places at most.
+    """
     h = mixed(grams + np.array([at], np.uint64) * _LEVEL)
-    step = (h >> np.uint64(32)) | np.uint64(1)
-    for k in range(PROBES):
-        yield (h + np.uint64(k) * step) & _MASK
+    g = h * _PAIR
+    bits = [(g >> np.uint64(58 - 6 * k)) & _BIT for k in range(6)]
+    return [(h & _WORD, bits[:3]), ((h >> np.uint64(_WORD_BITS)) & _WORD, bits[3:])]
 
 
 def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,8 +155,9 @@ def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own = segment == s
             g, q, at = grams[own], levels[own], 1
             while len(g):
-                for position in _positions(g, at):
-                    bits[position] = 1
+                for word, places in _places(g, at):
+                    for bit in places:
+                        bits[(word << np.uint64(6)) | bit] = 1
                 g, q, at = g[q > at], q[q > at], at + 1
     if current is not None:
         yield done()
@@ -164,21 +169,23 @@ class Filter:
     def __init__(self, segments: int, parts: dict[int, bytes]):
         self.segments = segments
         empty = bytes(1 << (SEGMENT_BITS - 3))
-        self.bits = np.frombuffer(b"".join(parts.get(s, empty) for s in range(segments)), np.uint8)
-
-    def _has(self, grams: np.ndarray, at: int) -> np.ndarray:
-        base, live = _segment(grams, self.segments) << np.uint64(SEGMENT_BITS), np.arange(len(grams))
-        for position in _positions(grams, at):
-            bit = base[live] | position[live]
-            live = live[(self.bits[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1]
-        out = np.zeros(len(grams), bool)
-        out[live] = True
+        self.words = np.frombuffer(b"".join(parts.get(s, empty) for s in range(segments)), "<u8")
+
+    def has(self, grams: np.ndarray, at: int) -> np.ndarray:
+        """Which entries (gram, at) are held."""
+        base, out = _segment(grams, self.segments) << np.uint64(_WORD_BITS), np.ones(len(grams), bool)
+        one, live = np.uint64(1), slice(None)
+        for word, (b0, b1, b2) in _places(grams, at):
+            mask = (one << b0[live]) | (one << b1[live]) | (one << b2[live])
+            found = (self.words[base[live] | word[live]] & mask) == mask
+            out[live] = found
+            live = np.flatnonzero(out)
         return out
 
     def levels(self, grams: np.ndarray) -> np.ndarray:
         out, live, at = np.zeros(len(grams), np.int64), np.arange(len(grams)), 1
         while len(live):
-            live = live[self._has(grams[live], at)]
+            live = live[self.has(grams[live], at)]
             out[live] = at
             at += 1
         return out
@@ -187,13 +194,14 @@ class Filter:
         unique, where = np.unique(grams, return_inverse=True)
         return count_of(self.levels(unique))[where]
 
-    def error_rate(self) -> float:
-        """How often an entry that is not held is found."""
-        return float((np.unpackbits(self.bits).mean()) ** PROBES)
+    def error_rate(self, probes: int = 200_000) -> float:
+        """How often an n-gram that is not held is found, by trial."""
+        return float(self.has(mixed(np.arange(probes, dtype=np.uint64) + _PAIR), 1).mean())
 
 
 def log_probabilities(model: Filter, n: int, v: int, hashes: list[np.ndarray]) -> np.ndarray:
     """log10 of each text's probability."""
+    hashes = [np.ascontiguousarray(h) for h in hashes]
     row = np.concatenate(hashes)
     word = model.counts(row)
     starts = np.concatenate([[0], np.cumsum([len(h) for h in hashes])[:-1]])
@@ -204,13 +212,22 @@ def log_probabilities(model: Filter, n: int, v: int, hashes: list[np.ndarray]) -
     return np.add.reduceat(np.log10((pair + PRIOR * single) / (before + PRIOR)), starts)
 
 
-class _HotLogs(dict):
-    """log10(count + 0.5) of frequent words as eight bytes, not-a-number for others."""
+class _Known(WordHashes):
+    """A word's hash and, for frequent words, log10(count + 0.5), not-a-number for others: 16 bytes."""
+
+    kind = np.dtype([("hash", "<u8"), ("log", "<f8")])
 
-    other = np.float64(np.nan).tobytes()
+    def __init__(self, hot: list[tuple[bytes, int]]):
+        super().__init__(limit=400_000)
+        self.logs = {w: np.float64(math.log10(c + 0.5)).tobytes() for w, c in hot}
+        self.other = np.float64(np.nan).tobytes()
 
     def __missing__(self, word: bytes) -> bytes:
-        return self.other
+        value = self[word] = super().__missing__(word) + self.logs.get(word, self.other)
+        return value
+
+    def of(self, found: list[bytes]) -> np.ndarray:
+        return np.frombuffer(b"".join(map(self.__getitem__, found)), self.kind)
 
 
 _SCORED = pa.schema([
@@ -225,14 +242,14 @@ def _score(sent):
         from pyspark import TaskContext
 
         model, n, v, hot = sent.value
-        logs = _HotLogs((w, np.float64(math.log10(c + 0.5)).tobytes()) for w, c in hot)
-        known, row = WordHashes(), TaskContext.get().partitionId() << 40
+        known, row = _Known(hot), TaskContext.get().partitionId() << 40
         for b, texts in _batches(batches, 2):
             found = [tokens(t) for t in texts]
-            scores = log_probabilities(model, n, v, [known.of(ts) for ts in found])
+            values_of = [known.of(ts) for ts in found]
+            scores = log_probabilities(model, n, v, [x["hash"] for x in values_of])
             out: dict[str, list] = {f.name: [] for f in _SCORED}
-            for ts in found:
-                values = np.frombuffer(b"".join(map(logs.__getitem__, ts)))
+            for ts, x in zip(found, values_of, strict=True):
+                values = x["log"]
                 other = np.isnan(values)
                 rest = Counter(ts[i] for i in np.flatnonzero(other))
                 out["n_tokens"].append(len(ts))

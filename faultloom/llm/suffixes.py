@@ -141,7 +141,7 @@ def _snippets(sent):
             ids, versions, texts = b.column(0).to_pylist(), b.column(1).to_pylist(), texts_as_bytes(b.column(2))
             for data, ends, owner, shift in _chunks(texts):
                 grams, first, last = anchors(data, ends)
-                live = np.flatnonzero(again._has(grams, 1))
+                live = np.flatnonzero(again.has(grams, 1))
                 raw, out = data.tobytes(), {f.name: [] for f in _SNIPPET}
                 text = np.searchsorted(ends, first[live], side="right")
                 for k, t in zip(live.tolist(), text.tolist(), strict=True):
