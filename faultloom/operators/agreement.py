@@ -24,11 +24,12 @@ def join_labels(
 ) -> DataFrame:
     """Inner join of label tables: the key, ``<axis>_<i>`` per table, and a weight.
 
-    The weight says how many joined rows the row stands for.
+    The weight says how many joined rows the row stands for. Each table is dealt
+    by the key once, for the count and for the join.
     """
     joined, weight = None, F.lit(1)
     for i, table in enumerate(tables):
-        counted = table.groupBy(
+        counted = table.repartition(join_on).groupBy(
             F.col(join_on), *[F.col(axis).alias(f"{axis}_{i}") for axis in axes]
         ).agg(F.count("*").alias(f"_n_{i}"))
         joined = counted if joined is None else joined.join(counted, join_on)
@@ -204,8 +205,9 @@ def pairwise_kappa(labels: DataFrame) -> DataFrame:
 
     Equal annotations are counted first. An (issue, axis) group then holds at
     most one entry per annotator and label, and its pairs are formed in place.
+    Rows without an issue are left out, as in the joins of two tables.
     """
-    counted = labels.groupBy("node_id", "axis", "annotator", "label").agg(
+    counted = labels.filter(F.col("node_id").isNotNull()).groupBy("node_id", "axis", "annotator", "label").agg(
         F.count("*").alias("n")
     )
     grouped = counted.groupBy("node_id", "axis").agg(

@@ -91,14 +91,14 @@ def keep_failures(issues: DataFrame, terms: FailureTerms = FailureTerms()) -> Da
 def since_cursor(issues: DataFrame, cursors: DataFrame) -> DataFrame:
     """Issues at or after their source's cursor; a source without cursor keeps all.
 
-    The cursor table has a row per source. Spark broadcasts it when its size
-    allows and otherwise joins by key with AQE splitting hot sources.
+    The cursor table has a row per source by definition, so it is broadcast and
+    the issues stay where they are.
     """
     marks = cursors.select(
         F.col("slug").alias("framework_slug"), F.col("last_scraped_at").alias("_cursor")
     )
     return (
-        issues.join(marks, "framework_slug", "left")
+        issues.join(F.broadcast(marks), "framework_slug", "left")
         .filter(F.col("_cursor").isNull() | (F.col("updated_at") >= F.col("_cursor")))
         .drop("_cursor")
     )

@@ -35,13 +35,32 @@ _ARROW = {
 }
 
 
+_KINDS = {f.name: f.dataType for f in LABELLED if f.name in {*_FIELDS, *_COUNTS}}
+
+
+def _typed(name: str, value: Any) -> Any:
+    """A field of an answer as its column takes it; a TypeError for what it does not."""
+    kind = _KINDS[name]
+    if name == "needs_review":
+        return bool(value)
+    if value is None:
+        return None
+    number = isinstance(value, (int, float)) and not isinstance(value, bool)
+    if kind == T.StringType() and isinstance(value, str):
+        value.encode()  # lone surrogates are no text
+        return value
+    if kind == T.DoubleType() and number:
+        return float(value)
+    if kind == T.LongType() and number and value == int(value) and abs(value) < 1 << 63:
+        return int(value)
+    raise TypeError(f"{name}: {type(value).__name__} instead of {kind.simpleString()}")
+
+
 def _attempt(labeller: Labeller, prompt: str, tries: int, wait: float) -> dict[str, Any]:
     for left in range(tries - 1, -1, -1):
         try:
             answer = labeller(prompt)
-            row = {name: answer.get(name) for name in [*_FIELDS, *_COUNTS]}
-            row["needs_review"] = bool(row["needs_review"])
-            return {**row, "error": None}
+            return {n: _typed(n, answer.get(n)) for n in _KINDS} | {"error": None}
         except TransientError as error:
             if not left:
                 return {"error": f"transient: {error}"}
@@ -59,36 +78,50 @@ def label_prompts(
     tries: int = 3,
     wait: float = 1.0,
     parallelism: int | None = None,
+    at_once: int = 100,
 ) -> DataFrame:
     """Run a labeller over (node_id, prompt) rows.
 
     The factory runs once per task, so a client and its connection are shared
-    by the rows of a partition. A row that fails keeps its error and no labels.
-    ``parallelism`` spreads the calls evenly over that many tasks. Write the
-    result before using it twice: every use of the frame calls the labeller.
+    by the rows of a partition. A row that fails, or whose answer has a field of
+    the wrong type, keeps its error and no labels. A column ``row``, where there
+    is one, is passed through beside the labels, so that nothing need be joined
+    back. ``parallelism`` spreads the calls evenly over that many tasks; rows go
+    on after ``at_once`` answers. Write the result before using it twice: every
+    use of the frame calls the labeller.
     """
-    prompts = prompts.select("node_id", "prompt")
+    passed = [f for f in prompts.schema if f.name == "row"]
+    prompts = prompts.select("node_id", "prompt", *[f.name for f in passed])
     if parallelism:
         prompts = prompts.repartition(parallelism)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeller = factory()
         for batch in batches:
-            ids, texts = (batch.column(name).to_pylist() for name in ("node_id", "prompt"))
-            rows = [
-                {"node_id": node_id, **_attempt(labeller, text, tries, wait)}
-                for node_id, text in zip(ids, texts, strict=True)
-            ]
-            yield pa.RecordBatch.from_pylist(rows, schema)
+            for lo in range(0, batch.num_rows, at_once):
+                part = batch.slice(lo, at_once)
+                ids, texts = (part.column(name).to_pylist() for name in ("node_id", "prompt"))
+                rows = [
+                    {"node_id": node_id, **_attempt(labeller, text, tries, wait)}
+                    for node_id, text in zip(ids, texts, strict=True)
+                ]
+                out = pa.RecordBatch.from_pylist(rows, schema)
+                for f in passed:
+                    out = out.append_column(f.name, part.column(f.name))
+                yield out
 
     schema = pa.schema([(field.name, _ARROW[field.dataType]) for field in LABELLED])
-    return prompts.mapInArrow(run, LABELLED)
+    return prompts.mapInArrow(run, T.StructType([*LABELLED.fields, *passed]))
 
 
 def accepted(labelled: DataFrame) -> DataFrame:
     """Labels that were produced and satisfy every constraint."""
-    checked = check_labels(labelled.filter("error IS NULL"))
-    return checked.filter("valid").select(*LABELS.names)
+    return accepted_rows(labelled).select(*LABELS.names)
+
+
+def accepted_rows(labelled: DataFrame) -> DataFrame:
+    """The same with all columns, what was passed through among them."""
+    return check_labels(labelled.filter("error IS NULL")).filter("valid")
 
 
 def rejected(labelled: DataFrame) -> DataFrame:

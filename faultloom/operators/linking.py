@@ -104,11 +104,19 @@ def term_counts(texts: DataFrame, stop_words: Sequence[str], *keep: str) -> Data
 def document_frequency(texts: DataFrame, stop_words: Sequence[str], key: str) -> DataFrame:
     """In how many texts each word or word pair occurs, and how often in all.
 
-    Shuffling the texts by key, not the many terms made of them, lets each
-    text's terms be counted where the text is.
+    A text's terms are sorted within its row, so the first of a run of equal terms
+    counts for the text and every one for the occurrences. Texts are not shuffled;
+    counts are, added up before that.
     """
-    return term_counts(texts.repartition(key), stop_words, key).groupBy("term").agg(
-        F.count("*").alias("df"), F.sum("tf").alias("occurrences")
+    ordered = _terms(texts, stop_words, key).select(F.sort_array("terms").alias("terms"))
+    first = F.transform(
+        "terms",
+        lambda t, i: F.struct(t.alias("term"), (F.get("terms", i - 1) == t).alias("again")),
+    )
+    # Outer: an inner generator would have Spark make the terms once more below it.
+    marked = ordered.select(F.explode_outer(first).alias("t")).filter("t IS NOT NULL").select("t.*")
+    return marked.groupBy("term").agg(
+        F.count_if(~F.coalesce("again", F.lit(False))).alias("df"), F.count("*").alias("occurrences")
     )
 
 

@@ -29,8 +29,25 @@ def issue_rows(
     version: str = __version__,
     classified_at: Column | None = None,
 ) -> DataFrame:
-    """Join raw issues with their labels and stamp how the labels were made."""
-    stamped = raw.join(labels, "node_id").withColumns(
+    """Join raw issues with their labels and stamp how the labels were made.
+
+    For labels that come in a table of their own, one row per issue.
+    """
+    return stamped_rows(
+        raw.join(labels, "node_id"), tier=tier, model=model, version=version, classified_at=classified_at
+    )
+
+
+def stamped_rows(
+    labelled: DataFrame,
+    *,
+    tier: str,
+    model: str,
+    version: str = __version__,
+    classified_at: Column | None = None,
+) -> DataFrame:
+    """Raw issues that have their labels beside them, stamped."""
+    stamped = labelled.withColumns(
         {
             "classifier_tier": F.lit(tier),
             "classifier_model": F.lit(model),
@@ -82,10 +99,15 @@ def relabel_rows(
     sample: DataFrame, labels: DataFrame, model: str, classified_at: Column | None = None
 ) -> DataFrame:
     """The output of a relabelling run, one row per issue that got a label."""
+    return relabelled(
+        sample.select("node_id", "framework_slug").join(labels, "node_id"), model, classified_at
+    )
+
+
+def relabelled(labelled: DataFrame, model: str, classified_at: Column | None = None) -> DataFrame:
+    """The same from rows that have their labels beside them."""
     stamped = (
-        sample.select("node_id", "framework_slug")
-        .join(labels, "node_id")
-        .withColumn("classifier_model", F.lit(model))
+        labelled.withColumn("classifier_model", F.lit(model))
         .withColumn(
             "classified_at", F.current_timestamp() if classified_at is None else classified_at
         )
@@ -118,6 +140,17 @@ def prompts(raw: DataFrame) -> DataFrame:
     return raw.select("node_id", prompt_text().alias("prompt"))
 
 
+def prompts_with_rows(raw: DataFrame) -> DataFrame:
+    """Prompts with the raw issue beside them, for a labeller to pass through."""
+    return raw.select("node_id", prompt_text().alias("prompt"), F.struct(*raw.columns).alias("row"))
+
+
+def with_labels(labelled: DataFrame) -> DataFrame:
+    """Raw issues and labels side by side, from labelled rows that passed the issue through."""
+    own = [c for c in labelled.columns if c not in ("row", "node_id")]
+    return labelled.select("row.*", *own)
+
+
 def prompts_with_taxonomy(raw: DataFrame, rows: Sequence[Label] = TAXONOMY_ROWS) -> DataFrame:
     """Prompts with the constant taxonomy prefix, a literal as it is the same for every row."""
     return prompts(raw).withColumn("system_prompt", F.lit(system_prompt(rows)))

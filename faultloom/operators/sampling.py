@@ -2,9 +2,10 @@
 
 Rows are ordered by a seeded hash of their key, so a sample is repeatable and
 does not depend on partitioning. The first 3 hex digits of the hash put rows
-into 4,096 buckets. Counting per bucket finds where a sample of the wanted
-size ends: whole buckets are taken as they are, and only the rows of the one
-bucket the cut falls into are ranked. No stratum is ever ranked as a whole.
+into 4,096 buckets. Counting per bucket finds the bucket where a sample of the
+wanted size ends. Only keys and hashes of that bucket are ranked, which gives
+the last (hash, key) of the sample. Rows up to this bound are then filtered in
+the scan; the table itself is never shuffled.
 """
 
 from __future__ import annotations
@@ -18,8 +19,8 @@ _BUCKET_DIGITS = 3
 
 
 def sample_order(key: str, seed: int) -> Column:
-    """The seeded hash that rows are sampled in the order of."""
-    return F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")))
+    """The seeded hash that rows are sampled in the order of. A row without key comes first."""
+    return F.coalesce(F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}"))), F.lit(""))
 
 
 def _hashed(df: DataFrame, key: str, seed: int) -> DataFrame:
@@ -33,25 +34,60 @@ def _bucket_counts(df: DataFrame, by: list[str], key: str, seed: int) -> DataFra
     return _hashed(df.select(*by, key), key, seed).groupBy(*by, "_b").agg(F.count("*").alias("_n"))
 
 
-def _take(df: DataFrame, counts: DataFrame, by: list[str], key: str, seed: int) -> DataFrame:
-    """The first ``target`` rows in sample order of each group.
+def _bounds(df: DataFrame, counts: DataFrame, by: list[str], key: str, seed: int) -> DataFrame:
+    """The last place of each group's sample, a row for each group that has more rows than its target.
 
-    ``counts`` are bucket counts with a ``target`` column. One scan of the
-    table joins the buckets that have room; the rows kept are shuffled by
-    bucket, and in a bucket that is cut the rank decides.
+    ``_last`` is the (hash, key) there, ``_need`` how many of the ``_ties`` rows
+    with just this hash and key belong to the sample.
     """
-    before = F.sum("_n").over(
-        Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    upto = F.sum("_n").over(Window.partitionBy(*by).orderBy("_b"))
+    cuts = (
+        counts.withColumn("_upto", upto)
+        .withColumn("_room", F.col("target") - (F.col("_upto") - F.col("_n")))
+        .filter((F.col("_room") > 0) & (F.col("_room") <= F.col("_n")))
+        .select(*by, F.col("_b").alias("_cut"), "_room")
     )
-    room = F.least("_n", F.col("target") - F.coalesce(before, F.lit(0)))
-    rooms = counts.withColumn("_room", room).filter(F.col("_room") > 0).select(*by, "_b", "_room")
-    kept = _join_null_safe(_hashed(df, key, seed), rooms, [*by, "_b"])
-    rank = F.row_number().over(Window.partitionBy(*by, "_b").orderBy("_h", F.col(key)))
-    return kept.withColumn("_rank", rank).filter(F.col("_rank") <= F.col("_room")).select(*df.columns)
+    keys = _join_null_safe(_hashed(df.select(*by, key), key, seed), F.broadcast(cuts), by)
+    place = F.struct("_h", key)
+    ranked = keys.filter(F.col("_b") == F.col("_cut")).withColumn("_place", place)
+    ranked = ranked.withColumn("_rank", F.row_number().over(Window.partitionBy(*by).orderBy("_place")))
+    last = F.max(F.when(F.col("_rank") == F.col("_room"), F.col("_place")))
+    ranked = ranked.withColumn("_last", last.over(Window.partitionBy(*by)))
+    tied = ranked.filter(F.col("_place") == F.col("_last"))
+    return tied.groupBy(*by).agg(
+        F.first("_last").alias("_last"),
+        F.count("*").alias("_ties"),
+        F.count_if(F.col("_rank") <= F.col("_room")).alias("_need"),
+    )
+
 
+def _take(df: DataFrame, counts: DataFrame, by: list[str], key: str, seed: int) -> DataFrame:
+    """The first ``target`` rows in sample order of each group.
 
-def _join_null_safe(left: DataFrame, right: DataFrame, by: list[str]) -> DataFrame:
-    """Inner join on columns that may be null, null matching null."""
+    ``counts`` are bucket counts with a ``target`` column of 1 and more. The
+    bounds, a row per group, are written and broadcast. Only where rows repeat
+    the last key of a sample are these few ranked.
+    """
+    bounds = materialize(_bounds(df, counts, by, key, seed), "sample-bounds")
+    rows = _hashed(df, key, seed)
+    if by:
+        rows = _join_null_safe(rows, F.broadcast(bounds), by, "left")
+    else:
+        rows = rows.join(F.broadcast(bounds), F.lit(True), "left")
+    place = F.struct("_h", key)
+    kept = rows.filter(F.col("_last").isNull() | (place <= F.col("_last")))
+    if not bounds.filter("_ties > _need").take(1):
+        return kept.select(*df.columns)
+    tied = F.coalesce((place == F.col("_last")) & (F.col("_ties") > F.col("_need")), F.lit(False))
+    rank = F.row_number().over(Window.partitionBy(*by).orderBy(F.xxhash64(*df.columns)))
+    some = kept.filter(tied).withColumn("_rank", rank).filter(F.col("_rank") <= F.col("_need"))
+    return kept.filter(~tied).select(*df.columns).union(some.select(*df.columns))
+
+
+def _join_null_safe(
+    left: DataFrame, right: DataFrame, by: list[str], how: str = "inner"
+) -> DataFrame:
+    """Join on columns that may be null, null matching null."""
     renamed = right.select(
         *[F.col(c).alias(f"_r_{c}") for c in by],
         *[c for c in right.columns if c not in by],
@@ -59,7 +95,7 @@ def _join_null_safe(left: DataFrame, right: DataFrame, by: list[str]) -> DataFra
     on = F.lit(True)
     for c in by:
         on = on & F.col(c).eqNullSafe(F.col(f"_r_{c}"))
-    return left.join(renamed, on).drop(*[f"_r_{c}" for c in by])
+    return left.join(renamed, on, how).drop(*[f"_r_{c}" for c in by])
 
 
 def random_sample(df: DataFrame, n: int, *, key: str = "node_id", seed: int = 42) -> DataFrame:
@@ -187,7 +223,7 @@ def oversampled(
     A stratum's share follows the sum of its rows' weights instead of their
     number, so rows worth looking at (flagged for review, disputed) get more room.
     """
-    composite = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in strata])
+    composite = F.struct(*[F.col(c).cast("string") for c in strata])
     tagged = df.withColumn("_stratum", composite)
     counts = (
         _hashed(tagged.withColumn("_weight", weight), key, seed)

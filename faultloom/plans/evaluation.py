@@ -30,10 +30,10 @@ def relabel(
         sample = sampling.stratified_sample(issues, sample_size, stratum=stratum, seed=seed)
     sample = materialize(rows.raw_from_issues(sample), "sample")
     labelled = labelling.label_prompts(
-        rows.prompts(sample), factory, tries=tries, parallelism=parallelism
+        rows.prompts_with_rows(sample), factory, tries=tries, parallelism=parallelism
     )
-    labels = labelling.accepted(materialize(labelled, "relabels"))
-    return rows.relabel_rows(sample, labels, model, classified_at)
+    found = labelling.accepted_rows(materialize(labelled, "relabels"))
+    return rows.relabelled(rows.with_labels(found), model, classified_at)
 
 
 def compare(

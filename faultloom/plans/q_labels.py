@@ -14,6 +14,7 @@ from faultloom.plans import views
 from faultloom.plans.registry import flat, query, sql_in, sql_iso, sql_list, sql_text
 from faultloom.plans.views import ISSUES_SQL, STREAM_SQL, with_views
 from faultloom.schemas import AXES, CORPUS_IDS, DOMAINS, LABELS, LINK_METHODS
+from faultloom.session import materialize
 
 _AXES_SQL = ", ".join(AXES)
 
@@ -370,6 +371,61 @@ def labeller_rejects(spark, sf_dir):
     return labelling.rejected(labelled).groupBy("error").agg(F.count("*").alias("n"))
 
 
+def wrong_type_labeller():
+    """The length rule with some fields of types that their columns do not take."""
+    right = length_labeller()
+
+    def label(prompt: str) -> dict:
+        answer = right(prompt)
+        if len(prompt) % 5 == 0:
+            answer["confidence"] = str(answer["confidence"])
+        elif len(prompt) % 7 == 0:
+            answer["reasoning"] = {"text": answer["reasoning"]}
+        elif len(prompt) % 11 == 0:
+            answer["total_tokens"] = 0.5
+        return answer
+
+    return label
+
+
+@query(
+    "labeller_wrong_types",
+    f"""{with_views(ISSUES_SQL, _PROMPTS_SQL)},
+    fates AS (SELECT CASE WHEN length(prompt) % 17 = 0 THEN 'ValueError: no label for this one'
+        WHEN length(prompt) % 5 = 0 THEN 'TypeError: confidence: str instead of double'
+        WHEN length(prompt) % 7 = 0 THEN 'TypeError: reasoning: dict instead of string'
+        WHEN length(prompt) % 11 = 0 THEN 'TypeError: total_tokens: float instead of bigint'
+        WHEN length(prompt) % 19 = 0 THEN 'broken constraint' ELSE 'accepted' END AS fate FROM prompts)
+    SELECT fate, count(*) AS n FROM fates GROUP BY fate""",
+)
+def labeller_wrong_types(spark, sf_dir):
+    labelled = labelling.label_prompts(
+        rows.prompts(views.issues(spark, sf_dir)), wrong_type_labeller, parallelism=8
+    )
+    labelled = materialize(labelled, "wrong-types")
+    bad = labelling.rejected(labelled).select(F.coalesce("error", F.lit("broken constraint")).alias("fate"))
+    good = labelling.accepted(labelled).select(F.lit("accepted").alias("fate"))
+    return bad.union(good).groupBy("fate").agg(F.count("*").alias("n"))
+
+
+@query(
+    "labeller_repeated_ids",
+    f"""{with_views(ISSUES_SQL, _PROMPTS_SQL)},
+    twice AS (SELECT * FROM prompts UNION ALL SELECT * FROM prompts),
+    again AS ({_length_labels_sql("twice")})
+    SELECT node_id, count(*) AS n, min(reasoning) AS reasoning FROM again GROUP BY node_id""",
+)
+def labeller_repeated_ids(spark, sf_dir):
+    issues = views.issues(spark, sf_dir)
+    labelled = labelling.label_prompts(
+        rows.prompts_with_rows(rows.raw_from_issues(issues.union(issues))), length_labeller, parallelism=8
+    )
+    stamped = rows.stamped_rows(
+        rows.with_labels(labelling.accepted_rows(labelled)), tier="v4_pro", model="length-rule"
+    )
+    return stamped.groupBy("node_id").agg(F.count("*").alias("n"), F.min("reasoning").alias("reasoning"))
+
+
 @query(
     "relabel_projection",
     f"""{with_views(ISSUES_SQL, _PROMPTS_SQL)}, again AS ({_length_labels_sql("prompts")})
@@ -380,11 +436,12 @@ def labeller_rejects(spark, sf_dir):
 )
 def relabel_projection(spark, sf_dir):
     issues = views.issues(spark, sf_dir)
-    labels = labelling.accepted(
-        labelling.label_prompts(rows.prompts(issues), length_labeller, parallelism=8)
+    labelled = labelling.label_prompts(
+        rows.prompts_with_rows(rows.raw_from_issues(issues)), length_labeller, parallelism=8
     )
+    found = rows.with_labels(labelling.accepted_rows(labelled))
     clock = F.lit("2026-05-02").cast("timestamp")
-    return flat(rows.relabel_rows(issues, labels, "length-rule", clock))
+    return flat(rows.relabelled(found, "length-rule", clock))
 
 
 # --- usage -------------------------------------------------------------------

@@ -94,7 +94,10 @@ def _labelled(kept: DataFrame, run: WeeklyRun, revision: str, clock) -> DataFram
     # Written before use: each use of the frame would call the labeller again.
     labelled = materialize(
         labelling.label_prompts(
-            rows.prompts(kept), how.factory, tries=how.tries, parallelism=how.parallelism
+            rows.prompts_with_rows(kept),
+            how.factory,
+            tries=how.tries,
+            parallelism=how.parallelism,
         ),
         "labels",
     )
@@ -103,9 +106,8 @@ def _labelled(kept: DataFrame, run: WeeklyRun, revision: str, clock) -> DataFram
         bad.write.mode("overwrite").parquet(f"{run.quarantine}/{revision}/labels")
     if run.usage:
         labelling.usage(labelled).write.mode("overwrite").parquet(f"{run.usage}/{revision}")
-    return rows.issue_rows(
-        kept,
-        labelling.accepted(labelled),
+    return rows.stamped_rows(
+        rows.with_labels(labelling.accepted_rows(labelled)),
         tier=how.tier,
         model=how.model,
         version=__version__,

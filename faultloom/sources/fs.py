@@ -25,17 +25,26 @@ def subdirs(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in found if s.isDirectory())
 
 
-def find(spark: SparkSession, root: str, name: str, depth: int = 6) -> list[str]:
-    """Every path called ``name`` up to ``depth`` levels under a root, sorted.
+def find(spark: SparkSession, root: str, name: str) -> list[str]:
+    """Every path called ``name`` under a root, however deep, sorted.
 
-    A listing of directories, not of data files: it grows with shards.
+    A descent of directories; what is found is not entered. It grows with shards.
     """
-    fs, found = _fs(spark, root), []
-    for level in range(depth + 1):
-        pattern = "/".join([root.rstrip("/"), *["*"] * level, name])
-        hits = fs.globStatus(_path(spark, pattern)) or []
-        found += [h.getPath().toString() for h in hits]
-    return sorted(set(found))
+    if not exists(spark, root):
+        return []
+    fs, found, open_ = _fs(spark, root), [], [_path(spark, root)]
+    while open_:
+        for status in fs.listStatus(open_.pop()):
+            path = status.getPath()
+            if path.getName() == name:
+                found.append(path.toString())
+            elif status.isDirectory():
+                open_.append(path)
+    return sorted(found)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    _fs(spark, path).delete(_path(spark, path), True)
 
 
 def swap_in(spark: SparkSession, staged: str, target: str) -> None:

@@ -3,12 +3,16 @@
 The table is a log. Every micro-batch writes its own directory, overwritten
 when the batch is retried, so a lost executor or a restart leaves no
 duplicates and no batch rewrites what earlier ones wrote. Reading takes the
-newest row per issue. ``compact`` folds the log into one directory from time
-to time.
+newest row per issue. ``compact`` folds the log from time to time: it writes a
+directory of its own, whose success marker commits it. Readers take the last
+folded directory that has one and the batches after it; nothing that is read is
+ever renamed, so a compaction may stop anywhere.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -19,7 +23,7 @@ from faultloom.schemas import RAW_ISSUE, empty
 from faultloom.sources import fs
 from faultloom.sources.payloads import good_rows, quarantine, type_payloads
 
-BATCH = "batch_id"
+BATCH, FOLDED = "batch_id", "folded"
 
 
 def _latest(rows: DataFrame) -> DataFrame:
@@ -38,30 +42,53 @@ def write_batch(rows: DataFrame, batch_id: int, table: str) -> None:
     rows.drop(BATCH).write.mode("overwrite").parquet(f"{table}/{BATCH}={batch_id}")
 
 
+def _live(spark: SparkSession, table: str) -> tuple[str | None, list[int], list[str]]:
+    """The last committed fold, the batches after it, and the directories they make superfluous."""
+    names = fs.subdirs(spark, table)
+    folds = [
+        (int(name.split("-")[1]), name)
+        for name in names
+        if name.startswith(FOLDED) and fs.exists(spark, f"{table}/{name}/_SUCCESS")
+    ]
+    upto, fold = max(folds, default=(None, None))
+    ids = sorted(int(name.split("=")[1]) for name in names if name.startswith(f"{BATCH}="))
+    after = [i for i in ids if upto is None or i > upto]
+    old = [f"{BATCH}={i}" for i in ids if i not in after] + [n for _, n in folds if n != fold]
+    return fold, after, old
+
+
+def _log(spark: SparkSession, table: str, fold: str | None, batches: list[int]) -> DataFrame:
+    """Rows of the log with the batch they came with."""
+    schema = StructType([*RAW_ISSUE.fields, StructField(BATCH, LongType())])
+    rows = empty(spark, schema)
+    if batches:
+        paths = [f"{table}/{BATCH}={i}" for i in batches]
+        rows = spark.read.schema(schema).option("basePath", table).parquet(*paths)
+    if fold is not None:
+        rows = rows.unionByName(spark.read.schema(schema).parquet(f"{table}/{fold}"))
+    return rows
+
+
 def read_upserted(spark: SparkSession, table: str) -> DataFrame:
     """The current rows of an upserted table."""
-    if not fs.subdirs(spark, table):
-        return empty(spark, RAW_ISSUE)
-    schema = StructType([*RAW_ISSUE.fields, StructField(BATCH, LongType())])
-    return _latest(spark.read.schema(schema).parquet(table)).drop(BATCH)
+    fold, batches, _ = _live(spark, table)
+    return _latest(_log(spark, table, fold, batches)).drop(BATCH)
 
 
 def compact(spark: SparkSession, table: str) -> None:
-    """Fold all batches but the last into one. Run it between streaming runs.
+    """Fold all batches but the last into one directory. Run it between streaming runs.
 
     The last batch keeps its directory: a stream that stopped in the middle of
-    it writes it again. The folded log replaces the old one in one swap.
+    it writes it again. What the fold before this one had replaced is deleted, so
+    readers that started before this compaction still find their files.
     """
-    batches = sorted(int(name.split("=")[1]) for name in fs.subdirs(spark, table))
+    fold, batches, old = _live(spark, table)
     if len(batches) < 2:
         return
-    staged = f"{table}.staged"
-    schema = StructType([*RAW_ISSUE.fields, StructField(BATCH, LongType())])
-    log = spark.read.schema(schema).parquet(table)
-    folded = _latest(log.filter(F.col(BATCH) < batches[-1])).withColumn(BATCH, F.lit(batches[-2]))
-    last = log.filter(F.col(BATCH) == batches[-1])
-    folded.unionByName(last).write.mode("overwrite").partitionBy(BATCH).parquet(staged)
-    fs.swap_in(spark, staged, table)
+    rows = _latest(_log(spark, table, fold, batches[:-1]))
+    rows.write.parquet(f"{table}/{FOLDED}-{batches[-2]}-{uuid.uuid4().hex}")
+    for name in old:
+        fs.delete(spark, f"{table}/{name}")
 
 
 def failures(payloads: DataFrame, terms: FailureTerms = FailureTerms()) -> DataFrame:

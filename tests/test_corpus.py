@@ -307,3 +307,11 @@ def test_relabel_and_compare(spark, tmp_path):
     assert report["n"] == 20 and report["per_axis"]["locus"]["kappa"] is None
     assert report["per_axis"]["symptom"]["kappa"] == 0.0 and report["mean_kappa"] is None
     assert spark.read.text(str(tmp_path / "report")).count() == 4
+
+
+def test_shards_are_found_at_any_depth(spark, tmp_path):
+    deep = "/".join("abcdefghij")
+    for folder in ("x", deep):
+        issues(spark, [(folder, "a", "crash", None)]).write.parquet(str(tmp_path / folder / "2026-W17" / "issues.parquet"))
+    assert sorted(r.node_id for r in snapshots.read_shards(spark, str(tmp_path)).collect()) == sorted(["x", deep])
+    assert fs.find(spark, str(tmp_path / "none"), "issues.parquet") == []

@@ -141,3 +141,29 @@ def test_oversampling_gives_weighted_rows_more_room(spark):
     )
     assert found.count() == 100 and found.columns == df.columns
     assert found.filter("needs_review").count() == 50
+
+
+def test_the_table_is_not_shuffled(spark):
+    df = spark.range(5000).selectExpr("cast(id as string) node_id", "id % 7 g", "repeat('x', 50) body")
+    for sample in (
+        sampling.random_sample(df, 100),
+        sampling.stratified_sample(df, 100, stratum="g"),
+        sampling.oversampled(df, 100, weight=F.lit(1), strata=["g"]),
+    ):
+        plan = sample._jdf.queryExecution().executedPlan().toString()
+        assert "body" in plan and "Exchange hashpartitioning" not in plan
+        assert "SinglePartition" not in plan and sample.count() == 100
+
+
+def test_exact_size_with_repeated_and_missing_keys(spark):
+    rows = [("a", i) for i in range(30)] + [(None, i) for i in range(30)] + [(str(i), i) for i in range(40)]
+    df = spark.createDataFrame(rows, "node_id string, x long")
+    for n in (1, 7, 31, 45, 99, 100, 150):
+        assert sampling.random_sample(df, n).count() == min(n, 100)
+
+
+def test_strata_stay_apart(spark):
+    values = [("a|b", "c"), ("a", "b|c"), (None, "c"), ("", "c")]
+    df = spark.createDataFrame([(f"{i}-{k}", *v) for k, v in enumerate(values) for i in range(50)], "node_id string, p string, q string")
+    found = sampling.oversampled(df, 8, weight=F.lit(1), strata=["p", "q"])
+    assert {(r.p, r.q): r["count"] for r in found.groupBy("p", "q").count().collect()} == dict.fromkeys(values, 2)

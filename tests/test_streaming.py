@@ -64,11 +64,39 @@ def test_compaction_keeps_rows_and_the_last_batch(spark, tmp_path):
         live.write_batch(raw(spark, [("a", datetime(2026, 4, 20 + i), f"v{i}"), (f"n{i}", None, "x")]), i, table)
     before = sorted(live.read_upserted(spark, table).collect(), key=lambda r: r.node_id)
     live.compact(spark, table)
-    assert fs.subdirs(spark, table) == ["batch_id=2", "batch_id=3"]
+    names = fs.subdirs(spark, table)
+    assert names[:4] == [f"batch_id={i}" for i in range(4)] and names[4].startswith("folded-2-")
     assert sorted(live.read_upserted(spark, table).collect(), key=lambda r: r.node_id) == before
-    live.write_batch(raw(spark, [("a", datetime(2026, 5, 1), "v9")]), 3, table)
+    live.write_batch(raw(spark, [("z", None, "x")]), 4, table)
+    live.compact(spark, table)
+    assert [n for n in fs.subdirs(spark, table) if n.startswith("batch")] == ["batch_id=3", "batch_id=4"]
+    assert {r.node_id for r in live.read_upserted(spark, table).collect()} == {r.node_id for r in before} | {"z"}
+    live.write_batch(raw(spark, [("a", datetime(2026, 5, 1), "v9")]), 4, table)
     assert {r.node_id: r.title for r in live.read_upserted(spark, table).collect()}["a"] == "v9"
 
 
+def test_a_compaction_may_stop_anywhere(spark, tmp_path):
+    table = str(tmp_path / "t")
+    for i in range(3):
+        live.write_batch(raw(spark, [(f"n{i}", datetime(2026, 4, 20 + i), "x")]), i, table)
+
+    def ids():
+        return sorted(r.node_id for r in live.read_upserted(spark, table).collect())
+
+    # Stopped while it writes: no success marker, so the directory does not count.
+    raw(spark, [("junk", None, "x")]).write.parquet(f"{table}/folded-1-stopped")
+    fs.delete(spark, f"{table}/folded-1-stopped/_SUCCESS")
+    assert ids() == ["n0", "n1", "n2"]
+    live.compact(spark, table)
+    assert ids() == ["n0", "n1", "n2"]
+    # Stopped while it deletes: what is left over is not read.
+    fs.delete(spark, f"{table}/batch_id=0")
+    assert ids() == ["n0", "n1", "n2"]
+    for i in range(3, 6):
+        live.write_batch(raw(spark, [(f"n{i}", None, "x")]), i, table)
+        live.compact(spark, table)
+    assert ids() == [f"n{i}" for i in range(6)]
+
+
 def test_nothing_streamed_yet(spark, tmp_path):
     assert live.read_upserted(spark, str(tmp_path / "none")).count() == 0
