@@ -13,7 +13,7 @@ from faultloom.functions.time import revision_tag
 from faultloom.operators import intake, labelling, linking, merging, rows
 from faultloom.schemas import CROSS_LINKS, empty
 from faultloom.session import materialize, pin_utc
-from faultloom.sources import payloads, snapshots, state
+from faultloom.sources import fs, payloads, snapshots, state
 from faultloom.sources.records import Loader, load_records
 
 
@@ -33,30 +33,51 @@ class WeeklyRun:
     """Where a run reads and writes. ``as_of`` is its clock, an ISO instant.
 
     ``main_is_unique`` says that only runs like this one ever published to the
-    corpus, so its main table has a row per issue.
+    corpus, so its main table has a row per issue. With a ``cap``, rows over it
+    wait in the ``backlog`` table, which the next run reads before anything new.
     """
 
     landing: str
     snapshots: str
     cursors: str
     as_of: str
+    quarantine: str
     corpus: str | None = None
     main_is_unique: bool = False
-    quarantine: str | None = None
     usage: str | None = None
     only_framework: str | None = None
     cap: int | None = None
+    backlog: str | None = None
     labelling: Labelling = field(default_factory=Labelling)
     loaders: Mapping[str, Loader] = field(default_factory=dict)
     link_options: Mapping[str, object] = field(default_factory=dict)
 
 
+    def __post_init__(self):
+        if self.cap and not self.backlog:
+            raise ValueError("a capped run needs a backlog for the rows over the cap")
+
+    @property
+    def run_id(self) -> str:
+        """Tells runs of one week apart. A run that is repeated has the same."""
+        return f"{self.as_of.replace(':', '')}-{self.only_framework or 'all'}"
+
+
+def read_quarantine(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    """What all runs have quarantined of a kind, ``payloads`` or ``labels``, with revision and run."""
+    found = spark.read.parquet(f"{path}/*/*/{kind}")
+    part = F.split(F.col("_metadata.file_path"), "/")
+    return found.select(
+        "*", F.element_at(part, -4).alias("revision"), F.element_at(part, -3).alias("run_id")
+    )
+
+
 def run_weekly(spark: SparkSession, run: WeeklyRun) -> str:
     """Run once and return the snapshot's directory.
 
     Cursors move last, after the snapshot and its publication are complete, so
     a run that dies is repeated in full. Rows that cannot be read or labelled
-    go to the quarantine folder with the reason.
+    go to the quarantine folder with the reason, in a folder of this run's own.
     """
     pin_utc(spark)
     clock = F.lit(run.as_of).cast("timestamp")
@@ -64,15 +85,21 @@ def run_weekly(spark: SparkSession, run: WeeklyRun) -> str:
     cursors = state.load_cursors(spark, run.cursors)
 
     typed = payloads.type_payloads(payloads.read_landing(spark, run.landing))
-    if run.quarantine:
-        bad = payloads.quarantine(typed)
-        bad.write.mode("overwrite").parquet(f"{run.quarantine}/{revision}/payloads")
+    bad = payloads.quarantine(typed)
+    bad.write.mode("overwrite").parquet(f"{run.quarantine}/{revision}/{run.run_id}/payloads")
     wanted = payloads.good_rows(typed)
     if run.only_framework:
         wanted = intake.only_framework(wanted, run.only_framework)
-    wanted = intake.latest_versions(intake.since_cursor(wanted, cursors))
-    wanted = intake.keep_failures(wanted)
+    wanted = intake.since_cursor(wanted, cursors)
+    waiting = fs.current_version(spark, run.backlog) if run.backlog else None
+    if waiting:
+        rest = spark.read.schema(wanted.schema).parquet(waiting)
+        if run.only_framework:
+            rest = intake.only_framework(rest, run.only_framework)
+        wanted = wanted.unionByName(rest)
+    wanted = intake.keep_failures(intake.latest_versions(wanted))
     # The kept rows feed the labels, the links and the cursors; read the landing files once.
+    wanted = materialize(wanted, "wanted")
     kept = materialize(intake.cap_per_framework(wanted, run.cap), "kept")
 
     issues = materialize(_labelled(kept, run, revision, clock), "issues")
@@ -83,6 +110,12 @@ def run_weekly(spark: SparkSession, run: WeeklyRun) -> str:
         snapshots.publish(
             spark, snapshot, run.corpus, revision, existing_unique=run.main_is_unique
         )
+    if run.backlog:
+        over = wanted.join(kept.select("node_id"), "node_id", "left_anti").select(*wanted.columns)
+        if waiting and run.only_framework:
+            others = spark.read.schema(wanted.schema).parquet(waiting)
+            over = over.unionByName(others.filter(F.col("framework_slug") != run.only_framework))
+        fs.write_version(over, run.backlog)
     state.save_cursors(state.advance(cursors, intake.next_cursors(kept)), run.cursors)
     return snapshot
 
@@ -101,11 +134,11 @@ def _labelled(kept: DataFrame, run: WeeklyRun, revision: str, clock) -> DataFram
         ),
         "labels",
     )
-    if run.quarantine:
-        bad = labelling.rejected(labelled)
-        bad.write.mode("overwrite").parquet(f"{run.quarantine}/{revision}/labels")
+    bad = labelling.rejected(labelled).drop("row")
+    bad.write.mode("overwrite").parquet(f"{run.quarantine}/{revision}/{run.run_id}/labels")
     if run.usage:
-        labelling.usage(labelled).write.mode("overwrite").parquet(f"{run.usage}/{revision}")
+        calls = labelling.usage(labelled)
+        calls.write.mode("overwrite").parquet(f"{run.usage}/{revision}/{run.run_id}")
     return rows.stamped_rows(
         rows.with_labels(labelling.accepted_rows(labelled)),
         tier=how.tier,

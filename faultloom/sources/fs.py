@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 
 def _path(spark: SparkSession, path: str):
@@ -47,6 +49,39 @@ def delete(spark: SparkSession, path: str) -> None:
     _fs(spark, path).delete(_path(spark, path), True)
 
 
+def current_version(spark: SparkSession, path: str) -> str | None:
+    """The newest complete version of a versioned table, None before the first."""
+    found = [
+        (int(name.split("-")[1]), name)
+        for name in subdirs(spark, path)
+        if name.startswith("v-") and exists(spark, f"{path}/{name}/_SUCCESS")
+    ]
+    return f"{path}/{max(found)[1]}" if found else None
+
+
+def write_version(df: DataFrame, path: str) -> None:
+    """Write a table's next version beside the last. Its success marker commits it.
+
+    It may be computed from the version it follows. That one stays for readers
+    that have begun; older ones are deleted.
+    """
+    spark, last = df.sparkSession, current_version(df.sparkSession, path)
+    n = 1 if last is None else int(last.rsplit("/", 1)[1].split("-")[1]) + 1
+    target = f"{path}/v-{n}-{uuid.uuid4().hex}"
+    df.write.parquet(target)
+    for name in subdirs(spark, path):
+        if f"{path}/{name}" not in (last, target):
+            delete(spark, f"{path}/{name}")
+
+
+def readable(spark: SparkSession, target: str) -> str | None:
+    """Where a swapped table can be read just now: the target, or the copy beside it while a swap is on."""
+    for path in (target, f"{target}.previous"):
+        if exists(spark, path):
+            return path
+    return None
+
+
 def swap_in(spark: SparkSession, staged: str, target: str) -> None:
     """Put a fully written directory in a target's place.
 

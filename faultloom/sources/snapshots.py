@@ -42,10 +42,10 @@ def corpus_table(corpus: str, revision: str | None, table: str) -> str:
 
 def read_table(spark: SparkSession, path: str, table: str) -> DataFrame:
     """A table with its declared schema; no rows where nothing was written yet."""
-    fs.recover(spark, path)
-    if not fs.exists(spark, path):
+    found = fs.readable(spark, path)
+    if found is None:
         return empty(spark, TABLES[table])
-    return spark.read.schema(TABLES[table]).parquet(path)
+    return spark.read.schema(TABLES[table]).parquet(found)
 
 
 def write_snapshot(

@@ -52,18 +52,13 @@ def merge_cursors(found: DataFrame, base: DataFrame | None = None) -> DataFrame:
 
 def load_cursors(spark: SparkSession, path: str) -> DataFrame:
     """The cursor table, empty before the first run."""
-    fs.recover(spark, path)
-    if not fs.exists(spark, path):
-        return empty(spark, CURSORS)
-    return spark.read.schema(CURSORS).parquet(path)
+    found = fs.current_version(spark, path)
+    return empty(spark, CURSORS) if found is None else spark.read.schema(CURSORS).parquet(found)
 
 
 def save_cursors(cursors: DataFrame, path: str) -> None:
-    """Replace the cursor table. It may be computed from the table it replaces."""
-    spark = cursors.sparkSession
-    staged = f"{path}.staged"
-    conform(cursors, CURSORS).coalesce(1).write.mode("overwrite").parquet(staged)
-    fs.swap_in(spark, staged, path)
+    """Write the cursors' next version. It may be computed from the last one."""
+    fs.write_version(conform(cursors, CURSORS).coalesce(1), path)
 
 
 def advance(cursors: DataFrame, seen: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from faultloom import dims
 from faultloom.operators import curation, merging, stats
 from faultloom.plans.evaluation import compare, relabel
-from faultloom.plans.weekly import Labelling, WeeklyRun, merge_shards, run_weekly
+from faultloom.plans.weekly import Labelling, WeeklyRun, merge_shards, read_quarantine, run_weekly
 from faultloom.schemas import CROSS_LINKS, CURSORS, ISSUES, conform, empty
 from faultloom.sources import fs, snapshots, state
 
@@ -152,6 +152,8 @@ def test_a_swap_cut_short_is_undone(spark, tmp_path):
     target = str(tmp_path / "t")
     issues(spark, [("n1", "a", "crash", None)]).write.parquet(f"{target}.previous")
     assert found(snapshots.read_table(spark, target, "issues")) == {"n1": "crash"}
+    assert not fs.exists(spark, target)  # readers read the copy; only writers repair
+    fs.recover(spark, target)
     assert fs.exists(spark, target) and not fs.exists(spark, f"{target}.previous")
 
 
@@ -283,14 +285,48 @@ def test_only_framework_with_labeller_and_links(spark, tmp_path):
     assert [(r.node_id, r.classifier_model, r.symptom) for r in rows] == [("a", "m1", "crash")]
     links = spark.read.parquet(f"{snapshot}/cross_links.parquet").collect()
     assert [(r.node_id, r.external_id, r.method) for r in links] == [("a", "1", "semantic")]
-    assert [r.node_id for r in spark.read.parquet(f"{tmp_path}/usage/2026-W17").collect()] == ["a"]
-    quarantine = f"{tmp_path}/quarantine/2026-W17"
-    assert [r.problem for r in spark.read.parquet(f"{quarantine}/payloads").collect()] == ["unknown state"]
-    assert [r.node_id for r in spark.read.parquet(f"{quarantine}/labels").collect()] == ["b"]
+    assert [r.node_id for r in spark.read.parquet(f"{tmp_path}/usage/*/*").collect()] == ["a"]
+    quarantine = f"{tmp_path}/quarantine"
+    bad = read_quarantine(spark, quarantine, "payloads").collect()
+    assert [(r.problem, r.revision, r.run_id) for r in bad] == [("unknown state", "2026-W17", "2026-04-24T120000Z-autogen")]
+    assert [r.node_id for r in read_quarantine(spark, quarantine, "labels").collect()] == ["b"]
+    # A second run in the week keeps what the first one put aside.
+    run_weekly(spark, weekly(tmp_path, as_of="2026-04-24T18:00:00Z"))
+    assert read_quarantine(spark, quarantine, "payloads").count() == 2
     with pytest.raises(ValueError, match="Unknown framework slug"):
         run_weekly(spark, weekly(tmp_path, only_framework="nope"))
 
 
+def test_rows_over_the_cap_wait(spark, tmp_path):
+    for day in range(1, 8):
+        for repo in ("microsoft/autogen", "openai/swarm"):
+            land(tmp_path / "landing", repo, node_id=f"{repo[0]}{day}", updated_at=f"2026-04-0{day}T00:00:00Z")
+    with pytest.raises(ValueError, match="backlog"):
+        weekly(tmp_path, cap=3)
+    backlog = str(tmp_path / "backlog")
+    seen = []
+    for week in range(1, 5):
+        run = weekly(tmp_path, cap=3, backlog=backlog, corpus=None, as_of=f"2026-05-{7 * week:02d}T00:00:00Z")
+        rows = spark.read.parquet(f"{run_weekly(spark, run)}/issues.parquet")
+        seen.append(sorted(r.node_id for r in rows.collect()))
+        if week == 1:
+            land(tmp_path / "landing", "openai/swarm", node_id="o9", updated_at="2026-04-09T00:00:00Z")
+    assert seen[0] == ["m5", "m6", "m7", "o5", "o6", "o7"]
+    assert {n for ns in seen for n in ns} == {f"{r}{d}" for r in "mo" for d in range(1, 8)} | {"o9"}
+
+
+def test_versions_may_stop_anywhere(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert fs.current_version(spark, path) is None
+    for n in range(4):
+        fs.write_version(spark.range(n + 1), path)
+        junk = f"{path}/v-{n + 2}-stopped"
+        spark.range(99).write.parquet(junk)
+        fs.delete(spark, f"{junk}/_SUCCESS")
+        assert spark.read.parquet(fs.current_version(spark, path)).count() == n + 1
+    assert len([n for n in fs.subdirs(spark, path) if not n.endswith("stopped")]) == 2
+
+
 def test_relabel_and_compare(spark, tmp_path):
     rows = [(f"n{i}", "a" if i < 30 else "b", "crash" if i % 2 else "loop", "2026-05-01") for i in range(40)]
     table = issues(spark, rows)
