@@ -10,6 +10,7 @@ from faultloom.plans.q_labels import long_sql
 from faultloom.plans.registry import query
 from faultloom.plans.views import ISSUES_SQL, second_labels, second_labels_sql, with_views
 from faultloom.schemas import AXES
+from faultloom.session import scratch_path
 
 _A = "ann_a AS (SELECT node_id, locus, phase, symptom, root_cause FROM v_issues)"
 _B = second_labels_sql("ann_b", 5)
@@ -302,3 +303,26 @@ def oversampled_sample(spark, sf_dir):
     )
     found = sampling.oversampled(flagged, 120, weight=weight, strata=strata)
     return found.select("node_id", F.concat_ws("|", *[F.col(c).cast("string") for c in strata]).alias("g"))
+
+
+@query(
+    "kappa_json_roundtrip",
+    f"""WITH pairs AS (
+      SELECT 'quality' AS axis, CAST(l.quality AS VARCHAR) AS a,
+             CASE WHEN d.n_chars > 1000 THEN '1' ELSE '0' END AS b
+      FROM labels l JOIN documents d USING (doc_id)),
+    {_kappa_sql("pairs", "axis")}
+    SELECT axis, n, agreement_count, round(kappa, 6) AS kappa FROM kappas""",
+)
+def kappa_json_roundtrip(spark, sf_dir):
+    """The report written as a JSON file and read again."""
+    annotated = views.table(spark, sf_dir, "labels").select(
+        "doc_id", F.col("quality").cast("string").alias("quality")
+    )
+    rule = views.table(spark, sf_dir, "documents").select(
+        "doc_id", (F.col("n_chars") > 1000).cast("int").cast("string").alias("quality")
+    )
+    path = scratch_path(spark, "kappa-json")
+    agreement.report_json(agreement.kappa_report(annotated, rule, ("quality",), "doc_id")).write.text(path)
+    back = spark.read.schema("axis string, n long, agreement_count long, kappa double").json(path)
+    return back.withColumn("kappa", F.round("kappa", 6))

@@ -10,7 +10,7 @@ from faultloom.plans import views
 from faultloom.plans.registry import flat, query, sql_iso
 from faultloom.plans.views import GOOD_PAYLOAD_SQL, ISSUES_SQL, STREAM_SQL, with_views
 from faultloom.session import scratch_path
-from faultloom.sources import payloads
+from faultloom.sources import payloads, state
 
 _RAW_SQL = f"""
 framework_slug, issue_number, node_id, title, md5(body) AS body, url,
@@ -182,3 +182,38 @@ def cap_per_framework_large(spark, sf_dir):
 )
 def next_cursor(spark, sf_dir):
     return flat(intake.next_cursors(intake.keep_failures(views.stream(spark, sf_dir))))
+
+
+@query(
+    "cursor_files_roundtrip",
+    f"""{with_views(STREAM_SQL)}, halves AS (
+      SELECT framework_slug AS slug, issue_number % 2 AS shard, max(updated_at) AS last FROM v_stream GROUP BY ALL)
+    SELECT slug, {sql_iso("coalesce(max(last) FILTER (WHERE shard = 1), max(last))")} AS last_scraped_at
+    FROM halves GROUP BY slug""",
+)
+def cursor_files_roundtrip(spark, sf_dir):
+    """Two shards' cursors written as files, found again under their tree and merged; the later file wins."""
+    root, stream = scratch_path(spark, "shards"), views.stream(spark, sf_dir)
+    for shard in (0, 1):
+        own = stream.filter(F.col("issue_number") % 2 == shard)
+        state.write_state_file(intake.next_cursors(own), f"{root}/deep/er/shard-{shard}")
+    return flat(state.merge_cursors(state.read_state_files(spark, root)))
+
+
+@query(
+    "capped_backlog",
+    f"""{with_views(STREAM_SQL)}, newest AS (
+      SELECT *, row_number() OVER (PARTITION BY framework_slug ORDER BY updated_at DESC NULLS LAST, issue_number DESC, node_id) AS r
+      FROM v_stream)
+    SELECT framework_slug, CASE WHEN r <= 40 THEN 1 ELSE 2 END AS run, count(*) AS n, min(node_id) AS first_id
+    FROM newest GROUP BY ALL""",
+)
+def capped_backlog(spark, sf_dir):
+    """What a capped run keeps and what it leaves to the next: together all rows."""
+    wanted = views.stream(spark, sf_dir)
+    kept = intake.cap_per_framework(wanted, 40)
+    over = wanted.join(kept.select("node_id"), "node_id", "left_anti").select(*wanted.columns)
+    both = kept.withColumn("run", F.lit(1)).unionByName(over.withColumn("run", F.lit(2)))
+    return both.groupBy("framework_slug", "run").agg(
+        F.count("*").alias("n"), F.min("node_id").alias("first_id")
+    )

@@ -490,3 +490,22 @@ def usage_rollup(spark, sf_dir):
     return rolled.withColumns({c: F.round(c, 6) for c in doubles})
 
 
+
+
+@query(
+    "usage_from_labelling",
+    f"""{with_views(ISSUES_SQL, _PROMPTS_SQL)}
+    SELECT count(*) AS n_calls, CAST(sum(length(prompt)) AS BIGINT) AS prompt_tokens,
+           CAST(sum(length(prompt) + 90) AS BIGINT) AS total_tokens,
+           CAST(sum(length(prompt) // 2) AS BIGINT) AS cache_hit_tokens
+    FROM prompts WHERE length(prompt) % 17 <> 0""",
+)
+def usage_from_labelling(spark, sf_dir):
+    """Token counts as the labelling job records them, one row per call that was answered."""
+    labelled = labelling.label_prompts(
+        rows.prompts(views.issues(spark, sf_dir)), length_labeller, parallelism=8
+    )
+    return labelling.usage(labelled).agg(
+        F.count("*").alias("n_calls"),
+        *[F.sum(c).alias(c) for c in ("prompt_tokens", "total_tokens", "cache_hit_tokens")],
+    )

@@ -11,7 +11,7 @@ from faultloom.plans import views
 from faultloom.plans.q_labels import sql_strip
 from faultloom.plans.registry import query, sql_in
 from faultloom.plans.views import ISSUES_SQL, with_views
-from faultloom.sources.records import trace_records
+from faultloom.sources.records import load_records, trace_records
 
 # Function words of the tables' English, French, German and Spanish.
 STOP_WORDS = (
@@ -162,3 +162,32 @@ def top_links(spark, sf_dir):
 def links_per_record(spark, sf_dir):
     found = linking.links_per_record(_links(spark, sf_dir, 0.05), views.issues(spark, sf_dir))
     return found.withColumn("best_similarity", F.round("best_similarity", 6))
+
+
+@query(
+    "record_registry",
+    """SELECT 'mast' AS corpus_id, CAST(item_id AS VARCHAR) AS external_id, md5(text) AS text_md5 FROM benchmark
+    UNION ALL SELECT 'agent_error', 'd' || doc_id, md5(text) FROM documents""",
+)
+def record_registry(spark, sf_dir):
+    """Loaders of two corpora, one that fails and one that no corpus has."""
+
+    def from_table(corpus: str, table: str, key):
+        def load(session):
+            rows_ = views.table(session, sf_dir, table)
+            return rows_.select(
+                F.lit(corpus).alias("corpus_id"), key.alias("external_id"), F.lit("t").alias("title"), "text"
+            )
+
+        return load
+
+    def missing(session):
+        return session.read.json(f"{sf_dir}/no-such-file")
+
+    loaders = {
+        "mast": from_table("mast", "benchmark", F.col("item_id").cast("string")),
+        "agent_error": from_table("agent_error", "documents", F.concat(F.lit("d"), F.col("doc_id").cast("string"))),
+        "faults_agentic": missing,
+        "unheard_of": missing,
+    }
+    return load_records(spark, loaders).select("corpus_id", "external_id", F.md5("text").alias("text_md5"))

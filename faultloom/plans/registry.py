@@ -28,8 +28,6 @@ def query(name: str, oracle: str | None = None) -> Callable[[Run], Run]:
     def add(run: Run) -> Run:
         def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
             pin_utc(spark)
-            # Small inputs: keep one task per core through shuffles of a few megabytes.
-            spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
             return run(spark, sf_dir)
 
         if name in QUERIES:

@@ -35,6 +35,8 @@ class WeeklyRun:
     ``main_is_unique`` says that only runs like this one ever published to the
     corpus, so its main table has a row per issue. With a ``cap``, rows over it
     wait in the ``backlog`` table, which the next run reads before anything new.
+    A run of a shard names a ``state_folder`` in the shard tree, where its cursors
+    are written as the file that ``merge_shards`` reads.
     """
 
     landing: str
@@ -48,6 +50,7 @@ class WeeklyRun:
     only_framework: str | None = None
     cap: int | None = None
     backlog: str | None = None
+    state_folder: str | None = None
     labelling: Labelling = field(default_factory=Labelling)
     loaders: Mapping[str, Loader] = field(default_factory=dict)
     link_options: Mapping[str, object] = field(default_factory=dict)
@@ -117,6 +120,8 @@ def run_weekly(spark: SparkSession, run: WeeklyRun) -> str:
             over = over.unionByName(others.filter(F.col("framework_slug") != run.only_framework))
         fs.write_version(over, run.backlog)
     state.save_cursors(state.advance(cursors, intake.next_cursors(kept)), run.cursors)
+    if run.state_folder:
+        state.write_state_file(state.load_cursors(spark, run.cursors), run.state_folder)
     return snapshot
 
 

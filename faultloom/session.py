@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -46,7 +47,7 @@ def shared_dir(spark: SparkSession) -> str:
     base = spark.conf.get(CHECKPOINT_DIR, None)
     if base:
         return base
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
     base = tempfile.mkdtemp(prefix="faultloom-")
     spark.conf.set(CHECKPOINT_DIR, base)

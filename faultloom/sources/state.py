@@ -69,10 +69,15 @@ def advance(cursors: DataFrame, seen: DataFrame) -> DataFrame:
     return both.groupBy("slug").agg(F.max_by("last_scraped_at", "_new").alias("last_scraped_at"))
 
 
-def as_json_rows(cursors: DataFrame) -> DataFrame:
-    """Cursors as one JSON object per row, timestamps as ISO text."""
-    return cursors.select(
-        F.to_json(F.struct("slug", iso(F.col("last_scraped_at")).alias("last_scraped_at"))).alias(
-            "value"
-        )
+def as_state(cursors: DataFrame) -> DataFrame:
+    """All cursors as one JSON object in the shape of a shard's cursor file. They have a row per framework."""
+    entries = F.collect_list(F.struct("slug", iso(F.col("last_scraped_at")).alias("text")))
+    known = cursors.filter(F.col("slug").isNotNull() & F.col("last_scraped_at").isNotNull())
+    return known.agg(
+        F.to_json(F.struct(F.map_from_entries(entries).alias("last_scraped_at"))).alias("value")
     )
+
+
+def write_state_file(cursors: DataFrame, folder: str) -> None:
+    """Put a run's cursors where the merge of shards looks for them."""
+    as_state(cursors).coalesce(1).write.mode("overwrite").text(f"{folder}/{STATE_FILE}")

@@ -21,6 +21,8 @@ def spark():
             "spark.ui.enabled": "false",
             "spark.sql.shuffle.partitions": "4",
             "spark.driver.memory": "8g",
+            # Small inputs: keep one task per core through shuffles of a few megabytes.
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
             "spark.sql.warehouse.dir": f"{scratch}/warehouse",
         },
     )
