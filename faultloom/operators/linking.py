@@ -220,18 +220,32 @@ def _vectors(weighted: DataFrame) -> DataFrame:
     )
 
 
+def _classes(record_terms: DataFrame, floor: float) -> DataFrame:
+    """(record_text, class): records by how frequent the terms are that could make a link by themselves.
+
+    The class is the highest level from which on a record's terms have a norm of
+    the threshold, in steps of four levels: at most 16 classes. Short records of
+    common words so have a class of their own and do not weaken the bound of others.
+    """
+    highest = F.max(F.when(F.col("tail") >= floor, F.col("level")))
+    return record_terms.groupBy(F.col("text_id").alias("record_text")).agg(
+        F.coalesce(F.floor(highest / 4), F.lit(-1)).cast("int").alias("class")
+    )
+
+
 def _reach(record_terms: DataFrame) -> DataFrame:
-    """Per level, the largest norm any record has on terms at or above it.
+    """Per class and level, the largest norm a record of the class has on terms at or above the level.
 
-    A row per power of two, so at most 64 rows whatever the data.
+    A row per class and power of two, so at most 1,024 rows whatever the data.
     """
-    upwards = Window.orderBy(F.desc("level")).rowsBetween(
+    upwards = Window.partitionBy("class").orderBy(F.desc("level")).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    return (
-        record_terms.groupBy("level")
-        .agg(F.max("tail").alias("tail"))
-        .select("level", F.max("tail").over(upwards).alias("reach"))
+    levels = F.explode(F.sequence(F.lit(0), F.lit(63))).alias("level")
+    every = record_terms.select("class").distinct().select("class", levels)
+    known = record_terms.groupBy("class", "level").agg(F.max("tail").alias("tail"))
+    return every.join(known, ["class", "level"], "left").select(
+        "class", "level", F.coalesce(F.max("tail").over(upwards), F.lit(0.0)).alias("reach")
     )
 
 
@@ -239,31 +253,32 @@ def _similar_texts(vectors: DataFrame, threshold: float) -> DataFrame:
     """Pairs of an issue's and a record's text with a similarity at or above the threshold."""
     floor = threshold - _SLACK
     of_record = vectors.filter("of_record")
-    record_terms = of_record.select(
-        F.col("text_id").alias("record_text"), "term", F.col("w").alias("record_w")
-    )
+    classes = materialize(_classes(of_record, floor), "record-classes")
+    classed = of_record.withColumnRenamed("text_id", "record_text").join(classes, "record_text")
+    reach = materialize(_reach(classed), "reach")
+    record_terms = classed.select("record_text", "class", "term", F.col("w").alias("record_w"))
     # What a term and the more frequent ones after it can still add to any similarity.
     can_add = F.col("tail") * F.col("reach")
     issue_terms = (
         vectors.filter("of_issue")
-        .join(F.broadcast(_reach(of_record)), "level")
-        .select(F.col("text_id").alias("issue_text"), "term", "w", can_add.alias("can_add"))
+        .join(F.broadcast(reach), "level")
+        .select(F.col("text_id").alias("issue_text"), "class", "term", "w", can_add.alias("can_add"))
     )
     prefix = issue_terms.filter(F.col("can_add") >= floor)
     rest = issue_terms.filter(F.col("can_add") < floor)
-    bounds = rest.groupBy("issue_text").agg(F.max("can_add").alias("bound"))
+    bounds = rest.groupBy("issue_text", "class").agg(F.max("can_add").alias("bound"))
     survivors = (
-        prefix.join(record_terms, "term")
-        .groupBy("issue_text", "record_text")
+        prefix.join(record_terms, ["class", "term"])
+        .groupBy("issue_text", "record_text", "class")
         .agg(F.sum(F.col("w") * F.col("record_w")).alias("sum"))
-        .join(bounds, "issue_text", "left")
+        .join(bounds, ["issue_text", "class"], "left")
         .filter(F.col("sum") + F.coalesce("bound", F.lit(0.0)) >= floor)
-        .select("issue_text", "record_text", "sum")
+        .select("issue_text", "record_text", "class", "sum")
     )
     added = F.coalesce(F.col("w") * F.col("record_w"), F.lit(0.0))
     return (
-        survivors.join(rest, "issue_text", "left")
-        .join(record_terms, ["record_text", "term"], "left")
+        survivors.join(rest, ["issue_text", "class"], "left")
+        .join(record_terms.drop("class"), ["record_text", "term"], "left")
         .groupBy("issue_text", "record_text")
         .agg((F.max("sum") + F.sum(added)).alias("similarity"))
         .withColumn("similarity", F.least("similarity", F.lit(1.0)))

@@ -124,6 +124,34 @@ def tfidf_crosslink(spark, sf_dir):
     return _links(spark, sf_dir, 0.05).withColumn("similarity", F.round("similarity", 6))
 
 
+_SHORT_SQL = _LINKS_SQL.replace(
+    "'record', text FROM benchmark)",
+    "'record', text FROM benchmark"
+    " UNION ALL SELECT 's' || item_id, 'record', split_part(text, ' ', 1) FROM benchmark WHERE item_id < 3)",
+)
+
+
+@query(
+    "tfidf_crosslink_short_records",
+    f"""{_SHORT_SQL}
+    SELECT node_id, external_id, round(similarity, 6) AS similarity FROM sims WHERE similarity >= 0.1""",
+)
+def tfidf_crosslink_short_records(spark, sf_dir):
+    """The same with three records of one word beside the others."""
+    items = views.table(spark, sf_dir, "benchmark")
+    item = F.col("item_id").cast("string")
+    short = items.filter("item_id < 3").select(
+        F.concat(F.lit("s"), item).alias("external_id"), F.split_part("text", F.lit(" "), F.lit(1)).alias("text")
+    )
+    records = items.select(item.alias("external_id"), "text").union(short).select(
+        F.lit("mast").alias("corpus_id"), "external_id", F.lit(None).cast("string").alias("title"), "text"
+    )
+    links = linking.link_issues(
+        views.issues(spark, sf_dir), records, threshold=0.1, stop_words=STOP_WORDS
+    )
+    return links.select("node_id", "external_id", F.round("similarity", 6).alias("similarity"))
+
+
 _STEPS = (0.05, 0.10, 0.15, 0.20, 0.50)
 
 
