@@ -57,6 +57,13 @@ def texts_as_bytes(column: pa.Array) -> list[bytes]:
     return [t or b"" for t in column.cast(pa.large_binary()).to_pylist()]
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of few rows, so that what Python makes of one stays small."""
+    for b in batches:
+        for lo in range(0, b.num_rows, rows):
+            yield b.slice(lo, rows)
+
+
 def pieces(texts: list[bytes], limit: int) -> Iterator[tuple[int, int]]:
     """Runs [a, b) of texts of about ``limit`` bytes. A text is never cut."""
     a = size = 0
@@ -76,7 +83,7 @@ class WordHashes(dict):
     Python number per word. The memory is bounded: a full table starts anew.
     """
 
-    def __init__(self, seed: int = 0, limit: int = 400_000):
+    def __init__(self, seed: int = 0, limit: int = 250_000):
         super().__init__()
         self.seed, self.limit = seed, limit
 

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faultloom.llm.common import WordHashes, batch, has_rows, mixed, pieces, texts_as_bytes
+from faultloom.llm.common import WordHashes, batch, has_rows, mixed, pieces, sliced, texts_as_bytes
 from faultloom.llm.components import connected_components
 from faultloom.session import materialize
 
@@ -93,7 +93,7 @@ _FEATURES = pa.schema([
 def _features(words: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, (a, b) = WordHashes(), _multipliers()
-        for part in batches:
+        for part in sliced(batches):
             ids, versions = part.column(0).to_pylist(), part.column(1).to_pylist()
             texts = texts_as_bytes(part.column(2))
             for lo, hi in pieces(texts, TEXT_BYTES):
@@ -199,7 +199,7 @@ _LINK = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("common", pa.int64()
 def _compare(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, last, kept = WordHashes(), None, None
-        for part in batches:
+        for part in sliced(batches):
             a, b = part.column(0).to_pylist(), part.column(1).to_pylist()
             out = {"a": a, "b": b, "common": [], "either": []}
             for key, one, two in zip(a, texts_as_bytes(part.column(2)), texts_as_bytes(part.column(3)), strict=True):

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faultloom.llm.common import WordHashes, batch, mixed, pieces, texts_as_bytes
+from faultloom.llm.common import WordHashes, batch, mixed, pieces, sliced, texts_as_bytes
 from faultloom.session import materialize
 
 FOLDS, HELD_OUT = 5, 1
@@ -62,7 +62,7 @@ def tokens(text: bytes) -> list[bytes]:
 
 
 def _batches(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    for b in batches:
+    for b in sliced(batches):
         texts = texts_as_bytes(b.column(column))
         for lo, hi in pieces(texts, TEXT_BYTES):
             yield b.slice(lo, hi - lo), texts[lo:hi]
@@ -218,7 +218,7 @@ class _Known(WordHashes):
     kind = np.dtype([("hash", "<u8"), ("log", "<f8")])
 
     def __init__(self, hot: list[tuple[bytes, int]]):
-        super().__init__(limit=400_000)
+        super().__init__()
         self.logs = {w: np.float64(math.log10(c + 0.5)).tobytes() for w, c in hot}
         self.other = np.float64(np.nan).tobytes()
 

@@ -33,11 +33,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faultloom.llm.common import batch, texts_as_bytes
+from faultloom.llm.common import batch, sliced, texts_as_bytes
 
 TIERS = (4096, 2048, 1024, 512, 256)
 #: Tokens of a step group, tokens of a pool, words and stems of words remembered with their ids.
-STEP_TOKENS, POOL_TOKENS, WORDS, STEMS = 65_536, 2_000_000, 600_000, 1_500_000
+STEP_TOKENS, POOL_TOKENS, WORDS, STEMS = 65_536, 2_000_000, 150_000, 300_000
 
 SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long,"
@@ -56,7 +56,8 @@ class WordIds(dict):
     The tokenizer drops white space and never merges across it, so a text's ids
     are those of its words in order. It also parts letters from ASCII punctuation
     behind them and ignores ASCII case, so a word that is new is mostly a stem
-    that is known. The memory is bounded: a full table starts anew.
+    that is known. The memory is bounded: a full table becomes the old one, from which
+    words are taken over when they come again.
     """
 
     # The lazy group leaves all punctuation at the word's end to the other.
@@ -66,12 +67,14 @@ class WordIds(dict):
         super().__init__()
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.stems = Tokenizer.from_file(path), {}
+        self.tokenizer, self.old, self.stems, self.old_stems = Tokenizer.from_file(path), {}, {}, {}
 
     def __missing__(self, word: bytes) -> bytes:
+        value = self.old.get(word) or self._new(word)
         if len(self) >= WORDS:
+            self.old = dict(self)
             self.clear()
-        value = self[word] = self._new(word)
+        self[word] = value
         return value
 
     def _new(self, word: bytes) -> bytes:
@@ -87,9 +90,10 @@ class WordIds(dict):
     def _stem(self, stem: bytes) -> bytes:
         value = self.stems.get(stem)
         if value is None:
+            value = self.old_stems.get(stem) or self._encode(stem)
             if len(self.stems) >= STEMS:
-                self.stems.clear()
-            value = self.stems[stem] = self._encode(stem)
+                self.old_stems, self.stems = self.stems, {}
+            self.stems[stem] = value
         return value
 
     def _encode(self, word: bytes) -> bytes:
@@ -233,7 +237,7 @@ def pack(
         from pyspark import TaskContext
 
         ids, packer = word_ids(tokenizer), Packer(TaskContext.get().partitionId(), tiers, step_tokens)
-        for b in batches:
+        for b in sliced(batches):
             for doc_id, t in zip(b.column(0).to_pylist(), texts_as_bytes(b.column(1)), strict=True):
                 packer.add(doc_id, b"".join(map(ids.__getitem__, t.split())) + end)
                 if packer.pool.tokens >= pool_tokens:

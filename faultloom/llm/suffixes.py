@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from faultloom.llm import ngrams
-from faultloom.llm.common import batch, mixed, pieces, texts_as_bytes
+from faultloom.llm.common import batch, mixed, pieces, sliced, texts_as_bytes
 from faultloom.session import materialize
 
 LENGTH, GRAM = 200, 48
@@ -115,7 +115,7 @@ def _count_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         grams, n = np.unique(np.concatenate(found), return_counts=True)
         return batch(schema, {"gram": grams.view(np.int64), "n": n})
 
-    for b in batches:
+    for b in sliced(batches):
         for data, ends, _, _ in _chunks(texts_as_bytes(b.column(0))):
             found.append(anchors(data, ends)[0])
             size += len(found[-1])
@@ -137,7 +137,7 @@ def _snippets(sent):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         again, told = sent.value, set()
-        for b in batches:
+        for b in sliced(batches):
             ids, versions, texts = b.column(0).to_pylist(), b.column(1).to_pylist(), texts_as_bytes(b.column(2))
             for data, ends, owner, shift in _chunks(texts):
                 grams, first, last = anchors(data, ends)
@@ -357,7 +357,7 @@ _RESULT = pa.schema([
 
 
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in sliced(batches):
         out: dict[str, list] = {f.name: [] for f in _RESULT}
         for doc_id, text, found in zip(b.column(0).to_pylist(), texts_as_bytes(b.column(1)), b.column(2).to_pylist(), strict=True):
             spans = np.empty((0, 2), np.int64)
