@@ -105,6 +105,9 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 def batch(schema: pa.Schema, columns: dict) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(columns[f.name], type=f.type) for f in schema], schema=schema
-    )
+    """Columns as lists, numpy arrays or Arrow arrays."""
+    arrays = [
+        c if isinstance(c, pa.Array) else pa.array(c, type=f.type)
+        for f, c in ((f, columns[f.name]) for f in schema)
+    ]
+    return pa.RecordBatch.from_arrays(arrays, schema=schema)

@@ -53,14 +53,10 @@ def _lines(docs: DataFrame, id: str, text: str) -> DataFrame:
 
 
 def _halves() -> Column:
-    """Hashes of as many first and last words as this line and one a word longer or shorter share.
-
-    As many as the power of two up to half of the shorter line's words, so a line
-    mostly has two hashes.
-    """
+    """Hashes of the first and last words, as many as this line and one a word longer or shorter share."""
 
     def half(n: Column) -> list[Column]:
-        m = F.pow(F.lit(2), F.floor(F.log2((n - 1) / 2) + 1e-9)).cast("int")
+        m = F.floor((n - 1) / 2).cast("int")
         tail = F.slice("ws", F.col("n") - m + 1, m)
         return [F.xxhash64(F.lit("first"), m, F.slice("ws", F.lit(1), m)), F.xxhash64(F.lit("last"), m, tail)]
 
@@ -112,6 +108,9 @@ def _variants(lines: DataFrame) -> DataFrame:
 
 def _partners(variants: DataFrame) -> DataFrame:
     """(line, place, other, other_place) where the other is the earliest of its kind and earlier than the line."""
+    shared = variants.groupBy("key").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("key")
+    shared = _if_few(materialize(shared, "shared-variants"))
+    variants = materialize(variants.join(shared, "key", "left_semi"), "line-variants")
     who = F.struct("at", "line", "place")
     left_out = F.col("place") > 0
     same_place = (
@@ -135,7 +134,7 @@ def _partners(variants: DataFrame) -> DataFrame:
 
 def _shadowed(candidates: DataFrame) -> DataFrame:
     """(line) of those with a verified earlier line within the bound."""
-    pairs = _partners(materialize(_variants(candidates), "line-variants"))
+    pairs = _partners(_variants(candidates))
     mine = candidates.select("line", "ws")
     theirs = candidates.select(F.col("line").alias("other"), F.col("ws").alias("other_ws"))
     both = pairs.join(mine, "line").join(theirs, "other")

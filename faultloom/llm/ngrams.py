@@ -42,7 +42,7 @@ from faultloom.session import materialize
 FOLDS, HELD_OUT = 5, 1
 BASE, PRIOR = 1.5, 10.0
 SEGMENT_BITS, MAX_SEGMENTS = 23, 64
-HOT_WORDS, FLUSH_WORDS, FLUSH_PAIRS, TEXT_BYTES = 200_000, 300_000, 2_000_000, 1 << 20
+HOT_WORDS, FLUSH_WORDS, FLUSH_PAIRS, TEXT_BYTES = 200_000, 300_000, 2_000_000, 1 << 22
 
 #: The end of a text as a token; no word has white space.
 END = b"\n"
@@ -62,7 +62,7 @@ def tokens(text: bytes) -> list[bytes]:
 
 
 def _batches(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    for b in sliced(batches):
+    for b in sliced(batches, 1_500):
         texts = texts_as_bytes(b.column(column))
         for lo, hi in pieces(texts, TEXT_BYTES):
             yield b.slice(lo, hi - lo), texts[lo:hi]
@@ -248,6 +248,7 @@ def _score(sent):
             values_of = [known.of(ts) for ts in found]
             scores = log_probabilities(model, n, v, [x["hash"] for x in values_of])
             out: dict[str, list] = {f.name: [] for f in _SCORED}
+            words, times, offsets = [], [], [0]
             for ts, x in zip(found, values_of, strict=True):
                 values = x["log"]
                 other = np.isnan(values)
@@ -255,11 +256,18 @@ def _score(sent):
                 out["n_tokens"].append(len(ts))
                 out["hot_known"].append(len(ts) - int(other.sum()))
                 out["hot_sum"].append(float(values[~other].sum()))
-                out["rest"].append([{"token": w, "n": k} for w, k in rest.items()])
+                words += rest.keys()
+                times += rest.values()
+                offsets.append(len(words))
             out["row"] = list(range(row, row + len(texts)))
             out["doc_id"], out["held_out"] = b.column(0).to_pylist(), b.column(1).to_pylist()
             out["score"] = scores.tolist()
             row += len(texts)
+            kind = _SCORED.field("rest").type
+            pairs = pa.StructArray.from_arrays(
+                [pa.array(words, pa.binary()), pa.array(times, pa.int64())], fields=list(kind.value_type)
+            )
+            out["rest"] = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pairs, type=kind)
             yield batch(_SCORED, out)
 
     return run
