@@ -171,9 +171,9 @@ class Packer:
         self.made[tier].append((sum(p[2] ** 2 for p in pieces), pieces))
 
     def pack(self) -> None:
-        """Windows for the pieces that need a tier's length, from the longest tier down.
+        """Windows from the longest tier down, as long as the pool has tokens to fill one.
 
-        Short pieces that remain wait for windows of the next pool to fill.
+        What is left, less than the shortest tier, waits for the next pool.
         """
         pool = self.pool
         for tier, shorter in zip(self.tiers, (*self.tiers[1:], 0), strict=True):

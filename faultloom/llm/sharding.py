@@ -30,10 +30,10 @@ ROW_BYTES, PARCELS, BUCKET_GROUPS, NUMBERED = 16, 512, 1_000_000, 250_000
 
 
 class RoomTree:
-    """Bins by room in a B-tree of two levels: leaves of at most ``width`` bins, split when full.
+    """Bins by room in a balanced tree of two levels: leaves of at most ``width`` bins, split when full.
 
     Entries are (room, bin). ``take`` removes the entry with the least room that
-    is enough, in logarithmic time for the widths used here.
+    is enough: a binary search among the leaves and one in a leaf.
     """
 
     def __init__(self, width: int = 64):
