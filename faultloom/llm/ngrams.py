@@ -166,10 +166,13 @@ def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class Filter:
     """Segments end to end, and the probes that read counts from them."""
 
-    def __init__(self, segments: int, parts: dict[int, bytes]):
-        self.segments = segments
-        empty = bytes(1 << (SEGMENT_BITS - 3))
-        self.words = np.frombuffer(b"".join(parts.get(s, empty) for s in range(segments)), "<u8")
+    def __init__(self, segments: int, built: DataFrame):
+        """From (segment, bits) rows. They are written, then read one partition after the other."""
+        self.segments, size = segments, 1 << (SEGMENT_BITS - 3)
+        whole = np.zeros(segments * size, np.uint8)
+        for r in materialize(built, "segments").toLocalIterator():
+            whole[r["segment"] * size : (r["segment"] + 1) * size] = np.frombuffer(r["bits"], np.uint8)
+        self.words = whole.view("<u8")
 
     def has(self, grams: np.ndarray, at: int) -> np.ndarray:
         """Which entries (gram, at) are held."""
@@ -292,8 +295,7 @@ def build_filter(train: DataFrame, n: int) -> Filter:
     grams = train.mapInArrow(_count_grams(segments), "segment int, gram long, n long")
     counted = grams.repartition("segment").groupBy("segment", "gram").agg(F.sum("n").alias("n"))
     built = counted.sortWithinPartitions("segment").mapInArrow(_build, "segment int, bits binary")
-    # MAX_SEGMENTS rows of a mebibyte at most.
-    return Filter(segments, {r["segment"]: bytes(r["bits"]) for r in built.collect()})
+    return Filter(segments, built)
 
 
 def score(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -390,7 +390,7 @@ def _repeated_anchors(rows: DataFrame) -> ngrams.Filter:
     # The same place as the filter's own: the upper bits of the hash, unsigned, by the number of segments.
     dealt = again.select(F.pmod(F.shiftrightunsigned("gram", 40), F.lit(segments)).cast("int").alias("segment"), "gram", F.lit(1).cast("long").alias("n"))
     built = dealt.repartition("segment").sortWithinPartitions("segment").mapInArrow(ngrams._build, "segment int, bits binary")
-    return ngrams.Filter(segments, {r["segment"]: bytes(r["bits"]) for r in built.collect()})
+    return ngrams.Filter(segments, built)
 
 
 def _spans(found: DataFrame) -> DataFrame:
