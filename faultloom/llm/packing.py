@@ -37,7 +37,7 @@ from faultloom.llm.common import batch, sliced, texts_as_bytes
 
 TIERS = (4096, 2048, 1024, 512, 256)
 #: Tokens of a step group, tokens of a pool, words and stems of words remembered with their ids.
-STEP_TOKENS, POOL_TOKENS, WORDS, STEMS = 65_536, 2_000_000, 150_000, 300_000
+STEP_TOKENS, POOL_TOKENS, WORDS, STEMS = 65_536, 2_000_000, 250_000, 600_000
 
 SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long,"
