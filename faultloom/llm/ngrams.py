@@ -10,11 +10,13 @@ count is smoothed towards them with ``PRIOR`` pseudo-counts of its first word:
 
 so a false hit of the filter counts no more than the rarer of its two words.
 
-The filter is made of segments of a mebibyte. N-grams are dealt to segments by
-hash, counted and set where they land, so one shuffle counts and builds, and only
-finished segments reach the driver: a byte for each training token, at most
-``MAX_SEGMENTS`` of them. Beyond that the filter's size stays and its error rate
-grows; ``error_rate`` tells it. That bound is what is broadcast.
+The filter is made of segments, one for each ``SEGMENT_TOKENS`` training tokens.
+N-grams are dealt to segments by hash, counted and set where they land, so one
+shuffle counts and builds. A segment has ``ENTRY_BITS`` bits for each entry it
+holds, so the error rate is the same for every corpus. A filter of at most
+``BROADCAST_BYTES`` is broadcast. A larger one stays where it was written: texts
+are dealt into chunks, the different n-grams of a chunk are sent to their
+segments, and the levels found there return to the chunk. Scores are the same.
 
 Exact counts of words, for the base score: the most frequent words (at most
 ``HOT_WORDS``) are broadcast; all others are joined by word, per document and
@@ -41,14 +43,13 @@ from faultloom.session import materialize
 
 FOLDS, HELD_OUT = 5, 1
 BASE, PRIOR = 1.5, 10.0
-SEGMENT_BITS, MAX_SEGMENTS = 23, 64
+SEGMENT_TOKENS, ENTRY_BITS, BROADCAST_BYTES = 1 << 20, 9, 160 << 20
 HOT_WORDS, FLUSH_WORDS, FLUSH_PAIRS, TEXT_BYTES = 200_000, 300_000, 2_000_000, 1 << 22
 
 #: The end of a text as a token; no word has white space.
 END = b"\n"
 _PAIR, _LEVEL = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
-_WORD_BITS = SEGMENT_BITS - 6
-_WORD, _BIT = np.uint64((1 << _WORD_BITS) - 1), np.uint64(63)
+_HALF, _LOW, _BIT = np.uint64(32), np.uint64((1 << 32) - 1), np.uint64(63)
 
 
 def held_out(id: Column) -> Column:
@@ -86,7 +87,7 @@ def pair_grams(hashes: np.ndarray) -> np.ndarray:
 
 
 def _segment(grams: np.ndarray, segments: int) -> np.ndarray:
-    return (grams >> np.uint64(40)) % np.uint64(segments)
+    return ((grams >> _HALF) * np.uint64(segments)) >> _HALF
 
 
 def _count_grams(segments: int):
@@ -125,72 +126,96 @@ def count_of(levels: np.ndarray) -> np.ndarray:
     return middle[levels]
 
 
-def _places(grams: np.ndarray, at: int) -> list[tuple[np.ndarray, list[np.ndarray]]]:
-    """An entry (gram, at) is three bits in each of two 64-bit words of its segment: (word, bits) twice.
+def _places(grams: np.ndarray, at: int, size: np.ndarray | np.uint64) -> list[tuple[np.ndarray, list[np.ndarray]]]:
+    """An entry (gram, at) is three bits in each of two 64-bit words of the ``size`` of its segment: (word, bits) twice.
 
     A probe so reads memory in two places at most.
     """
     h = mixed(grams + np.array([at], np.uint64) * _LEVEL)
     g = h * _PAIR
     bits = [(g >> np.uint64(58 - 6 * k)) & _BIT for k in range(6)]
-    return [(h & _WORD, bits[:3]), ((h >> np.uint64(_WORD_BITS)) & _WORD, bits[3:])]
+    return [(((h & _LOW) * size) >> _HALF, bits[:3]), (((h >> _HALF) * size) >> _HALF, bits[3:])]
 
 
-def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Segments from rows that come ordered by segment."""
-    schema = pa.schema([("segment", pa.int32()), ("bits", pa.binary())])
-    current, bits = None, None
+_SEGMENT = pa.schema([("segment", pa.int32()), ("size", pa.int64()), ("top", pa.int64()), ("bits", pa.binary())])
+
+
+def _built(segment: int, grams: np.ndarray, levels: np.ndarray) -> pa.RecordBatch:
+    """One segment: its 64-bit words, as many as its entries need, and its highest level."""
+    size, top = -(-int(levels.sum()) * ENTRY_BITS // 64), int(levels.max())
+    bits = np.zeros(size << 6, np.uint8)
+    for at in range(1, top + 1):
+        for word, places in _places(grams, at, np.uint64(size)):
+            for bit in places:
+                bits[(word << np.uint64(6)) | bit] = 1
+        more = levels > at
+        grams, levels = grams[more], levels[more]
+    return batch(_SEGMENT, {"segment": [segment], "size": [size], "top": [top], "bits": [np.packbits(bits, bitorder="little").tobytes()]})
 
-    def done() -> pa.RecordBatch:
-        return batch(schema, {"segment": [current], "bits": [np.packbits(bits, bitorder="little").tobytes()]})
 
+def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Segments from rows that come ordered by segment."""
+    current, grams, levels = None, [], []
     for b in batches:
         segment = b.column("segment").to_numpy()
-        grams, levels = b.column("gram").to_numpy().view(np.uint64), level(b.column("n").to_numpy())
+        gram, found = b.column("gram").to_numpy().view(np.uint64), level(b.column("n").to_numpy())
         for s in np.unique(segment):
             if s != current:
-                if current is not None:
-                    yield done()
-                current, bits = int(s), np.zeros(1 << SEGMENT_BITS, np.uint8)
+                if grams:
+                    yield _built(current, np.concatenate(grams), np.concatenate(levels))
+                current, grams, levels = int(s), [], []
             own = segment == s
-            g, q, at = grams[own], levels[own], 1
-            while len(g):
-                for word, places in _places(g, at):
-                    for bit in places:
-                        bits[(word << np.uint64(6)) | bit] = 1
-                g, q, at = g[q > at], q[q > at], at + 1
-    if current is not None:
-        yield done()
+            grams.append(gram[own])
+            levels.append(found[own])
+    if grams:
+        yield _built(current, np.concatenate(grams), np.concatenate(levels))
 
 
 class Filter:
     """Segments end to end, and the probes that read counts from them."""
 
-    def __init__(self, segments: int, built: DataFrame):
-        """From (segment, bits) rows. They are written, then read one partition after the other."""
-        self.segments, size = segments, 1 << (SEGMENT_BITS - 3)
-        whole = np.zeros(segments * size, np.uint8)
-        for r in materialize(built, "segments").toLocalIterator():
-            whole[r["segment"] * size : (r["segment"] + 1) * size] = np.frombuffer(r["bits"], np.uint8)
-        self.words = whole.view("<u8")
+    def __init__(self, sizes: np.ndarray, words: np.ndarray, top: int):
+        """``sizes`` in words of the segments, and the highest level any n-gram has."""
+        self.sizes, self.words, self.top = sizes.astype(np.uint64), words, top
+        self.starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.uint64)
+
+    @classmethod
+    def read(cls, segments: int, built: DataFrame) -> Filter:
+        """From written segments, one partition after the other."""
+        sizes, top = np.ones(segments, np.int64), 0
+        for r in built.select("segment", "size", "top").collect():
+            sizes[r["segment"]], top = r["size"], max(top, r["top"])
+        out = cls(sizes, np.zeros(int(sizes.sum()), "<u8"), top)
+        for r in built.select("segment", "bits").toLocalIterator():
+            start = int(out.starts[r["segment"]])
+            out.words[start : start + len(r["bits"]) // 8] = np.frombuffer(r["bits"], "<u8")
+        return out
 
-    def has(self, grams: np.ndarray, at: int) -> np.ndarray:
-        """Which entries (gram, at) are held."""
-        base, out = _segment(grams, self.segments) << np.uint64(_WORD_BITS), np.ones(len(grams), bool)
-        one, live = np.uint64(1), slice(None)
-        for word, (b0, b1, b2) in _places(grams, at):
+    def _has(self, grams: np.ndarray, at: int, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+        out, one, live = np.ones(len(grams), bool), np.uint64(1), slice(None)
+        for word, (b0, b1, b2) in _places(grams, at, size):
             mask = (one << b0[live]) | (one << b1[live]) | (one << b2[live])
-            found = (self.words[base[live] | word[live]] & mask) == mask
+            found = (self.words[start[live] + word[live]] & mask) == mask
             out[live] = found
             live = np.flatnonzero(out)
         return out
 
+    def has(self, grams: np.ndarray, at: int) -> np.ndarray:
+        """Which entries (gram, at) are held."""
+        segment = _segment(grams, len(self.sizes))
+        return self._has(grams, at, self.starts[segment], self.sizes[segment])
+
     def levels(self, grams: np.ndarray) -> np.ndarray:
-        out, live, at = np.zeros(len(grams), np.int64), np.arange(len(grams)), 1
-        while len(live):
-            live = live[self.has(grams[live], at)]
+        """None is above the highest level built, however full the filter is."""
+        out, live = np.zeros(len(grams), np.int64), np.arange(len(grams))
+        segment = _segment(grams, len(self.sizes))
+        start, size = self.starts[segment], self.sizes[segment]
+        for at in range(1, self.top + 1):
+            kept = np.flatnonzero(self._has(grams, at, start, size))
+            live, grams, start, size = live[kept], grams[kept], start[kept], size[kept]
+            if not len(live):
+                break
             out[live] = at
-            at += 1
         return out
 
     def counts(self, grams: np.ndarray) -> np.ndarray:
@@ -202,7 +227,18 @@ class Filter:
         return float(self.has(mixed(np.arange(probes, dtype=np.uint64) + _PAIR), 1).mean())
 
 
-def log_probabilities(model: Filter, n: int, v: int, hashes: list[np.ndarray]) -> np.ndarray:
+class _Found:
+    """The levels of a chunk's n-grams, looked up elsewhere."""
+
+    def __init__(self, grams: np.ndarray, levels: np.ndarray):
+        self.grams, first = np.unique(grams, return_index=True)
+        self.levels = levels[first]
+
+    def counts(self, grams: np.ndarray) -> np.ndarray:
+        return count_of(self.levels)[np.searchsorted(self.grams, grams)]
+
+
+def log_probabilities(model: Filter | _Found, n: int, v: int, hashes: list[np.ndarray]) -> np.ndarray:
     """log10 of each text's probability."""
     hashes = [np.ascontiguousarray(h) for h in hashes]
     row = np.concatenate(hashes)
@@ -240,6 +276,34 @@ _SCORED = pa.schema([
 ])
 
 
+def _scores(model: Filter | _Found, n: int, v: int, known: _Known, row: int, rows: pa.RecordBatch | pa.Table, texts: list[bytes]) -> pa.RecordBatch:
+    """Scores of rows that begin with (doc_id, held_out), numbered from ``row``."""
+    found = [tokens(t) for t in texts]
+    values_of = [known.of(ts) for ts in found]
+    scores = log_probabilities(model, n, v, [x["hash"] for x in values_of])
+    out: dict[str, list] = {f.name: [] for f in _SCORED}
+    words, times, offsets = [], [], [0]
+    for ts, x in zip(found, values_of, strict=True):
+        values = x["log"]
+        other = np.isnan(values)
+        rest = Counter(ts[i] for i in np.flatnonzero(other))
+        out["n_tokens"].append(len(ts))
+        out["hot_known"].append(len(ts) - int(other.sum()))
+        out["hot_sum"].append(float(values[~other].sum()))
+        words += rest.keys()
+        times += rest.values()
+        offsets.append(len(words))
+    out["row"] = list(range(row, row + len(texts)))
+    out["doc_id"], out["held_out"] = rows.column(0).to_pylist(), rows.column(1).to_pylist()
+    out["score"] = scores.tolist()
+    kind = _SCORED.field("rest").type
+    pairs = pa.StructArray.from_arrays(
+        [pa.array(words, pa.binary()), pa.array(times, pa.int64())], fields=list(kind.value_type)
+    )
+    out["rest"] = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pairs, type=kind)
+    return batch(_SCORED, out)
+
+
 def _score(sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -247,35 +311,88 @@ def _score(sent):
         model, n, v, hot = sent.value
         known, row = _Known(hot), TaskContext.get().partitionId() << 40
         for b, texts in _batches(batches, 2):
-            found = [tokens(t) for t in texts]
-            values_of = [known.of(ts) for ts in found]
-            scores = log_probabilities(model, n, v, [x["hash"] for x in values_of])
-            out: dict[str, list] = {f.name: [] for f in _SCORED}
-            words, times, offsets = [], [], [0]
-            for ts, x in zip(found, values_of, strict=True):
-                values = x["log"]
-                other = np.isnan(values)
-                rest = Counter(ts[i] for i in np.flatnonzero(other))
-                out["n_tokens"].append(len(ts))
-                out["hot_known"].append(len(ts) - int(other.sum()))
-                out["hot_sum"].append(float(values[~other].sum()))
-                words += rest.keys()
-                times += rest.values()
-                offsets.append(len(words))
-            out["row"] = list(range(row, row + len(texts)))
-            out["doc_id"], out["held_out"] = b.column(0).to_pylist(), b.column(1).to_pylist()
-            out["score"] = scores.tolist()
+            yield _scores(model, n, v, known, row, b, texts)
             row += len(texts)
-            kind = _SCORED.field("rest").type
-            pairs = pa.StructArray.from_arrays(
-                [pa.array(words, pa.binary()), pa.array(times, pa.int64())], fields=list(kind.value_type)
-            )
-            out["rest"] = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pairs, type=kind)
-            yield batch(_SCORED, out)
 
     return run
 
 
+def _chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, held_out, text, chunk): the chunk is the number of its first row."""
+    from pyspark import TaskContext
+
+    row = TaskContext.get().partitionId() << 40
+    for b, _ in _batches(batches, 2):
+        yield b.append_column("chunk", pa.array(np.full(b.num_rows, row, np.int64)))
+        row += b.num_rows
+
+
+def _probe(segments: int):
+    """(chunk, segment, gram): the different n-grams of each chunk, as far as it is in one batch."""
+    schema = pa.schema([("chunk", pa.int64()), ("segment", pa.int32()), ("gram", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordHashes()
+        for b, texts in _batches(batches, 2):
+            chunks = b.column(3).to_numpy()
+            for chunk in np.unique(chunks):
+                hashes = [known.of(tokens(texts[i])) for i in np.flatnonzero(chunks == chunk)]
+                grams = np.unique(np.concatenate(hashes + [pair_grams(h) for h in hashes]))
+                columns = {"chunk": np.full(len(grams), chunk), "segment": _segment(grams, segments).astype(np.int32)}
+                yield batch(schema, columns | {"gram": grams.view(np.int64)})
+
+    return run
+
+
+def _look_up(top: int):
+    """(gram, level) from rows ordered by segment, the segment's bits before its n-grams."""
+    schema = pa.schema([("gram", pa.int64()), ("level", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, model = None, None
+        for b in batches:
+            segment, gram = b.column("segment").to_numpy(), b.column("gram")
+            asked = gram.is_valid().to_numpy(zero_copy_only=False)
+            grams = gram.fill_null(0).to_numpy().view(np.uint64)
+            for s in np.unique(segment):
+                own = segment == s
+                for i in np.flatnonzero(own & ~asked):
+                    words = np.frombuffer(b.column("bits")[int(i)].as_py(), "<u8")
+                    current, model = s, Filter(np.array([len(words)]), words, top)
+                wanted = grams[own & asked]
+                levels = model.levels(wanted) if s == current else np.zeros(len(wanted), np.int64)
+                yield batch(schema, {"gram": wanted.view(np.int64), "level": levels})
+
+    return run
+
+
+def _score_chunk(sent):
+    kept: list[_Known] = []
+
+    def run(rows: pa.Table, found: pa.Table) -> pa.Table:
+        n, v, hot = sent.value
+        if not kept:
+            kept.append(_Known(hot))
+        model = _Found(found["gram"].to_numpy().view(np.uint64), found["level"].to_numpy())
+        row, texts = rows["chunk"][0].as_py(), texts_as_bytes(rows["text"])
+        return pa.Table.from_batches([_scores(model, n, v, kept[0], row, rows, texts)])
+
+    return run
+
+
+def _score_by_segment(rows: DataFrame, segments: int, built: DataFrame, top: int, sent, schema: str) -> DataFrame:
+    """Scores by a filter that is not broadcast: no task holds more than a segment or a chunk."""
+    rows = materialize(rows.mapInArrow(_chunk, "doc_id long, held_out boolean, text string, chunk long"), "chunks")
+    probes = materialize(rows.mapInArrow(_probe(segments), "chunk long, segment int, gram long"), "probes")
+    wanted = probes.select("segment", "gram").distinct().withColumn("bits", F.lit(None).cast("binary"))
+    both = built.select("segment", F.lit(None).cast("long").alias("gram"), "bits").unionByName(wanted)
+    # Nulls come first: a segment's bits are before its n-grams.
+    ordered = both.repartition("segment").sortWithinPartitions("segment", "gram")
+    levels = materialize(ordered.mapInArrow(_look_up(top), "gram long, level long"), "levels")
+    found = probes.select("chunk", "gram").join(levels, "gram").select("chunk", "gram", "level")
+    return rows.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(_score_chunk(sent), schema)
+
+
 def _hot_words(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
     """The most frequent words, at most ``most``: those above a count that a table of counts by size tells."""
     size = F.floor(F.log2("c") * 8)
@@ -289,13 +406,21 @@ def _hot_words(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
     return [(bytes(r["token"]), r["c"]) for r in counts.filter(size >= least).collect()]
 
 
-def build_filter(train: DataFrame, n: int) -> Filter:
-    """The filter over the texts of a one-column table with ``n`` tokens."""
-    segments = min(MAX_SEGMENTS, max(1, -(-n * 8 >> SEGMENT_BITS)))
-    grams = train.mapInArrow(_count_grams(segments), "segment int, gram long, n long")
+def segments_for(n: int) -> int:
+    return max(1, -(-n // SEGMENT_TOKENS))
+
+
+def build_segments(train: DataFrame, n: int) -> DataFrame:
+    """(segment, size, top, bits), written, over the texts of a one-column table with ``n`` tokens."""
+    grams = train.mapInArrow(_count_grams(segments_for(n)), "segment int, gram long, n long")
     counted = grams.repartition("segment").groupBy("segment", "gram").agg(F.sum("n").alias("n"))
-    built = counted.sortWithinPartitions("segment").mapInArrow(_build, "segment int, bits binary")
-    return Filter(segments, built)
+    schema = "segment int, size long, top long, bits binary"
+    return materialize(counted.sortWithinPartitions("segment").mapInArrow(_build, schema), "segments")
+
+
+def build_filter(train: DataFrame, n: int) -> Filter:
+    """The whole filter, for a driver that can hold it."""
+    return Filter.read(segments_for(n), build_segments(train, n))
 
 
 def score(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -307,13 +432,18 @@ def score(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     )
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     n, v = total["n"], total["v"]
-    model = build_filter(train, n)
-    sent = docs.sparkSession.sparkContext.broadcast((model, n, v, _hot_words(counts, HOT_WORDS)))
+    built, hot = build_segments(train, n), _hot_words(counts, HOT_WORDS)
+    send = docs.sparkSession.sparkContext.broadcast
     schema = (
         "row long, doc_id long, held_out boolean, n_tokens long, hot_known long, hot_sum double, score double,"
         " rest array<struct<token: binary, n: long>>"
     )
-    scored = materialize(rows.mapInArrow(_score(sent), schema), "scored")
+    filled = built.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("words"), F.max("top").alias("top")).first()
+    if filled["words"] * 8 <= BROADCAST_BYTES:
+        scored = rows.mapInArrow(_score(send((Filter.read(segments_for(n), built), n, v, hot))), schema)
+    else:
+        scored = _score_by_segment(rows, segments_for(n), built, filled["top"], send((n, v, hot)), schema)
+    scored = materialize(scored, "scored")
     rest = scored.select("row", F.explode_outer("rest").alias("w")).filter("w IS NOT NULL").select("row", "w.*")
     c = F.coalesce("c", F.lit(0))
     per_row = (

@@ -79,3 +79,29 @@ def test_filter(spark):
     assert model.counts(known.of([b"w5"]))[0] == g.count_of(g.level(np.array([sum(t.split().count("w5") for t in texts)])))[0]
     strange = g.mixed(np.arange(100_000, dtype=np.uint64))
     assert (model.levels(strange) > 0).mean() <= max(0.002, 3 * model.error_rate())
+
+
+def test_filter_grows_with_its_entries(spark):
+    """Words that occur once make two entries a token."""
+    texts = [" ".join(f"w{k}x{i}" for i in range(1000)) for k in range(300)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    assert g.build_filter(df, 300_300).error_rate() < 0.03
+    assert g.segments_for(6_000_000_000) * g.SEGMENT_TOKENS >= 6_000_000_000
+
+
+def test_levels_end_in_a_full_filter():
+    full = g.Filter(np.array([64, 64]), np.full(128, np.iinfo(np.uint64).max, np.uint64), 7)
+    assert (full.levels(g.mixed(np.arange(1000, dtype=np.uint64))) == 7).all()
+
+
+@pytest.mark.parametrize("tokens", [500, 1 << 20])
+def test_filter_that_is_not_broadcast(spark, sf_dir, monkeypatch, tokens):
+    monkeypatch.setattr(g, "SEGMENT_TOKENS", tokens)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    docs = docs.union(spark.createDataFrame([(None, None), (4, "a b c É"), (4, "a b c É")], docs.schema))
+    want = sorted(map(tuple, g.score(docs).collect()), key=repr)
+    monkeypatch.setattr(g, "BROADCAST_BYTES", -1)
+    got = sorted(map(tuple, g.score(docs).collect()), key=repr)
+    assert [r[:5] for r in got] == [r[:5] for r in want]
+    assert np.allclose([r[5:] for r in got], [r[5:] for r in want], rtol=0, atol=1e-9)
+    assert g.score(docs.limit(0)).count() == 0
