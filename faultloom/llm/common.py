@@ -65,10 +65,10 @@ def sliced(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.Re
 
 
 def pieces(texts: list[bytes], limit: int) -> Iterator[tuple[int, int]]:
-    """Runs [a, b) of texts of about ``limit`` bytes. A text is never cut."""
+    """Runs [a, b) of texts of about ``limit`` bytes. A text is never cut; one above the limit is alone."""
     a = size = 0
     for b, text in enumerate(texts):
-        if size and size + len(text) > limit:
+        if b > a and size + len(text) > limit:
             yield a, b
             a, size = b, 0
         size += len(text)

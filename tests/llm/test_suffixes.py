@@ -77,3 +77,13 @@ def test_repeated_rows_and_nulls(spark):
     got = sorted((r.doc_id or 0, r.n_bytes, r.n_removed) for r in s.remove_repeats(df).collect())
     assert got == [(0, 1, 0), (0, 301, 300), (1, 300, 300), (1, 300, 300)]
     assert s.remove_repeats(df.limit(0)).count() == 0
+
+
+def test_long_text_behind_empty_ones_is_split(monkeypatch):
+    monkeypatch.setattr(s, "LONG_TEXT", 700)
+    monkeypatch.setattr(s, "TEXT_BYTES", 500)
+    texts = [b"", b"", b"x" * 3000, b"", b"y" * 100]
+    found = [(data.size, owner.tolist()) for data, _, owner, _ in s._chunks(texts)]
+    assert max(n for n, _ in found) <= 700 + N - 1
+    assert {k for _, owner in found for k in owner} == set(range(5))
+    assert sum(n for n, owner in found if owner == [2]) == 3000 + (N - 1) * 4
