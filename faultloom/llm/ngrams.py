@@ -140,9 +140,9 @@ def _places(grams: np.ndarray, at: int, size: np.ndarray | np.uint64) -> list[tu
 _SEGMENT = pa.schema([("segment", pa.int32()), ("size", pa.int64()), ("top", pa.int64()), ("bits", pa.binary())])
 
 
-def _built(segment: int, grams: np.ndarray, levels: np.ndarray) -> pa.RecordBatch:
+def _built(segment: int, grams: np.ndarray, levels: np.ndarray, entry_bits: float) -> pa.RecordBatch:
     """One segment: its 64-bit words, as many as its entries need, and its highest level."""
-    size, top = -(-int(levels.sum()) * ENTRY_BITS // 64), int(levels.max())
+    size, top = math.ceil(int(levels.sum()) * entry_bits / 64), int(levels.max())
     bits = np.zeros(size << 6, np.uint8)
     for at in range(1, top + 1):
         for word, places in _places(grams, at, np.uint64(size)):
@@ -153,22 +153,26 @@ def _built(segment: int, grams: np.ndarray, levels: np.ndarray) -> pa.RecordBatc
     return batch(_SEGMENT, {"segment": [segment], "size": [size], "top": [top], "bits": [np.packbits(bits, bitorder="little").tobytes()]})
 
 
-def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _build(entry_bits: float):
     """Segments from rows that come ordered by segment."""
-    current, grams, levels = None, [], []
-    for b in batches:
-        segment = b.column("segment").to_numpy()
-        gram, found = b.column("gram").to_numpy().view(np.uint64), level(b.column("n").to_numpy())
-        for s in np.unique(segment):
-            if s != current:
-                if grams:
-                    yield _built(current, np.concatenate(grams), np.concatenate(levels))
-                current, grams, levels = int(s), [], []
-            own = segment == s
-            grams.append(gram[own])
-            levels.append(found[own])
-    if grams:
-        yield _built(current, np.concatenate(grams), np.concatenate(levels))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, grams, levels = None, [], []
+        for b in batches:
+            segment = b.column("segment").to_numpy()
+            gram, found = b.column("gram").to_numpy().view(np.uint64), level(b.column("n").to_numpy())
+            for s in np.unique(segment):
+                if s != current:
+                    if grams:
+                        yield _built(current, np.concatenate(grams), np.concatenate(levels), entry_bits)
+                    current, grams, levels = int(s), [], []
+                own = segment == s
+                grams.append(gram[own])
+                levels.append(found[own])
+        if grams:
+            yield _built(current, np.concatenate(grams), np.concatenate(levels), entry_bits)
+
+    return run
 
 
 class Filter:
@@ -410,12 +414,17 @@ def segments_for(n: int) -> int:
     return max(1, -(-n // SEGMENT_TOKENS))
 
 
+def write_segments(counted: DataFrame, entry_bits: float) -> DataFrame:
+    """(segment, size, top, bits) of (segment, gram, n) rows that are dealt by segment."""
+    schema = "segment int, size long, top long, bits binary"
+    return materialize(counted.sortWithinPartitions("segment").mapInArrow(_build(entry_bits), schema), "segments")
+
+
 def build_segments(train: DataFrame, n: int) -> DataFrame:
     """(segment, size, top, bits), written, over the texts of a one-column table with ``n`` tokens."""
     grams = train.mapInArrow(_count_grams(segments_for(n)), "segment int, gram long, n long")
     counted = grams.repartition("segment").groupBy("segment", "gram").agg(F.sum("n").alias("n"))
-    schema = "segment int, size long, top long, bits binary"
-    return materialize(counted.sortWithinPartitions("segment").mapInArrow(_build, schema), "segments")
+    return write_segments(counted, ENTRY_BITS)
 
 
 def build_filter(train: DataFrame, n: int) -> Filter:

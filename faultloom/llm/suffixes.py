@@ -386,11 +386,12 @@ def merged_spans(spans: np.ndarray) -> np.ndarray:
 def _repeated_anchors(rows: DataFrame) -> ngrams.Filter:
     counts = rows.select("text").mapInArrow(_count_anchors, "gram long, n long")
     again = materialize(counts.groupBy("gram").agg(F.sum("n").alias("n")).filter("n > 1").select("gram"), "anchors")
-    segments = min(MAX_SEGMENTS, max(1, -(-again.count() * 16 >> ngrams.SEGMENT_BITS)))
+    n = again.count()
+    segments, bits = min(MAX_SEGMENTS, max(1, -(-n * 16 >> 23))), min(16, (MAX_SEGMENTS << 23) / max(1, n))
     # The same place as the filter's own: the upper bits of the hash, unsigned, by the number of segments.
-    dealt = again.select(F.pmod(F.shiftrightunsigned("gram", 40), F.lit(segments)).cast("int").alias("segment"), "gram", F.lit(1).cast("long").alias("n"))
-    built = dealt.repartition("segment").sortWithinPartitions("segment").mapInArrow(ngrams._build, "segment int, bits binary")
-    return ngrams.Filter(segments, built)
+    segment = F.shiftrightunsigned(F.shiftrightunsigned("gram", 32) * segments, 32).cast("int").alias("segment")
+    dealt = again.select(segment, "gram", F.lit(1).cast("long").alias("n")).repartition("segment")
+    return ngrams.Filter.read(segments, ngrams.write_segments(dealt, bits))
 
 
 def _spans(found: DataFrame) -> DataFrame:
