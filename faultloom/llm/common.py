@@ -48,6 +48,25 @@ def window_hashes(found: Column, window: int) -> Column:
     return F.slice(hashes, F.lit(1), F.greatest(F.size(found) - (window - 1), F.lit(0)))
 
 
+#: Fewer keys than this can each hold more than this share of all rows.
+HOT_KEYS = 1_000
+
+
+def join_facts(rows: DataFrame, facts: DataFrame, key: str | list[str], total: int) -> DataFrame:
+    """Rows with the facts of their key; rows without facts go.
+
+    ``facts`` is a written table with one row per key, whose column ``n`` tells how
+    many of the ``total`` rows have the key. Keys with more than their share are
+    fewer than ``HOT_KEYS``, so their facts are broadcast and their rows stay where
+    they are; no key of the rest is large enough to burden a task of the shuffle.
+    """
+    hot = F.col("n") * HOT_KEYS > total
+    loud, rest = facts.filter(hot), facts.filter(~hot)
+    keys = [key] if isinstance(key, str) else key
+    quiet = rows.join(F.broadcast(loud.select(keys)), keys, "left_anti")
+    return rows.join(F.broadcast(loud.drop("n")), keys).unionByName(quiet.join(rest.drop("n"), keys))
+
+
 def has_rows(df: DataFrame) -> bool:
     return bool(df.take(1))
 

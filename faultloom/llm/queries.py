@@ -7,7 +7,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faultloom.llm import decontamination, lines, minhash, ngrams, packing, quality, sharding, suffixes, toxicity, warc
+from faultloom.llm import decontamination, lines, minhash, ngrams, packing, quality, sharding, simhash, suffixes, toxicity, warc
 from faultloom.llm.common import table
 
 
@@ -66,6 +66,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_packing": Query(op1_packing),
     "op2_minhash": Query(op2_minhash),
@@ -76,5 +80,6 @@ QUERIES = {
     "op7_lm_scoring": Query(op7_lm_scoring),
     "op8_quality_rules": Query(op8_quality_rules, quality.oracle_sql()),
     "op9_suffix_dedup": Query(op9_suffix_dedup),
+    "op13_simhash": Query(op13_simhash),
     "op10_decontamination": Query(op10_decontamination, decontamination.oracle_sql()),
 }
