@@ -7,7 +7,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faultloom.llm import decontamination, lines, minhash, ngrams, packing, quality, sharding, simhash, spelling, suffixes, toxicity, warc
+from faultloom.llm import collocations, decontamination, lines, minhash, ngrams, packing, quality, sharding, simhash, spelling, suffixes, toxicity, warc
 from faultloom.llm.common import table
 
 
@@ -66,6 +66,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"), misspell=199)
 
@@ -84,6 +88,7 @@ QUERIES = {
     "op7_lm_scoring": Query(op7_lm_scoring),
     "op8_quality_rules": Query(op8_quality_rules, quality.oracle_sql()),
     "op9_suffix_dedup": Query(op9_suffix_dedup),
+    "op11_collocations": Query(op11_collocations, collocations.oracle_sql()),
     "op12_spelling": Query(op12_spelling),
     "op13_simhash": Query(op13_simhash),
     "op10_decontamination": Query(op10_decontamination, decontamination.oracle_sql()),
