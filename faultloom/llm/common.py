@@ -19,6 +19,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, lengthened until no column of the table has it, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def words(text: Column) -> Column:
     """Maximal runs of characters other than ASCII white space; none for a null text."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACES), "")

@@ -22,13 +22,17 @@ its text are one document's: their lines are kept or go together.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faultloom.llm.common import words
+from faultloom.llm.common import free_name, join_facts, let, words
 from faultloom.session import materialize
 
-MIN_WORDS, BROADCAST_ROWS = 5, 1_000_000
+MIN_WORDS = 5
+#: A broadcast table's bytes at most; by its rows and the bytes of one.
+BROADCAST_BYTES = 16 << 20
 
 
 def _version(text: str) -> Column:
@@ -63,9 +67,13 @@ def _halves() -> Column:
     return F.array_distinct(F.array(*half(F.col("n")), *half(F.col("n") - 1)))
 
 
-def _if_few(df: DataFrame) -> DataFrame:
-    """A written table, marked for broadcast while its rows are few."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+def _fits(rows: int, width: int) -> bool:
+    return rows * width <= BROADCAST_BYTES
+
+
+def _if_few(df: DataFrame, width: int) -> DataFrame:
+    """A written table with rows of ``width`` bytes, marked for broadcast if they fit."""
+    return F.broadcast(df) if _fits(df.count(), width) else df
 
 
 def _distinct(lines: DataFrame) -> DataFrame:
@@ -79,16 +87,18 @@ def _candidates(docs: DataFrame, known: DataFrame, id: str, text: str) -> DataFr
     """(line, at, ws) of lines that share a half with another line; their words are read where they lie first."""
     spread = known.select("line", "at", F.explode_outer("halves").alias("half"))
     shared = spread.groupBy("half").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
-    shared = _if_few(materialize(shared.select("half"), "shared-halves"))
-    some = spread.join(shared, "half", "left_semi").select("line", "at").distinct()
+    shared = _if_few(materialize(shared.select("half"), "shared-halves"), 16)
+    some = materialize(spread.join(shared, "half", "left_semi").select("line", "at").distinct(), "line-candidates")
     per_doc = some.groupBy(F.col("at.doc_id").alias("_id"), F.col("at.version").alias("_version")).agg(
         F.collect_list(F.struct("line", "at")).alias("wanted")
     )
-    per_doc = _if_few(materialize(per_doc, "line-candidates"))
-    met = docs.select(id, F.col(text).alias("_text")).join(per_doc, _same(docs[id], F.col("_text")))
-    found = met.select(_parts("_text").alias("parts"), F.explode_outer("wanted").alias("w"))
-    rows = found.select("w.line", "w.at", words(F.get("parts", F.col("w.at.line_no"))).alias("ws"))
-    return rows.dropDuplicates(["line"])
+    # Grouped, a line's share is its digest and place.
+    per_doc = F.broadcast(per_doc) if _fits(some.count(), 64) else per_doc
+    rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
+    met = rows.join(per_doc, _same(F.col("id"), F.col("text")))
+    found = met.select(_parts("text").alias("parts"), F.explode_outer("wanted").alias("w"))
+    lines = found.select("w.line", "w.at", words(F.get("parts", F.col("w.at.line_no"))).alias("ws"))
+    return lines.dropDuplicates(["line"])
 
 
 def _rest(ws: str | Column, place: Column) -> Column:
@@ -99,17 +109,62 @@ def _rest(ws: str | Column, place: Column) -> Column:
     )
 
 
+def _xor(a: Column, b: Column) -> Column:
+    return a.bitwiseXOR(b)
+
+
+def _running_xor(hashes: Column) -> Column:
+    """The exclusive-or of each hash and all before it: each pass joins four times as many, as long as there are more."""
+
+    def with_earlier(step: int):
+        def earlier(x: Column, by: int) -> Column:
+            none = F.transform(F.slice(x, 1, by), lambda _: F.lit(0).cast("long"))
+            return F.concat(none, F.slice(x, F.lit(1), F.greatest(F.size(x) - by, F.lit(0))))
+
+        def join(x: Column) -> Column:
+            two = F.zip_with(x, earlier(x, step), _xor)
+            rest = F.zip_with(earlier(x, 2 * step), earlier(x, 3 * step), _xor)
+            return F.when(F.size(x) > 2 * step, F.zip_with(two, rest, _xor)).when(F.size(x) > step, two).otherwise(x)
+
+        return join
+
+    for k in range(0, 30, 2):
+        hashes = let(hashes, with_earlier(1 << k))
+    return hashes
+
+
+def variant_keys(ws: Column) -> Column:
+    """At 0 the key of the words, at i the key of the words without the i-th.
+
+    A key is the exclusive-or of hashes of (word, place). Without the i-th word, those
+    before it keep their places and those behind it move up by one: all moved, then
+    the first i put back, then the i-th taken out. Linear in the words.
+    """
+    nothing = F.lit(0).cast("long")
+
+    def keys(own: Column) -> Callable[[Column], Column]:
+        def of(moved: Column) -> Column:
+            all_moved = F.aggregate(moved, nothing, _xor)
+            back = _running_xor(F.zip_with(own, moved, _xor))
+            out = let(all_moved, lambda m: F.zip_with(back, own, lambda b, h: _xor(_xor(m, b), h)))
+            return F.concat(F.array(F.aggregate(own, nothing, _xor)), out)
+
+        return of
+
+    placed = F.transform(ws, lambda w, i: F.xxhash64(w, i))
+    moved = F.transform(ws, lambda w, i: F.xxhash64(w, i - 1))
+    return let(placed, lambda own: let(moved, keys(own)))
+
+
 def _variants(lines: DataFrame) -> DataFrame:
     """(key, place, line, at): the line itself at place 0, and the line without each of its words."""
-    places = F.explode_outer(F.sequence(F.lit(0), F.size("ws"))).alias("place")
-    spread = lines.select("line", "at", "ws", places)
-    return spread.select(F.xxhash64(_rest("ws", F.col("place"))).alias("key"), "place", "line", "at")
+    return lines.select("line", "at", F.posexplode_outer(variant_keys(F.col("ws"))).alias("place", "key"))
 
 
 def _partners(variants: DataFrame) -> DataFrame:
     """(line, place, other, other_place) where the other is the earliest of its kind and earlier than the line."""
     shared = variants.groupBy("key").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("key")
-    shared = _if_few(materialize(shared, "shared-variants"))
+    shared = _if_few(materialize(shared, "shared-variants"), 16)
     variants = materialize(variants.join(shared, "key", "left_semi"), "line-variants")
     who = F.struct("at", "line", "place")
     left_out = F.col("place") > 0
@@ -149,9 +204,10 @@ def removed_lines(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Da
     known = materialize(_distinct(lines), "distinct-lines")
     candidates = materialize(_candidates(docs, known, id, text), "candidate-lines")
     shadowed = materialize(_shadowed(candidates), "shadowed-lines").withColumn("shadowed", F.lit(True))
-    fate = known.select("line", F.col("at").alias("first"), "k").join(shadowed, "line", "left")
-    fate = materialize(fate.filter("k > 1 OR shadowed").select("line", "first", "shadowed"), "line-fates")
-    met = lines.select("line", "at").join(_if_few(fate), "line")
+    fate = known.select("line", F.col("at").alias("first"), F.col("k").alias("n")).join(shadowed, "line", "left")
+    fate = materialize(fate.filter("n > 1 OR shadowed"), "line-fates")
+    places = lines.select("line", "at")
+    met = places.join(F.broadcast(fate), "line") if _fits(fate.count(), 64) else join_facts(places, fate, "line", lines.count())
     first = F.col("at").eqNullSafe(F.col("first"))
     return met.filter(~first | F.col("shadowed")).select("at.*", first.alias("near"))
 
@@ -184,12 +240,15 @@ def report(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame
 
 def filtered(docs: DataFrame, id: str = "doc_id", text: str = "text", length: str = "n_chars") -> DataFrame:
     """All rows and columns, the text without the lines that go, its length renewed. Nothing left is an empty text."""
-    gone = _per_document(docs, id, text).drop("n_near")
-    joined = docs.join(gone, _same(docs[id], docs[text]), "left")
-    left = F.filter(F.split(F.col(text), "\n"), lambda x, i: ~F.array_contains("removed", i))
-    renewed = joined.withColumn(text, F.when(F.col("removed").isNull(), F.col(text)).otherwise(F.array_join(left, "\n")))
+    gone = _per_document(docs, id, text)
+    at, version, numbers = (free_name(docs, n) for n in ("removed_from", "removed_version", "removed_lines"))
+    gone = gone.select(F.col("_id").alias(at), F.col("_version").alias(version), F.col("removed").alias(numbers))
+    body = F.xxhash64(F.coalesce(docs[text], F.lit("")))
+    joined = docs.join(gone, docs[id].eqNullSafe(F.col(at)) & (body == F.col(version)), "left")
+    left = F.filter(F.split(F.col(text), "\n"), lambda x, i: ~F.array_contains(numbers, i))
+    renewed = joined.withColumn(text, F.when(F.col(numbers).isNull(), F.col(text)).otherwise(F.array_join(left, "\n")))
     if length in docs.columns:
-        own = F.when(F.col("removed").isNull(), F.col(length)).otherwise(F.length(text))
+        own = F.when(F.col(numbers).isNull(), F.col(length)).otherwise(F.length(text))
         renewed = renewed.withColumn(length, own.cast(docs.schema[length].dataType))
     return renewed.select(docs.columns)
 
