@@ -16,7 +16,7 @@
    in decimals of 38 digits.
 
 The cuts are read off a bounded sample (about ``SAMPLE`` texts of a language of at
-most ``SAMPLE_BYTES``); they decide where an n-gram is counted, never whether. They
+most ``SAMPLE_BYTES``, and their first ``SLICE`` words); they decide where an n-gram is counted, never whether. They
 may fall inside a frequent word's or a frequent pair's n-grams, so that no range
 is hot. Beyond ``CUTS`` ranges of a language, each is dealt to several tasks by a
 hash of the n-gram.
@@ -96,23 +96,49 @@ def _summed(words: list[bytes], places: np.ndarray, weights: np.ndarray) -> Ngra
     return Ngrams(words, places[:, order[first]].astype(np.int64), np.add.reduceat(weights[order], first))
 
 
+def _spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places start, start + 1, ... of each span, one span after the other."""
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+
+
 class Builder:
     """Makes an automaton from n-grams that come in order, some at a time."""
 
     def __init__(self):
-        self.register: dict = {b"": 0}
-        self.sizes, self.arcs, self.arc_weights = [np.zeros(1, np.int64)], [], []
+        # Node 0 has no arcs.
+        self.register: dict[int, int] = {}
+        self.size, self.arc, self.arc_weight = np.zeros(1, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
         self.pairs: list[tuple] = []
         self.firsts: list[tuple] = []
 
-    def _node(self, key, arcs: np.ndarray, weights: np.ndarray) -> int:
-        """The node with these last words, made if there is none."""
-        found = self.register.get(key)
-        if found is None:
-            found = self.register[key] = len(self.register)
-            self.sizes.append(np.array([len(arcs)]))
-            self.arcs.append(arcs)
-            self.arc_weights.append(weights)
+    def _new(self, arcs: np.ndarray, weights: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        taken = _spans(begins, sizes)
+        made = len(self.size) + np.arange(len(sizes))
+        self.size = np.concatenate([self.size, sizes])
+        self.arc, self.arc_weight = np.concatenate([self.arc, arcs[taken]]), np.concatenate([self.arc_weight, weights[taken]])
+        return made
+
+    def _frozen(self, arcs: np.ndarray, weights: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The node of each group of last words: one that is in the register, or a new one.
+
+        Groups are looked up by a digest and then compared word by word; a group that
+        only shares its digest with another is a node of its own.
+        """
+        digest = np.add.reduceat(mixed(arcs.astype(np.uint64) * _K + mixed(weights.astype(np.uint64))), begins)
+        digest, first, where = np.unique(mixed(digest + sizes.astype(np.uint64)), return_index=True, return_inverse=True)
+        keys = digest.tolist()
+        nodes = np.array([self.register.get(k, -1) for k in keys], np.int64)
+        unknown = np.flatnonzero(nodes < 0)
+        nodes[unknown] = self._new(arcs, weights, begins[first[unknown]], sizes[first[unknown]])
+        self.register.update((keys[k], int(nodes[k])) for k in unknown.tolist())
+        found = nodes[where]
+        other = self.size[found] != sizes
+        starts = (np.cumsum(self.size) - self.size)[found]
+        own, theirs = _spans(begins, sizes), _spans(starts, np.where(other, 0, sizes))
+        own = own[np.repeat(~other, sizes)]
+        differs = (arcs[own] != self.arc[theirs]) | (weights[own] != self.arc_weight[theirs])
+        other[np.repeat(np.arange(len(sizes)), np.where(other, 0, sizes))[differs]] = True
+        found[other] = self._new(arcs, weights, begins[other], sizes[other])
         return found
 
     def add(self, places: np.ndarray, weights: np.ndarray) -> None:
@@ -122,25 +148,16 @@ class Builder:
             return
         new_first = np.concatenate([[True], one[1:] != one[:-1]])
         start = np.flatnonzero(new_first)
-        alone = two[start] == 0
-        self.firsts.append((one[start], np.where(alone, weights[start], 0)))
+        self.firsts.append((one[start], np.where(two[start] == 0, weights[start], 0)))
         new_pair = (two > 0) & (new_first | np.concatenate([[True], two[1:] != two[:-1]]))
         start = np.flatnonzero(new_pair)
-        alone = three[start] == 0
         last = three > 0
-        arcs, arc_weights = three[last], weights[last]
-        ends = np.cumsum(np.bincount(np.cumsum(new_pair)[last] - 1, minlength=len(start))) if len(start) else start
-        begins = np.concatenate([[0], ends[:-1]]).astype(np.int64) if len(start) else start
         nodes = np.zeros(len(start), np.int64)
-        # Most nodes have one arc: looked up once for each different arc.
-        single = np.flatnonzero(ends - begins == 1)
-        keys, where = np.unique((arcs[begins[single]] << 40) | np.minimum(arc_weights[begins[single]], (1 << 40) - 1), return_inverse=True)
-        known = [self._node(k, np.array([k >> 40]), np.array([k & ((1 << 40) - 1)])) for k in keys.tolist()]
-        nodes[single] = np.array(known, np.int64)[where] if known else 0
-        for k in np.flatnonzero(ends - begins > 1).tolist():
-            own = slice(begins[k], ends[k])
-            nodes[k] = self._node(arcs[own].tobytes() + arc_weights[own].tobytes(), arcs[own], arc_weights[own])
-        self.pairs.append((one[new_pair], two[start], np.where(alone, weights[start], 0), nodes))
+        if last.any():
+            sizes = np.bincount(np.cumsum(new_pair)[last] - 1, minlength=len(start))
+            full = np.flatnonzero(sizes)
+            nodes[full] = self._frozen(three[last], weights[last], (np.cumsum(sizes) - sizes)[full], sizes[full])
+        self.pairs.append((one[start], two[start], np.where(three[start] == 0, weights[start], 0), nodes))
 
     def done(self, words: list[bytes]) -> Automaton:
         none = [np.empty(0, np.int64)]
@@ -151,7 +168,7 @@ class Builder:
         first, first_weight = first[keep], first_weight[keep]
         count = np.bincount(np.searchsorted(first, owner), minlength=len(first)) if len(first) else first
         arrays = first, first_weight, count, pair, pair_weight, node
-        return Automaton(words, *arrays, np.concatenate(self.sizes), np.concatenate(none + self.arcs), np.concatenate(none + self.arc_weights))
+        return Automaton(words, *arrays, self.size, self.arc, self.arc_weight)
 
 
 class Automaton:
@@ -195,7 +212,7 @@ class Automaton:
         owner = np.repeat(self.first, self.count)
         size = self.size[self.node]
         starts = (np.cumsum(self.size) - self.size)[self.node]
-        arc = np.repeat(starts - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        arc = _spans(starts, size)
         zero, nought = np.zeros_like(self.first), np.zeros_like(owner)
         places = np.concatenate([
             np.stack([self.first, zero, zero]), np.stack([owner, self.pair, nought]),
@@ -293,10 +310,10 @@ class Ranges:
 
     @classmethod
     def over(cls, sample: list[bytes], ranges: int) -> Ranges:
-        some = sorted({p for n in counted(words_and_marks(sample)) for p in n.phrases()})
+        some = next(counted(words_and_marks(sample)), Ngrams([], np.zeros((3, 0), np.int64), np.empty(0, np.int64)))
         kept = max(1, min(ranges, CUTS, len(some)))
-        cuts = sorted({some[k * len(some) // kept] for k in range(1, kept)})
-        return cls(cuts, -(-ranges // max(1, len(cuts) + 1)) if ranges > CUTS else 1)
+        cuts = some.part(np.array([k * len(some) // kept for k in range(1, kept)], np.int64)).phrases()
+        return cls(cuts, -(-ranges // kept) if ranges > CUTS else 1)
 
     def _task(self, words: list[bytes], places: np.ndarray) -> np.ndarray:
         hashes = np.array([0, *(xxhash.xxh64_intdigest(w) for w in words)], np.uint64)[places]
