@@ -45,7 +45,7 @@ from faultloom.session import materialize
 
 MIN_COUNT, SHARE, TOP = 10, 50, 2_000
 #: Bytes of texts of a shard, words of a slice of it, bytes of texts whose n-grams make a range.
-SHARD_BYTES, SLICE, RANGE_BYTES = 8 << 20, 2_000_000, 8 << 20
+SHARD_BYTES, SLICE, RANGE_BYTES = 3 << 20, 2_000_000, 6 << 20
 #: Sampled texts of a language, their size, ranges of a language, n-grams that a builder takes at once.
 SAMPLE, SAMPLE_BYTES, CUTS, RUN = 600, 1 << 16, 4_096, 1 << 18
 
