@@ -428,8 +428,8 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text") -> D
     found = materialize(rows.mapInArrow(_snippets(sent), ddl), "found-snippets")
     spans = materialize(_spans(found), "snippet-spans")
     places = found.select("anchor", "snippet", "doc_id", "version", "place").join(spans, ["anchor", "snippet"])
-    # A document's own spans: as many as it has anchors, at most.
-    per_doc = places.groupBy("doc_id", "version").agg(F.collect_list(F.struct("place", "spans")).alias("found"))
+    # A set: as many as the text has anchors, at most, however often its row is repeated.
+    per_doc = places.groupBy("doc_id", "version").agg(F.collect_set(F.struct("place", "spans")).alias("found"))
     per_doc = materialize(per_doc.withColumnsRenamed({"doc_id": "_id", "version": "_version"}), "document-spans")
     same = rows["doc_id"].eqNullSafe(per_doc["_id"]) & (rows["version"] == per_doc["_version"])
     joined = rows.join(per_doc, same, "left").select("doc_id", "text", "found")
