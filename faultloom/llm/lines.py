@@ -8,7 +8,9 @@ by hash are verified on their words. Of lines within the bound of each other, an
 of equal lines, the earliest by (id, line number, hash of the text) is kept: an occurrence goes if
 any earlier line is equal or within the bound, whether or not that one stays.
 
-Lines of fewer than ``MIN_WORDS`` words always stay: greetings, headings, blanks.
+Equal lines go whatever their length; lines without a word stay. One-edit partners are
+looked for among lines of ``MIN_WORDS`` words and more: shorter ones differ by a word
+without being copies.
 
 Equal lines are one before all else. Lines within the bound share their first or
 last half of words, so only lines that share such a half emit variants. For a key
@@ -44,15 +46,15 @@ def _parts(text: str) -> Column:
 
 
 def _lines(docs: DataFrame, id: str, text: str) -> DataFrame:
-    """(line, at, halves) of long enough lines: a digest of the words, the place, what near lines share."""
+    """(line, at, halves) of lines with a word: a digest of the words, the place, what near lines share."""
     rows = docs.select(F.col(id).alias("doc_id"), _version(text).alias("version"), _parts(text).alias("parts"))
     # Outer: an inner generator would have Spark split once more below it.
     found = rows.select("doc_id", "version", F.posexplode_outer("parts").alias("line_no", "part"))
     split = found.withColumn("ws", words(F.col("part"))).withColumn("n", F.size("ws"))
-    return split.filter(F.col("n") >= MIN_WORDS).select(
+    return split.filter(F.col("n") > 0).select(
         F.unhex(F.md5(F.array_join("ws", " "))).alias("line"),
         F.struct("doc_id", "line_no", "version").alias("at"),
-        _halves().alias("halves"),
+        F.when(F.col("n") >= MIN_WORDS, _halves()).alias("halves"),
     )
 
 
@@ -85,7 +87,8 @@ def _distinct(lines: DataFrame) -> DataFrame:
 
 def _candidates(docs: DataFrame, known: DataFrame, id: str, text: str) -> DataFrame:
     """(line, at, ws) of lines that share a half with another line; their words are read where they lie first."""
-    spread = known.select("line", "at", F.explode_outer("halves").alias("half"))
+    long = known.filter("halves IS NOT NULL")
+    spread = long.select("line", "at", F.explode_outer("halves").alias("half"))
     shared = spread.groupBy("half").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
     shared = _if_few(materialize(shared.select("half"), "shared-halves"), 16)
     some = materialize(spread.join(shared, "half", "left_semi").select("line", "at").distinct(), "line-candidates")
@@ -261,18 +264,20 @@ WITH p AS (
   SELECT doc_id, i AS line_no, regexp_extract_all(ls[i + 1], '[^\x20\x09-\x0D]+') AS ws
   FROM (SELECT doc_id, ls, unnest(range(0, len(ls))) AS i FROM p)
 ), k AS (
-  SELECT doc_id, line_no, ws, array_to_string(ws, ' ') AS line FROM l WHERE len(ws) >= {MIN_WORDS}
+  SELECT doc_id, line_no, ws, array_to_string(ws, ' ') AS line FROM l WHERE len(ws) > 0
 ), d AS (
   SELECT line, any_value(ws) AS ws, min({{'a': doc_id, 'b': line_no}}) AS place FROM k GROUP BY line
+), m AS (
+  SELECT * FROM d WHERE len(ws) >= {MIN_WORDS}
 ), v AS (
   SELECT line, place, i, array_to_string(ws[:i - 1] || ws[i + 1:], ' ') AS rest
-  FROM (SELECT *, unnest(range(1, len(ws) + 1)) AS i FROM d)
+  FROM (SELECT *, unnest(range(1, len(ws) + 1)) AS i FROM m)
 ), e AS (
   SELECT rest, i, min(place) AS place FROM v GROUP BY ALL
 ), shadowed AS (
   SELECT v.line FROM v JOIN e ON v.rest = e.rest AND v.i = e.i AND e.place < v.place
-  UNION SELECT v.line FROM v JOIN d ON v.rest = d.line AND d.place < v.place
-  UNION SELECT d.line FROM v JOIN d ON v.rest = d.line AND v.place < d.place
+  UNION SELECT v.line FROM v JOIN m ON v.rest = m.line AND m.place < v.place
+  UNION SELECT m.line FROM v JOIN m ON v.rest = m.line AND v.place < m.place
 ), gone AS (
   SELECT k.doc_id, k.line_no, {{'a': k.doc_id, 'b': k.line_no}} = d.place AS near
   FROM k JOIN d USING (line) LEFT JOIN shadowed s ON s.line = k.line
