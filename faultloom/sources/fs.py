@@ -75,29 +75,13 @@ def write_version(df: DataFrame, path: str) -> None:
 
 
 def readable(spark: SparkSession, target: str) -> str | None:
-    """Where a swapped table can be read just now: the target, or the copy beside it while a swap is on."""
+    """Where a table that was swapped in whole can be read: the target, or the copy of a swap that was cut short."""
     for path in (target, f"{target}.previous"):
         if exists(spark, path):
             return path
     return None
 
 
-def swap_in(spark: SparkSession, staged: str, target: str) -> None:
-    """Put a fully written directory in a target's place.
-
-    The old target stays beside it until the new one is in, so a run that dies
-    in between leaves a copy that ``recover`` puts back.
-    """
-    recover(spark, target)
-    fs, old = _fs(spark, target), f"{target}.previous"
-    if exists(spark, target):
-        _rename(spark, target, old)
-    fs.mkdirs(_path(spark, target).getParent())
-    _rename(spark, staged, target)
-    if exists(spark, old):
-        fs.delete(_path(spark, old), True)
-
-
 def recover(spark: SparkSession, target: str) -> None:
     """Finish or undo a swap that was cut short."""
     old = f"{target}.previous"

@@ -2,16 +2,24 @@
 
 A snapshot is ``<root>/<revision>/<table>.parquet``. The published corpus is
 ``<corpus>/revision=<revision>/<table>`` for every revision, and
-``<corpus>/main/<table>`` for the latest state.
+``<corpus>/main/<table>`` for the latest state. Such a table is a small list of
+parts, which names the folders that hold its rows; rows lie under the revision
+that wrote them, in folders that never change. Issues are dealt to buckets by a
+hash of their id, and a publication writes the buckets that it touches; all other
+buckets stay in the folders of earlier revisions, and main and the new revision
+both name them there. A list's next version commits a publication, so readers see
+the state before or after it, and a publication cut short leaves folders that no
+list names (``sweep`` removes them).
 """
 
 from __future__ import annotations
 
 import logging
 import uuid
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,6 +36,15 @@ TABLES: Mapping[str, T.StructType] = {
     "taxonomy": TAXONOMY,
     "frameworks": FRAMEWORKS,
 }
+PARTS = T.StructType(
+    [
+        T.StructField("bucket", T.IntegerType()),
+        T.StructField("folder", T.StringType()),
+        T.StructField("buckets", T.IntegerType()),
+    ]
+)
+#: Buckets of a new corpus. A corpus keeps the number it began with.
+BUCKETS = 64
 _REVISION_IN_PATH = r"([^/]+)/issues\.parquet"
 
 
@@ -41,13 +58,35 @@ def corpus_table(corpus: str, revision: str | None, table: str) -> str:
 
 
 def read_table(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """A table with its declared schema; no rows where nothing was written yet."""
+    """A table with its declared schema; no rows where nothing was written yet.
+
+    Tables that an earlier layout wrote whole are read as they are.
+    """
+    parts = _parts(spark, path)
+    if parts is not None:
+        return _rows_of(spark, path.rstrip("/").rsplit("/", 2)[0], parts, table)
     found = fs.readable(spark, path)
     if found is None:
         return empty(spark, TABLES[table])
     return spark.read.schema(TABLES[table]).parquet(found)
 
 
+def _list_of_parts(target: str) -> str:
+    return f"{target.rstrip('/')}/parts"
+
+
+def _parts(spark: SparkSession, target: str) -> list[Row] | None:
+    """A published table's parts, a row for each bucket; None where it has no list."""
+    found = fs.current_version(spark, _list_of_parts(target))
+    return None if found is None else spark.read.schema(PARTS).parquet(found).collect()
+
+
+def _rows_of(spark: SparkSession, corpus: str, parts: Sequence[Row], table: str) -> DataFrame:
+    if not parts:
+        return empty(spark, TABLES[table])
+    return spark.read.schema(TABLES[table]).parquet(*sorted(f"{corpus}/{p.folder}" for p in parts))
+
+
 def write_snapshot(
     issues: DataFrame, cross_links: DataFrame, root: str, revision: str
 ) -> str:
@@ -122,42 +161,85 @@ def publish(
     cumulative: bool = True,
     existing_unique: bool = False,
     strict_reference: bool = False,
+    buckets: int = BUCKETS,
 ) -> dict[str, str]:
     """Publish a snapshot's tables to its revision and, usually, to main.
 
     ``cumulative`` first merges the snapshot's issues onto main's, newest row
-    per issue; the other tables are replaced. Where main was only ever written
-    by such merges, ``existing_unique`` keeps its untouched rows out of the
-    ranking. A table the snapshot lacks is skipped. The revision is written
-    once and main is copied from it, so the merge runs once. Returns the paths
-    written, per table.
+    per issue, in the buckets that the snapshot touches; the other tables are
+    replaced. Where main was only ever written by such merges, ``existing_unique``
+    keeps its untouched rows out of the ranking. A table the snapshot lacks is
+    skipped. Rows are written once, and revision and main name them. Returns the
+    paths published, per table. One publication at a time.
     """
-    written = {}
-    for name in TABLES:
+    corpus = corpus.rstrip("/")
+    how = {"existing_unique": existing_unique, "strict_reference": strict_reference}
+
+    def one(name: str) -> str | None:
         source = f"{snapshot.rstrip('/')}/{name}.parquet"
         if not fs.exists(spark, source):
             log.warning("snapshot %s has no table %s", snapshot, name)
-            continue
+            return None
         rows = spark.read.schema(TABLES[name]).parquet(source)
-        if name == "issues" and cumulative:
-            existing = read_table(spark, corpus_table(corpus, None, name), name)
-            rows = merge_latest(
-                rows,
-                existing,
-                existing_unique=existing_unique,
-                strict_reference=strict_reference,
-            )
-        target = corpus_table(corpus, revision, name)
-        _replace(rows, target)
-        written[name] = target
-        if also_main:
-            _replace(spark.read.schema(TABLES[name]).parquet(target), corpus_table(corpus, None, name))
-    return written
-
-
-def _replace(rows: DataFrame, target: str) -> None:
-    staged = f"{target}.staged-{uuid.uuid4().hex}"
-    rows.write.mode("overwrite").parquet(staged)
-    fs.swap_in(rows.sparkSession, staged, target)
-
-
+        target, main = corpus_table(corpus, revision, name), corpus_table(corpus, None, name)
+        if name == "issues":
+            parts = _publish_issues(rows, corpus, target, main, buckets, cumulative, how)
+        else:
+            folder = _new_folder(target)
+            rows.write.parquet(folder)
+            parts = [Row(bucket=0, folder=folder.removeprefix(f"{corpus}/"), buckets=1)]
+        listed = spark.createDataFrame(parts, PARTS).coalesce(1)
+        for place in (target, main) if also_main else (target,):
+            fs.write_version(listed, _list_of_parts(place))
+        return target
+
+    # The tables are small jobs of their own: side by side, they take the time of the longest.
+    with ThreadPoolExecutor(len(TABLES)) as pool:
+        targets = dict(zip(TABLES, pool.map(one, TABLES), strict=True))
+    return {name: target for name, target in targets.items() if target}
+
+
+def _new_folder(target: str) -> str:
+    return f"{target}/rows-{uuid.uuid4().hex}"
+
+
+def bucket_of(buckets: int) -> Column:
+    return F.pmod(F.xxhash64("node_id"), F.lit(buckets)).cast("int")
+
+
+def _publish_issues(
+    rows: DataFrame, corpus: str, target: str, main: str, buckets: int, cumulative: bool, how: dict
+) -> list[Row]:
+    """Write the touched buckets and return the parts of the table that follows main."""
+    spark, known = rows.sparkSession, []
+    if cumulative:
+        listed = _parts(spark, main)
+        known = listed or []
+        if known:
+            buckets = known[0].buckets
+            # At most as many as there are buckets.
+            touched = {r[0] for r in rows.select(bucket_of(buckets)).distinct().collect()}
+            existing = _rows_of(spark, corpus, [p for p in known if p.bucket in touched], "issues")
+            how = how | {"strict_reference": False}
+        else:
+            existing = empty(spark, ISSUES) if listed is not None else read_table(spark, main, "issues")
+        rows = merge_latest(rows, existing, **how)
+    folder = _new_folder(target)
+    rows.withColumn("bucket", bucket_of(buckets)).repartition("bucket").write.partitionBy("bucket").parquet(folder)
+    new = {int(name.split("=")[1]): f"{folder}/{name}" for name in fs.subdirs(spark, folder) if name.startswith("bucket=")}
+    made = [Row(bucket=b, folder=path.removeprefix(f"{corpus}/"), buckets=buckets) for b, path in new.items()]
+    return made + [p for p in known if p.bucket not in new]
+
+
+def sweep(spark: SparkSession, corpus: str) -> list[str]:
+    """Remove folders of rows that no list of parts names, and return them. Not while a publication runs."""
+    corpus = corpus.rstrip("/")
+    tables = [f"{branch}/{name}" for branch in fs.subdirs(spark, corpus) for name in TABLES]
+    named = {p.folder for t in tables for p in _parts(spark, f"{corpus}/{t}") or []}
+    # A bucket's folder lies in a folder of rows.
+    named |= {folder.rsplit("/", 1)[0] for folder in named}
+    found = [f"{t}/{n}" for t in tables for n in fs.subdirs(spark, f"{corpus}/{t}") if n.startswith("rows-")]
+    gone = [folder for folder in found if folder not in named]
+    for folder in gone:
+        fs.delete(spark, f"{corpus}/{folder}")
+    return gone
