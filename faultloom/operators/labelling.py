@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
+import threading
 import time
+import uuid
 from collections.abc import Callable, Iterator, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from faultloom.operators.validation import check_labels
-from faultloom.schemas import LABELS, USAGE
+from faultloom.schemas import LABELS, USAGE, empty
+from faultloom.session import materialize
+from faultloom.sources import fs
 
 # A labeller takes a prompt and returns the label fields, optionally with token counts.
 Labeller = Callable[[str], Mapping[str, Any]]
@@ -41,10 +48,10 @@ _KINDS = {f.name: f.dataType for f in LABELLED if f.name in {*_FIELDS, *_COUNTS}
 def _typed(name: str, value: Any) -> Any:
     """A field of an answer as its column takes it; a TypeError for what it does not."""
     kind = _KINDS[name]
-    if name == "needs_review":
-        return bool(value)
     if value is None:
-        return None
+        return False if name == "needs_review" else None
+    if kind == T.BooleanType() and isinstance(value, bool):
+        return value
     number = isinstance(value, (int, float)) and not isinstance(value, bool)
     if kind == T.StringType() and isinstance(value, str):
         value.encode()  # lone surrogates are no text
@@ -79,11 +86,14 @@ def label_prompts(
     wait: float = 1.0,
     parallelism: int | None = None,
     at_once: int = 100,
+    concurrent: int = 1,
 ) -> DataFrame:
     """Run a labeller over (node_id, prompt) rows.
 
     The factory runs once per task, so a client and its connection are shared
-    by the rows of a partition. A row that fails, or whose answer has a field of
+    by the rows of a partition. With ``concurrent`` calls a task has that many
+    threads, each with a labeller of its own; calls in flight never exceed
+    ``concurrent`` times the tasks that run. A row that fails, or whose answer has a field of
     the wrong type, keeps its error and no labels. A column ``row``, where there
     is one, is passed through beside the labels, so that nothing need be joined
     back. ``parallelism`` spreads the calls evenly over that many tasks; rows go
@@ -96,24 +106,90 @@ def label_prompts(
         prompts = prompts.repartition(parallelism)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        labeller = factory()
-        for batch in batches:
-            for lo in range(0, batch.num_rows, at_once):
-                part = batch.slice(lo, at_once)
-                ids, texts = (part.column(name).to_pylist() for name in ("node_id", "prompt"))
-                rows = [
-                    {"node_id": node_id, **_attempt(labeller, text, tries, wait)}
-                    for node_id, text in zip(ids, texts, strict=True)
-                ]
-                out = pa.RecordBatch.from_pylist(rows, schema)
-                for f in passed:
-                    out = out.append_column(f.name, part.column(f.name))
-                yield out
+        own = threading.local()
+
+        def answer(text: str) -> dict[str, Any]:
+            if not hasattr(own, "labeller"):
+                own.labeller = factory()
+            return _attempt(own.labeller, text, tries, wait)
+
+        with ThreadPoolExecutor(concurrent) as pool:
+            for batch in batches:
+                for lo in range(0, batch.num_rows, at_once):
+                    part = batch.slice(lo, at_once)
+                    ids, texts = (part.column(name).to_pylist() for name in ("node_id", "prompt"))
+                    answers = pool.map(answer, texts) if concurrent > 1 else map(answer, texts)
+                    rows = [{"node_id": i, **a} for i, a in zip(ids, answers, strict=True)]
+                    out = pa.RecordBatch.from_pylist(rows, schema)
+                    for f in passed:
+                        out = out.append_column(f.name, part.column(f.name))
+                    yield out
 
     schema = pa.schema([(field.name, _ARROW[field.dataType]) for field in LABELLED])
     return prompts.mapInArrow(run, T.StructType([*LABELLED.fields, *passed]))
 
 
+ANSWERS = T.StructType([T.StructField("digest", T.StringType()), *LABELLED.fields[1:-1]])
+
+
+def prompt_digest(prompt: str = "prompt") -> Column:
+    return F.sha2(F.col(prompt), 256)
+
+
+def _answers_of(store: str, model: str) -> str:
+    """A folder for each model, named so that any model name is a folder."""
+    return f"{store.rstrip('/')}/model={model.encode().hex()}"
+
+
+def read_answers(spark: SparkSession, store: str, model: str) -> DataFrame:
+    """What a model has answered so far, by the digest of the prompt: the waves that were written completely."""
+    folder = _answers_of(store, model)
+    waves = [f"{folder}/{n}" for n in fs.subdirs(spark, folder) if fs.exists(spark, f"{folder}/{n}/_SUCCESS")]
+    return spark.read.schema(ANSWERS).parquet(*waves) if waves else empty(spark, ANSWERS)
+
+
+def label_resumed(
+    prompts: DataFrame,
+    factory: LabellerFactory,
+    store: str,
+    model: str,
+    *,
+    per_wave: int = 10_000,
+    **how: Any,
+) -> DataFrame:
+    """``label_prompts`` that asks for nothing that the store has an answer to.
+
+    Prompts are known by their digest, so equal prompts are asked once. Those
+    without an answer are asked in waves of about ``per_wave``, each of which is
+    written to the store before the next begins: a job that stops repeats one wave
+    at most. Errors are not stored, so the next job asks those prompts again; this
+    one returns them. ``how`` goes to ``label_prompts``. Token counts are given for
+    the first row of a prompt that this call asked; other rows have none.
+    """
+    spark = prompts.sparkSession
+    keyed = prompts.withColumn("digest", prompt_digest())
+    known = read_answers(spark, store, model).select("digest")
+    asked = keyed.groupBy("digest").agg(F.min("prompt").alias("prompt"), F.min("node_id").alias("first_id"))
+    asked = materialize(asked.join(known, "digest", "left_anti"), "unanswered")
+    waves = -(-asked.count() // per_wave)
+    tried = []
+    for wave in range(waves):
+        own = asked.filter(F.pmod(F.xxhash64("digest"), F.lit(waves)) == wave)
+        calls = label_prompts(own.select(F.col("digest").alias("node_id"), "prompt"), factory, **how)
+        calls = materialize(calls.withColumnRenamed("node_id", "digest"), "wave")
+        folder = f"{_answers_of(store, model)}/wave-{uuid.uuid4().hex}"
+        calls.filter("error IS NULL").drop("error").write.parquet(folder)
+        tried.append(calls.filter("error IS NOT NULL").select("digest", "error"))
+    failed = reduce(DataFrame.union, tried, spark.createDataFrame([], "digest string, error string"))
+    found = read_answers(spark, store, model).dropDuplicates(["digest"])
+    joined = keyed.join(found, "digest", "left").join(failed, "digest", "left")
+    joined = joined.join(asked.select("digest", "first_id"), "digest", "left")
+    paid = F.col("node_id").eqNullSafe(F.col("first_id"))
+    counts = {c: F.when(paid, F.col(c)) for c in _COUNTS}
+    passed = ["row"] if "row" in prompts.columns else []
+    return joined.withColumns(counts).select(*LABELLED.names, *passed)
+
+
 def accepted(labelled: DataFrame) -> DataFrame:
     """Labels that were produced and satisfy every constraint."""
     return accepted_rows(labelled).select(*LABELS.names)

@@ -14,7 +14,7 @@ from faultloom.plans import views
 from faultloom.plans.registry import flat, query, sql_in, sql_iso, sql_list, sql_text
 from faultloom.plans.views import ISSUES_SQL, STREAM_SQL, with_views
 from faultloom.schemas import AXES, CORPUS_IDS, DOMAINS, LABELS, LINK_METHODS
-from faultloom.session import materialize
+from faultloom.session import materialize, scratch_path
 
 _AXES_SQL = ", ".join(AXES)
 
@@ -383,6 +383,8 @@ def wrong_type_labeller():
             answer["reasoning"] = {"text": answer["reasoning"]}
         elif len(prompt) % 11 == 0:
             answer["total_tokens"] = 0.5
+        elif len(prompt) % 13 == 0:
+            answer["needs_review"] = "false"
         return answer
 
     return label
@@ -395,6 +397,7 @@ def wrong_type_labeller():
         WHEN length(prompt) % 5 = 0 THEN 'TypeError: confidence: str instead of double'
         WHEN length(prompt) % 7 = 0 THEN 'TypeError: reasoning: dict instead of string'
         WHEN length(prompt) % 11 = 0 THEN 'TypeError: total_tokens: float instead of bigint'
+        WHEN length(prompt) % 13 = 0 THEN 'TypeError: needs_review: str instead of boolean'
         WHEN length(prompt) % 19 = 0 THEN 'broken constraint' ELSE 'accepted' END AS fate FROM prompts)
     SELECT fate, count(*) AS n FROM fates GROUP BY fate""",
 )
@@ -408,6 +411,41 @@ def labeller_wrong_types(spark, sf_dir):
     return bad.union(good).groupBy("fate").agg(F.count("*").alias("n"))
 
 
+def numbered_labeller(run: int):
+    """A factory of the length rule's labellers that say in which run they were asked."""
+
+    def factory():
+        right = length_labeller()
+
+        def label(prompt: str) -> dict:
+            answer = right(prompt)
+            return answer | {"reasoning": f"{answer['reasoning']} run {run}"}
+
+        return label
+
+    return factory
+
+
+@query(
+    "labeller_resumed",
+    f"""{with_views(ISSUES_SQL, _PROMPTS_SQL)}, again AS ({_length_labels_sql("prompts")})
+    SELECT a.* REPLACE (a.reasoning || CASE WHEN issue_number % 2 = 0 THEN ' run 1' ELSE ' run 2' END AS reasoning),
+           CASE WHEN issue_number % 2 = 1 THEN length(p.prompt) END AS prompt_tokens
+    FROM again a JOIN v_issues i USING (node_id) JOIN prompts p USING (node_id)""",
+)
+def labeller_resumed(spark, sf_dir):
+    """A job that got half way, and the job after it: answers of the first are not asked for again."""
+    issues, store = views.issues(spark, sf_dir), scratch_path(spark, "answers")
+    half = rows.prompts(issues.filter("issue_number % 2 = 0"))
+    for run, prompts in ((1, half), (2, rows.prompts(issues))):
+        labelled = labelling.label_resumed(
+            prompts, numbered_labeller(run), store, "length-rule", per_wave=4_000, parallelism=8, concurrent=4
+        )
+    labelled = materialize(labelled, "resumed")
+    counts = labelled.select("node_id", "prompt_tokens")
+    return labelling.accepted(labelled).join(counts, "node_id")
+
+
 @query(
     "labeller_repeated_ids",
     f"""{with_views(ISSUES_SQL, _PROMPTS_SQL)},
