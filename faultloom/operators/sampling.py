@@ -10,11 +10,15 @@ the scan; the table itself is never shuffled.
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from faultloom.session import materialize
 
+log = logging.getLogger(__name__)
+
 _BUCKET_DIGITS = 3
 
 
@@ -178,7 +182,7 @@ def stratified_sample(
 ) -> DataFrame:
     """Exactly ``n`` rows with every stratum present, or all rows where there are fewer.
 
-    Without a stratum, or with more strata than ``n``, the sample is plain.
+    Without a stratum, or (with a warning) with more strata than ``n``, the sample is plain.
     Null is a stratum like any other. Bucket counts are written to the shared
     folder first, at most 4,096 rows per stratum; the number of rows and strata
     that decide between these cases is read from them.
@@ -204,6 +208,7 @@ def _stratified(
     if n >= rows:
         return df
     if n < groups:
+        log.warning("a sample of %d cannot hold all %d strata of %s; it is plain instead", n, groups, stratum)
         return random_sample(df, n, key=key, seed=seed)
     targets = allocate(sizes, n, stratum=stratum, weight=weight).select(stratum, "target")
     return _take(df, _join_null_safe(counts, targets, [stratum]), [stratum], key, seed)
