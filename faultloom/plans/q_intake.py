@@ -9,8 +9,9 @@ from faultloom.operators import intake
 from faultloom.plans import views
 from faultloom.plans.registry import flat, query, sql_iso
 from faultloom.plans.views import GOOD_PAYLOAD_SQL, ISSUES_SQL, STREAM_SQL, with_views
+from faultloom.plans.weekly import leave, take_turn
 from faultloom.session import scratch_path
-from faultloom.sources import payloads, state
+from faultloom.sources import fs, payloads, state
 
 _RAW_SQL = f"""
 framework_slug, issue_number, node_id, title, md5(body) AS body, url,
@@ -158,7 +159,7 @@ def state_filter(spark, sf_dir):
 def cap_per_framework(spark, sf_dir):
     kept = intake.keep_failures(views.stream(spark, sf_dir))
     return flat(
-        intake.cap_per_framework(kept, 150).select("node_id", "framework_slug", "updated_at")
+        intake.cap_by_cutoff(kept, 150).select("node_id", "framework_slug", "updated_at")
     )
 
 
@@ -170,7 +171,7 @@ def cap_per_framework(spark, sf_dir):
                                ORDER BY updated_at DESC, issue_number DESC) <= 1500""",
 )
 def cap_per_framework_large(spark, sf_dir):
-    capped = intake.cap_per_framework(views.stream(spark, sf_dir), 1500)
+    capped = intake.cap_by_cutoff(views.stream(spark, sf_dir), 1500)
     return capped.select("node_id", "framework_slug")
 
 
@@ -204,16 +205,19 @@ def cursor_files_roundtrip(spark, sf_dir):
     "capped_backlog",
     f"""{with_views(STREAM_SQL)}, newest AS (
       SELECT *, row_number() OVER (PARTITION BY framework_slug ORDER BY updated_at DESC NULLS LAST, issue_number DESC, node_id) AS r
-      FROM v_stream)
-    SELECT framework_slug, CASE WHEN r <= 40 THEN 1 ELSE 2 END AS run, count(*) AS n, min(node_id) AS first_id
+      FROM v_stream WHERE {failure_sql()})
+    SELECT framework_slug, least((r - 1) // 20, 2) + 1 AS run, count(*) AS n, min(node_id) AS first_id
     FROM newest GROUP BY ALL""",
 )
 def capped_backlog(spark, sf_dir):
-    """What a capped run keeps and what it leaves to the next: together all rows."""
-    wanted = views.stream(spark, sf_dir)
-    kept = intake.cap_per_framework(wanted, 40)
-    over = wanted.join(kept.select("node_id"), "node_id", "left_anti").select(*wanted.columns)
-    both = kept.withColumn("run", F.lit(1)).unionByName(over.withColumn("run", F.lit(2)))
+    """What two capped runs take, the second from the backlog alone, and what still waits: together all failure reports."""
+    stream, backlog, turns = views.stream(spark, sf_dir), scratch_path(spark, "backlog"), []
+    for run, new in ((1, stream), (2, stream.limit(0))):
+        wanted, kept = take_turn(spark, new, backlog, 20)
+        leave(spark, wanted, kept, backlog)
+        turns.append(kept.withColumn("run", F.lit(run).cast("long")))
+    waiting = spark.read.schema(stream.schema).parquet(fs.current_version(spark, backlog))
+    both = turns[0].unionByName(turns[1]).unionByName(waiting.withColumn("run", F.lit(3).cast("long")))
     return both.groupBy("framework_slug", "run").agg(
         F.count("*").alias("n"), F.min("node_id").alias("first_id")
     )

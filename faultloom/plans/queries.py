@@ -7,6 +7,7 @@ from faultloom.plans import (  # noqa: F401
     q_labels,
     q_links,
     q_stream,
+    q_weekly,
 )
 from faultloom.plans.registry import QUERIES
 

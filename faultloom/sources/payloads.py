@@ -55,8 +55,10 @@ def _problem() -> Column:
     )
 
 
-def type_payloads(payloads: DataFrame, known: DataFrame | None = None) -> DataFrame:
-    """Typed rows plus a ``problem`` column, null on good rows.
+def type_payloads(
+    payloads: DataFrame, known: DataFrame | None = None, keep: Sequence[str] = ()
+) -> DataFrame:
+    """Typed rows plus a ``problem`` column, null on good rows, and the columns named in ``keep``.
 
     The framework comes from the repository in the payload's URL. The
     frameworks dimension has a row per framework and is always broadcast.
@@ -84,6 +86,7 @@ def type_payloads(payloads: DataFrame, known: DataFrame | None = None) -> DataFr
         F.coalesce("comments", F.lit(0)).alias("comment_count"),
         _problem().alias(PROBLEM),
         F.col("_corrupt_record").alias("payload"),
+        *keep,
     )
 
 

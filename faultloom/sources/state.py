@@ -62,11 +62,12 @@ def save_cursors(cursors: DataFrame, path: str) -> None:
 
 
 def advance(cursors: DataFrame, seen: DataFrame) -> DataFrame:
-    """Cursors after a run: frameworks that were seen move on, the rest stay."""
-    both = cursors.select("slug", "last_scraped_at", F.lit(0).alias("_new")).unionByName(
-        seen.select("slug", "last_scraped_at", F.lit(1).alias("_new"))
-    )
-    return both.groupBy("slug").agg(F.max_by("last_scraped_at", "_new").alias("last_scraped_at"))
+    """Cursors after a run: frameworks that were seen move on, the rest stay.
+
+    No cursor moves back, as one would by a run that takes waiting rows alone.
+    """
+    both = cursors.select("slug", "last_scraped_at").unionByName(seen.select("slug", "last_scraped_at"))
+    return both.groupBy("slug").agg(F.max("last_scraped_at").alias("last_scraped_at"))
 
 
 def as_state(cursors: DataFrame) -> DataFrame:
