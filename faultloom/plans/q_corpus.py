@@ -369,7 +369,10 @@ def known_framework(spark, sf_dir):
 
 @query(
     "revision_diff",
-    f"""{with_views(ISSUES_SQL)},
+    f"""{with_views(ISSUES_SQL, _TAXONOMY_SQL)},
+    earlier AS (SELECT axis, label, definition FROM taxonomy),
+    later AS (SELECT axis, label, CASE label WHEN 'loop' THEN 'Never ends.' ELSE definition END AS definition
+              FROM taxonomy WHERE label <> 'memory'),
     a AS (SELECT node_id, framework_slug FROM v_issues),
     b AS (SELECT CASE WHEN issue_number % 5 = 0 THEN node_id || 'x' ELSE node_id END AS node_id,
                  CASE WHEN framework_slug = 'src4' THEN 'moved' ELSE framework_slug END AS framework_slug
@@ -378,7 +381,8 @@ def known_framework(spark, sf_dir):
     UNION ALL SELECT 'issues', 'removed', count(*) FROM (SELECT node_id FROM a EXCEPT SELECT node_id FROM b)
     UNION ALL SELECT 'frameworks', 'added', count(*) FROM (SELECT framework_slug FROM b EXCEPT SELECT framework_slug FROM a)
     UNION ALL SELECT 'frameworks', 'removed', count(*) FROM (SELECT framework_slug FROM a EXCEPT SELECT framework_slug FROM b)
-    UNION ALL SELECT 'taxonomy', 'added', 1 UNION ALL SELECT 'taxonomy', 'removed', 2""",
+    UNION ALL SELECT 'taxonomy', 'added', count(*) FROM (FROM later EXCEPT FROM earlier)
+    UNION ALL SELECT 'taxonomy', 'removed', count(*) FROM (FROM earlier EXCEPT FROM later)""",
 )
 def revision_diff(spark, sf_dir):
     old = views.issues(spark, sf_dir)

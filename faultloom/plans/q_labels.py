@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
-
 from pyspark.sql import functions as F
 
 from faultloom import dims
@@ -165,12 +163,15 @@ def render_prompt(spark, sf_dir):
     return rows.prompts(views.issues(spark, sf_dir))
 
 
+# The length and MD5 of the published prefix.
+PREFIX_CHARS, PREFIX_DIGEST = 3767, "2dbceb49beb5b9bd881ce4eb3d191c4b"
+
+
 @query(
     "prompt_with_taxonomy",
     f"""{with_views(ISSUES_SQL, _PROMPTS_SQL)}
-    SELECT node_id, length(prompt) + {len(dims.system_prompt())} AS n_chars,
-           md5({sql_text(dims.system_prompt())} || prompt) AS prompt_digest,
-           '{hashlib.md5(dims.system_prompt().encode()).hexdigest()}' AS prefix_digest
+    SELECT node_id, length(prompt) + {PREFIX_CHARS} AS n_chars, md5(prompt) AS prompt_digest,
+           '{PREFIX_DIGEST}' AS prefix_digest
     FROM prompts""",
 )
 def prompt_with_taxonomy(spark, sf_dir):
@@ -179,7 +180,7 @@ def prompt_with_taxonomy(spark, sf_dir):
     return found.select(
         "node_id",
         F.length(whole).cast("long").alias("n_chars"),
-        F.md5(whole).alias("prompt_digest"),
+        F.md5("prompt").alias("prompt_digest"),
         F.md5("system_prompt").alias("prefix_digest"),
     )
 

@@ -32,78 +32,160 @@ REASONING_LIMIT = 500
 REVIEW_CONFIDENCE = 0.6
 
 
-_TYPES: dict[str, T.DataType] = {
-    "string": T.StringType(),
-    "long": T.LongType(),
-    "double": T.DoubleType(),
-    "boolean": T.BooleanType(),
-    "timestamp": T.TimestampType(),
-    "variant": T.VariantType(),
-    "strings": T.ArrayType(T.StringType()),
-    "named": T.ArrayType(T.StructType([T.StructField("name", T.StringType())])),
-}
-
-
-def _struct(spec: str) -> T.StructType:
-    """``"name type, name! type"`` as a StructType; ``!`` marks a column that is never null."""
-    fields = (part.split() for part in spec.split(","))
-    return T.StructType(
-        [T.StructField(n.rstrip("!"), _TYPES[t], not n.endswith("!")) for n, t in fields]
-    )
-
+_STRINGS = T.ArrayType(T.StringType())
+_NAMED = T.ArrayType(T.StructType().add("name", "string"))
 
 # One landed payload. VARIANT keeps "key present but null" apart from "key absent".
-PAYLOAD = _struct(
-    "number long, node_id string, title string, body string, html_url string,"
-    " labels named, state string, author_association string,"
-    " created_at string, updated_at string, closed_at string, comments long,"
-    " pull_request variant, _corrupt_record string"
+PAYLOAD = (
+    T.StructType()
+    .add("number", "long")
+    .add("node_id", "string")
+    .add("title", "string")
+    .add("body", "string")
+    .add("html_url", "string")
+    .add("labels", _NAMED)
+    .add("state", "string")
+    .add("author_association", "string")
+    .add("created_at", "string")
+    .add("updated_at", "string")
+    .add("closed_at", "string")
+    .add("comments", "long")
+    .add("pull_request", "variant")
+    .add("_corrupt_record", "string")
+)
+
+RAW_ISSUE = (
+    T.StructType()
+    .add("framework_slug", "string", nullable=False)
+    .add("issue_number", "long", nullable=False)
+    .add("node_id", "string", nullable=False)
+    .add("title", "string", nullable=False)
+    .add("body", "string")
+    .add("url", "string", nullable=False)
+    .add("labels", _STRINGS)
+    .add("state", "string", nullable=False)
+    .add("author_association", "string")
+    .add("is_pull_request", "boolean")
+    .add("created_at", "timestamp")
+    .add("updated_at", "timestamp")
+    .add("closed_at", "timestamp")
+    .add("comment_count", "long")
+)
+
+LABELS = (
+    T.StructType()
+    .add("node_id", "string")
+    .add("locus", "string")
+    .add("phase", "string")
+    .add("symptom", "string")
+    .add("root_cause", "string")
+    .add("confidence", "double")
+    .add("reasoning", "string")
+    .add("needs_review", "boolean")
 )
 
-RAW_ISSUE = _struct(
-    "framework_slug! string, issue_number! long, node_id! string,"
-    " title! string, body string, url! string, labels strings,"
-    " state! string, author_association string, is_pull_request boolean,"
-    " created_at timestamp, updated_at timestamp, closed_at timestamp, comment_count long"
+ISSUES = (
+    T.StructType()
+    .add("framework_slug", "string", nullable=False)
+    .add("issue_number", "long", nullable=False)
+    .add("node_id", "string", nullable=False)
+    .add("title", "string", nullable=False)
+    .add("body", "string")
+    .add("url", "string", nullable=False)
+    .add("labels", _STRINGS)
+    .add("state", "string", nullable=False)
+    .add("is_pull_request", "boolean")
+    .add("created_at", "timestamp")
+    .add("updated_at", "timestamp")
+    .add("closed_at", "timestamp")
+    .add("comment_count", "long")
+    .add("locus", "string", nullable=False)
+    .add("phase", "string", nullable=False)
+    .add("symptom", "string", nullable=False)
+    .add("root_cause", "string", nullable=False)
+    .add("confidence", "double")
+    .add("reasoning", "string", nullable=False)
+    .add("needs_review", "boolean")
+    .add("classifier_tier", "string", nullable=False)
+    .add("classifier_model", "string", nullable=False)
+    .add("classifier_version", "string", nullable=False)
+    .add("classified_at", "timestamp")
 )
 
-LABELS = _struct(
-    "node_id string, locus string, phase string, symptom string, root_cause string,"
-    " confidence double, reasoning string, needs_review boolean"
+CROSS_LINKS = (
+    T.StructType()
+    .add("node_id", "string")
+    .add("corpus_id", "string")
+    .add("external_id", "string")
+    .add("similarity", "double")
+    .add("method", "string")
 )
 
-ISSUES = _struct(
-    "framework_slug! string, issue_number! long, node_id! string,"
-    " title! string, body string, url! string, labels strings,"
-    " state! string, is_pull_request boolean,"
-    " created_at timestamp, updated_at timestamp, closed_at timestamp, comment_count long,"
-    " locus! string, phase! string, symptom! string,"
-    " root_cause! string, confidence double, reasoning! string,"
-    " needs_review boolean, classifier_tier! string, classifier_model! string,"
-    " classifier_version! string, classified_at timestamp"
+TAXONOMY = (
+    T.StructType()
+    .add("axis", "string")
+    .add("label", "string")
+    .add("definition", "string")
+    .add("derived_from", _STRINGS)
 )
 
-CROSS_LINKS = _struct(
-    "node_id string, corpus_id string, external_id string, similarity double, method string"
+FRAMEWORKS = (
+    T.StructType()
+    .add("slug", "string")
+    .add("repo", "string")
+    .add("display_name", "string")
+    .add("homepage", "string")
 )
-TAXONOMY = _struct("axis string, label string, definition string, derived_from strings")
-FRAMEWORKS = _struct("slug string, repo string, display_name string, homepage string")
-RECORDS = _struct("corpus_id string, external_id string, title string, text string")
-CURSORS = _struct("slug string, last_scraped_at timestamp")
-RELABELS = _struct(
-    "node_id string, framework_slug string, locus string, phase string, symptom string,"
-    " root_cause string, confidence double, reasoning string, needs_review boolean,"
-    " classifier_model string, classified_at timestamp"
+
+RECORDS = (
+    T.StructType()
+    .add("corpus_id", "string")
+    .add("external_id", "string")
+    .add("title", "string")
+    .add("text", "string")
+)
+
+CURSORS = (
+    T.StructType()
+    .add("slug", "string")
+    .add("last_scraped_at", "timestamp")
 )
-USAGE = _struct(
-    "node_id string, prompt_tokens long, completion_tokens long, total_tokens long,"
-    " cache_hit_tokens long, cache_miss_tokens long"
+
+RELABELS = (
+    T.StructType()
+    .add("node_id", "string")
+    .add("framework_slug", "string")
+    .add("locus", "string")
+    .add("phase", "string")
+    .add("symptom", "string")
+    .add("root_cause", "string")
+    .add("confidence", "double")
+    .add("reasoning", "string")
+    .add("needs_review", "boolean")
+    .add("classifier_model", "string")
+    .add("classified_at", "timestamp")
+)
+
+USAGE = (
+    T.StructType()
+    .add("node_id", "string")
+    .add("prompt_tokens", "long")
+    .add("completion_tokens", "long")
+    .add("total_tokens", "long")
+    .add("cache_hit_tokens", "long")
+    .add("cache_miss_tokens", "long")
 )
 
 # What the model must return, as JSON, for one issue.
-LABEL_RESPONSE = _struct(
-    "locus string, phase string, symptom string, root_cause string,"
-    " confidence double, reasoning string, needs_review boolean"
+LABEL_RESPONSE = (
+    T.StructType()
+    .add("locus", "string")
+    .add("phase", "string")
+    .add("symptom", "string")
+    .add("root_cause", "string")
+    .add("confidence", "double")
+    .add("reasoning", "string")
+    .add("needs_review", "boolean")
 )
 
 
