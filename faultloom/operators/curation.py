@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,12 +36,17 @@ def revision_diff(
     Issues are compared by id, frameworks by slug, taxonomy rows by axis, label
     and definition.
     """
+    return diff({
+        "issues": (old, new, ["node_id"]),
+        "frameworks": (old, new, ["framework_slug"]),
+        "taxonomy": (old_labels, new_labels, ["axis", "label", "definition"]),
+    })
+
+
+def diff(sides: Mapping[str, tuple[DataFrame, DataFrame, list[str]]]) -> DataFrame:
+    """(what, change, n) of tables before and after, each compared by its keys."""
     parts = []
-    for what, before, after, keys in (
-        ("issues", old, new, ["node_id"]),
-        ("frameworks", old, new, ["framework_slug"]),
-        ("taxonomy", old_labels, new_labels, ["axis", "label", "definition"]),
-    ):
+    for what, (before, after, keys) in sides.items():
         a, b = before.select(keys).distinct(), after.select(keys).distinct()
         for change, rows in (
             ("added", b.join(a, keys, "left_anti")),

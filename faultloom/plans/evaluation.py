@@ -7,9 +7,10 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from faultloom.operators import agreement, labelling, rows, sampling
+from faultloom.operators import agreement, curation, labelling, rows, sampling
 from faultloom.schemas import AXES
 from faultloom.session import materialize
+from faultloom.sources import snapshots
 
 
 def relabel(
@@ -49,3 +50,24 @@ def compare(
     result = materialize(agreement.kappa_report(a, b, axes, join_on), "kappa")
     agreement.report_json(result).coalesce(1).write.mode("overwrite").text(report)
     return agreement.collect_report(result)
+
+
+def published_diff(spark: SparkSession, corpus: str, old: str | None, new: str | None) -> DataFrame:
+    """What was added or removed between two published revisions (None: main), as ``curation.revision_diff`` tells it.
+
+    Issues are compared in the buckets whose digests differ, frameworks by the lists
+    of parts; all other buckets are not read.
+    """
+    issues = snapshots.changed_issues(spark, corpus, old, new)
+    slugs, labels = (
+        [get(revision) for revision in (old, new)]
+        for get in (
+            lambda r: snapshots.listed_frameworks(spark, corpus, r),
+            lambda r: snapshots.read_table(spark, snapshots.corpus_table(corpus, r, "taxonomy"), "taxonomy"),
+        )
+    )
+    return curation.diff({
+        "issues": (*issues, ["node_id"]),
+        "frameworks": (*slugs, ["framework_slug"]),
+        "taxonomy": (*labels, ["axis", "label", "definition"]),
+    })

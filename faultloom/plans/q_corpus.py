@@ -9,6 +9,7 @@ from faultloom import dims
 from faultloom.functions.time import revision_tag
 from faultloom.operators import curation, merging, stats
 from faultloom.plans import views
+from faultloom.plans.evaluation import published_diff
 from faultloom.plans.q_labels import _TAXONOMY_SQL, long_sql
 from faultloom.plans.registry import flat, query, sql_in, sql_iso
 from faultloom.plans.views import ISSUES_SQL, STREAM_SQL, with_views
@@ -400,3 +401,26 @@ def revision_diff(spark, sf_dir):
     reworded = F.when(F.col("label") == "loop", F.lit("Never ends.")).otherwise(F.col("definition"))
     later = labels.filter("label <> 'memory'").withColumn("definition", reworded)
     return curation.revision_diff(old, new, labels, later)
+
+
+@query(
+    "revision_diff_digests",
+    f"""{with_views(ISSUES_SQL, _TAXONOMY_SQL)},
+    a AS (SELECT node_id, framework_slug FROM v_issues WHERE issue_number % 7 <> 0),
+    b AS (SELECT node_id, CASE WHEN framework_slug = 'src4' THEN 'moved' ELSE framework_slug END AS framework_slug
+          FROM v_issues WHERE issue_number % 5 <> 0)
+    SELECT 'issues' AS what, 'added' AS change, count(*) AS n FROM (SELECT node_id FROM b EXCEPT SELECT node_id FROM a)
+    UNION ALL SELECT 'issues', 'removed', count(*) FROM (SELECT node_id FROM a EXCEPT SELECT node_id FROM b)
+    UNION ALL SELECT 'frameworks', 'added', count(*) FROM (SELECT framework_slug FROM b EXCEPT SELECT framework_slug FROM a)
+    UNION ALL SELECT 'frameworks', 'removed', count(*) FROM (SELECT framework_slug FROM a EXCEPT SELECT framework_slug FROM b)
+    UNION ALL SELECT 'taxonomy', 'added', 0 UNION ALL SELECT 'taxonomy', 'removed', 0""",
+)
+def revision_diff_digests(spark, sf_dir):
+    """Two published revisions; buckets with equal digests are not read."""
+    root, corpus = scratch_path(spark, "snapshots"), scratch_path(spark, "corpus")
+    issues, slug = views.issues(spark, sf_dir), F.col("framework_slug")
+    later = issues.withColumn("framework_slug", F.when(slug == "src4", F.lit("moved")).otherwise(slug))
+    for revision, rows in (("r1", issues.filter("issue_number % 7 <> 0")), ("r2", later.filter("issue_number % 5 <> 0"))):
+        snapshot = snapshots.write_snapshot(rows, empty(spark, CROSS_LINKS), root, revision)
+        snapshots.publish(spark, snapshot, corpus, revision, cumulative=False, buckets=16)
+    return published_diff(spark, corpus, "r1", "r2")

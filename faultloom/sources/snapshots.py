@@ -41,6 +41,10 @@ PARTS = T.StructType(
         T.StructField("bucket", T.IntegerType()),
         T.StructField("folder", T.StringType()),
         T.StructField("buckets", T.IntegerType()),
+        # Of issues, what can be told of a bucket without reading it.
+        T.StructField("rows", T.LongType()),
+        T.StructField("digest", T.StringType()),
+        T.StructField("slugs", T.ArrayType(T.StringType())),
     ]
 )
 #: Buckets of a new corpus. A corpus keeps the number it began with.
@@ -187,7 +191,7 @@ def publish(
         else:
             folder = _new_folder(target)
             rows.write.parquet(folder)
-            parts = [Row(bucket=0, folder=folder.removeprefix(f"{corpus}/"), buckets=1)]
+            parts = [(0, folder.removeprefix(f"{corpus}/"), 1, None, None, None)]
         listed = spark.createDataFrame(parts, PARTS).coalesce(1)
         for place in (target, main) if also_main else (target,):
             fs.write_version(listed, _list_of_parts(place))
@@ -210,7 +214,10 @@ def bucket_of(buckets: int) -> Column:
 def _publish_issues(
     rows: DataFrame, corpus: str, target: str, main: str, buckets: int, cumulative: bool, how: dict
 ) -> list[Row]:
-    """Write the touched buckets and return the parts of the table that follows main."""
+    """Write the touched buckets and return the parts of the table that follows main.
+
+    A bucket's digest is that of its ids and frameworks, in any order of rows.
+    """
     spark, known = rows.sparkSession, []
     if cumulative:
         listed = _parts(spark, main)
@@ -226,11 +233,36 @@ def _publish_issues(
         rows = merge_latest(rows, existing, **how)
     folder = _new_folder(target)
     rows.withColumn("bucket", bucket_of(buckets)).repartition("bucket").write.partitionBy("bucket").parquet(folder)
-    new = {int(name.split("=")[1]): f"{folder}/{name}" for name in fs.subdirs(spark, folder) if name.startswith("bucket=")}
-    made = [Row(bucket=b, folder=path.removeprefix(f"{corpus}/"), buckets=buckets) for b, path in new.items()]
+    if not fs.subdirs(spark, folder):
+        return known
+    written = spark.read.schema("node_id string, framework_slug string, bucket int").parquet(folder)
+    told = written.groupBy("bucket").agg(
+        F.count("*").alias("n"),
+        F.sum(F.xxhash64("node_id", "framework_slug").cast("decimal(38,0)")).cast("string").alias("digest"),
+        F.sort_array(F.collect_set("framework_slug")).alias("slugs"),
+    )
+    inside = folder.removeprefix(f"{corpus}/")
+    # A row for each bucket, with a name for each framework.
+    made = [(r.bucket, f"{inside}/bucket={r.bucket}", buckets, r.n, r.digest, r.slugs) for r in told.collect()]
+    new = {part[0] for part in made}
     return made + [p for p in known if p.bucket not in new]
 
 
+def changed_issues(spark: SparkSession, corpus: str, old: str | None, new: str | None) -> tuple[DataFrame, DataFrame]:
+    """Issues of two published revisions (None: main), of the buckets alone whose digests differ."""
+    sides = [_parts(spark, corpus_table(corpus, r, "issues")) or [] for r in (old, new)]
+    known = [{(p.bucket, p.buckets, p.rows, p.digest) for p in parts} for parts in sides]
+    same = known[0] & known[1]
+    rest = [[p for p in parts if (p.bucket, p.buckets, p.rows, p.digest) not in same] for parts in sides]
+    return tuple(_rows_of(spark, corpus.rstrip("/"), parts, "issues") for parts in rest)
+
+
+def listed_frameworks(spark: SparkSession, corpus: str, revision: str | None) -> DataFrame:
+    """(framework_slug) of a published revision, from its list of parts."""
+    found = {s for p in _parts(spark, corpus_table(corpus, revision, "issues")) or [] for s in p.slugs or []}
+    return spark.createDataFrame([(s,) for s in sorted(found)], "framework_slug string")
+
+
 def sweep(spark: SparkSession, corpus: str) -> list[str]:
     """Remove folders of rows that no list of parts names, and return them. Not while a publication runs."""
     corpus = corpus.rstrip("/")

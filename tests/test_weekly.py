@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from test_corpus import found, issues, land, weekly
 
 from faultloom.operators import intake, labelling, sampling
+from faultloom.plans.evaluation import published_diff
 from faultloom.plans.weekly import Labelling, run_weekly
 from faultloom.schemas import CROSS_LINKS, RAW_ISSUE, empty
 from faultloom.sources import dead_letters, fs, inbox, snapshots, state
@@ -87,6 +88,18 @@ def test_duplicates_and_empty_snapshots(spark, tmp_path):
     assert found(main(spark, corpus)) == {"n1": "loop", "n5": "loop"} and main(spark, corpus).count() == 2
 
 
+def test_a_diff_reads_no_bucket_with_equal_digests(spark, tmp_path):
+    rows = [(f"n{i}", "a" if i % 2 else "b", "crash", "2026-04-30") for i in range(300)]
+    corpus = publish(spark, tmp_path, "r1", rows, buckets=16)
+    # Written again with another label: other files, equal digests.
+    publish(spark, tmp_path, "r2", [(n, f, "loop", "2026-05-07") for n, f, *_ in rows] + [("new", "c", "loop", "2026-05-07")])
+    old, new = snapshots.changed_issues(spark, corpus, "r1", "r2")
+    assert len(files(old)) == len(files(new)) == 1 and new.count() == old.count() + 1
+    got = {(r.what, r.change): r.n for r in published_diff(spark, corpus, "r1", "r2").collect()}
+    assert got["issues", "added"] == got["frameworks", "added"] == 1 and sum(got.values()) == 2
+    assert sum(r.n for r in published_diff(spark, corpus, "r2", None).collect()) == 0
+
+
 # --- inbox -----------------------------------------------------------------------
 
 
