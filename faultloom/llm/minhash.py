@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faultloom.llm.common import WordHashes, batch, has_rows, mixed, pieces, sliced, texts_as_bytes
+from faultloom.llm.common import WordHashes, batch, free_name, has_rows, mixed, pieces, sliced, texts_as_bytes
 from faultloom.llm.components import connected_components
 from faultloom.session import materialize
 
@@ -408,7 +408,8 @@ def dedup_documents(docs: DataFrame, words: int, percent: int) -> DataFrame:
 def filtered(docs: DataFrame, words: int = 5, percent: int = 80, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows that stay, with their columns: of each component those of the smallest id."""
     gone = near_duplicates(docs, words, percent, id, text).filter("NOT kept")
-    gone = materialize(gone.select(F.col("doc_id").alias("_id"), F.col("version").alias("_version")).distinct(), "gone")
+    row, version = free_name(docs, "copy_id"), free_name(docs, "copy_version")
+    gone = materialize(gone.select(F.col("doc_id").alias(row), F.col("version").alias(version)).distinct(), "gone")
     body = F.coalesce(F.col(text), F.lit(""))
-    same = (F.col(id) == F.col("_id")) & (F.xxhash64(body) == F.col("_version"))
+    same = (docs[id] == F.col(row)) & (F.xxhash64(body) == F.col(version))
     return docs.join(gone, same, "left_anti")

@@ -106,3 +106,18 @@ def test_common_elements_by_product():
             assert m._common(sets, i, j).tolist() == want
         finally:
             m.FEW_PAIRS = before
+
+
+def test_columns_of_other_meaning_stay(spark):
+    names = ["_id", "_version", "version", "copy_id", "Copy_Version", "node", "kept"]
+    rows = [(i, f"a b c d e f {i // 2}", *["v"] * len(names)) for i in range(4)]
+    df = spark.createDataFrame(rows, ", ".join(["doc_id long", "text string", *(f"{n} string" for n in names)]))
+    assert sorted(tuple(r) for r in m.filtered(df, 3, 85).collect()) == [rows[0], rows[2]]
+
+
+def test_a_star_and_a_hub_that_is_not_the_least(spark):
+    """Two nodes with nearly all links, one of them their component's largest; joined by broadcast, whatever their share."""
+    star = [(0, i) for i in range(1, 20_000)] + [(99_999, i) for i in range(30_000, 50_000)] + [(60_000 + i, 60_001 + i) for i in range(9)]
+    df = spark.createDataFrame(star, "a long, b long")
+    roots = connected_components(df).groupBy("root").count().collect()
+    assert {r.root: r["count"] for r in roots} == {0: 19_999, 30_000: 20_000, 60_000: 9}
