@@ -69,10 +69,16 @@ def join_facts(rows: DataFrame, facts: DataFrame, key: str | list[str], total: i
     they are; no key of the rest is large enough to burden a task of the shuffle.
     """
     hot = F.col("n") * HOT_KEYS > total
-    loud, rest = facts.filter(hot), facts.filter(~hot)
     keys = [key] if isinstance(key, str) else key
+    loud, rest = facts.filter(hot).drop("n"), facts.filter(~hot).drop("n")
+    kinds = {r["hot"] for r in facts.select(hot.alias("hot")).distinct().collect()}
+    if True not in kinds:
+        return rows.join(rest, keys)
+    found = rows.join(F.broadcast(loud), keys)
+    if False not in kinds:
+        return found
     quiet = rows.join(F.broadcast(loud.select(keys)), keys, "left_anti")
-    return rows.join(F.broadcast(loud.drop("n")), keys).unionByName(quiet.join(rest.drop("n"), keys))
+    return found.unionByName(quiet.join(rest, keys))
 
 
 def has_rows(df: DataFrame) -> bool:
