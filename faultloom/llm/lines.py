@@ -35,6 +35,8 @@ from faultloom.session import materialize
 MIN_WORDS = 5
 #: A broadcast table's bytes at most; by its rows and the bytes of one.
 BROADCAST_BYTES = 16 << 20
+#: Words of a line that are summed up in one go.
+BLOCK = 256
 
 
 def _version(text: str) -> Column:
@@ -116,24 +118,27 @@ def _xor(a: Column, b: Column) -> Column:
     return a.bitwiseXOR(b)
 
 
-def _running_xor(hashes: Column) -> Column:
-    """The exclusive-or of each hash and all before it: each pass joins four times as many, as long as there are more."""
+def _running(hashes: Column) -> Column:
+    """The exclusive-or of each hash and all before it; for arrays of moderate length, as each step copies."""
+    none = F.array().cast("array<bigint>")
+    last = lambda seen: F.coalesce(F.get(seen, F.size(seen) - 1), F.lit(0).cast("long"))
+    return F.aggregate(hashes, none, lambda seen, h: F.concat(seen, F.array(_xor(last(seen), h))))
+
 
-    def with_earlier(step: int):
-        def earlier(x: Column, by: int) -> Column:
-            none = F.transform(F.slice(x, 1, by), lambda _: F.lit(0).cast("long"))
-            return F.concat(none, F.slice(x, F.lit(1), F.greatest(F.size(x) - by, F.lit(0))))
+def _running_xor(hashes: Column) -> Column:
+    """The same for arrays of any length, block by block; each block then takes up the sum of those before it."""
+    nothing = F.lit(0).cast("long")
 
-        def join(x: Column) -> Column:
-            two = F.zip_with(x, earlier(x, step), _xor)
-            rest = F.zip_with(earlier(x, 2 * step), earlier(x, 3 * step), _xor)
-            return F.when(F.size(x) > 2 * step, F.zip_with(two, rest, _xor)).when(F.size(x) > step, two).otherwise(x)
+    def joined(blocks: Column) -> Column:
+        sums = _running(F.transform(blocks, lambda b: F.get(b, F.size(b) - 1)))
+        before = F.concat(F.array(nothing), F.slice(sums, F.lit(1), F.size(sums) - 1))
+        return F.flatten(F.zip_with(blocks, before, lambda b, s: F.transform(b, lambda h: _xor(h, s))))
 
-        return join
+    def in_blocks(x: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.size(x), F.lit(BLOCK))
+        return F.transform(starts, lambda k: _running(F.slice(x, k, F.lit(BLOCK))))
 
-    for k in range(0, 30, 2):
-        hashes = let(hashes, with_earlier(1 << k))
-    return hashes
+    return let(hashes, lambda x: F.when(F.size(x) <= BLOCK, _running(x)).otherwise(let(in_blocks(x), joined)))
 
 
 def variant_keys(ws: Column) -> Column:
