@@ -87,3 +87,12 @@ def test_long_text_behind_empty_ones_is_split(monkeypatch):
     assert max(n for n, _ in found) <= 700 + N - 1
     assert {k for _, owner in found for k in owner} == set(range(5))
     assert sum(n for n, owner in found if owner == [2]) == 3000 + (N - 1) * 4
+
+
+def test_thousands_of_equal_rows_cost_in_proportion(spark):
+    """Each row once had the places of all its copies."""
+    rng = np.random.default_rng(2)
+    text = "".join(rng.choice(list("abcdefgh "), 3300))
+    df = spark.createDataFrame([(None, text)] * 3000 + [(1, text[:500]), (2, "other")], "doc_id long, text string")
+    got = s.remove_repeats(df.repartition(8)).groupBy("doc_id", "n_bytes", "n_removed", "n_spans").count().collect()
+    assert {(r.doc_id, r.n_bytes, r.n_removed, r.n_spans): r["count"] for r in got} == {(None, 3300, 3300, 1): 3000, (1, 500, 500, 1): 1, (2, 5, 0, 0): 1}
