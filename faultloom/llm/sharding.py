@@ -8,8 +8,11 @@ Those items, not the rows, are sorted by size, and each enters the bin with the
 tightest room that still takes it, found in a balanced tree. The smallest
 capacity at which the items need no more than ``shards`` bins is used.
 
-A group larger than a shard cannot be whole; it is cut by a hash of the id into
-parts of about an eighth of a shard, and each part stays whole.
+A group larger than a shard cannot be whole; it is cut by a hash of a row number
+into parts of about an eighth of a shard, and each part stays whole. The number is
+given where a row lies and written with it, so rows without an id, or with one
+and the same, are cut and numbered like others; which rows of a cut group go where
+may change with the layout of the input.
 
 A null text counts as no bytes and equals the empty text. Null ids are rows like
 others; repeated rows are rows of one group. No rows, no shards. Other columns
@@ -18,8 +21,6 @@ are not looked at.
 
 from __future__ import annotations
 
-from bisect import bisect_left
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,37 +30,111 @@ from faultloom.session import materialize
 ROW_BYTES, PARCELS, BUCKET_GROUPS, NUMBERED = 16, 512, 1_000_000, 250_000
 
 
+class Node:
+    """A node of the tree: an entry, the subtrees of smaller and larger entries, and its height."""
+
+    __slots__ = ("entry", "small", "large", "height")
+
+    def __init__(self, entry: tuple[int, int]):
+        self.entry, self.small, self.large, self.height = entry, None, None, 1
+
+
+def _height(node: Node | None) -> int:
+    return node.height if node else 0
+
+
+def _lean(node: Node) -> int:
+    return _height(node.small) - _height(node.large)
+
+
+def _measure(node: Node) -> Node:
+    node.height = 1 + max(_height(node.small), _height(node.large))
+    return node
+
+
+def _small_up(node: Node) -> Node:
+    top = node.small
+    node.small, top.large = top.large, node
+    _measure(node)
+    return _measure(top)
+
+
+def _large_up(node: Node) -> Node:
+    top = node.large
+    node.large, top.small = top.small, node
+    _measure(node)
+    return _measure(top)
+
+
+def _balanced(node: Node) -> Node:
+    """The subtree with its heights at most one apart again, after one entry came or went."""
+    lean = _lean(node)
+    if lean > 1:
+        if _lean(node.small) < 0:
+            node.small = _large_up(node.small)
+        return _small_up(node)
+    if lean < -1:
+        if _lean(node.large) > 0:
+            node.large = _small_up(node.large)
+        return _large_up(node)
+    return _measure(node)
+
+
+def _with(node: Node | None, entry: tuple[int, int]) -> Node:
+    if node is None:
+        return Node(entry)
+    if entry < node.entry:
+        node.small = _with(node.small, entry)
+    else:
+        node.large = _with(node.large, entry)
+    return _balanced(node)
+
+
+def _without_least(node: Node) -> tuple[tuple[int, int], Node | None]:
+    if node.small is None:
+        return node.entry, node.large
+    least, node.small = _without_least(node.small)
+    return least, _balanced(node)
+
+
+def _without(node: Node, entry: tuple[int, int]) -> Node | None:
+    if entry < node.entry:
+        node.small = _without(node.small, entry)
+    elif entry > node.entry:
+        node.large = _without(node.large, entry)
+    elif node.small is None or node.large is None:
+        return node.small or node.large
+    else:
+        node.entry, node.large = _without_least(node.large)
+    return _balanced(node)
+
+
 class RoomTree:
-    """Bins by room in a balanced tree of two levels: leaves of at most ``width`` bins, split when full.
+    """Bins by room in a balanced search tree, whose height grows with the logarithm of the bins.
 
     Entries are (room, bin). ``take`` removes the entry with the least room that
-    is enough: a binary search among the leaves and one in a leaf.
+    is enough: one walk down to find it, one to take it out.
     """
 
-    def __init__(self, width: int = 64):
-        self.width, self.leaves = width, [[]]
+    def __init__(self):
+        self.root: Node | None = None
 
-    def _leaf(self, entry: tuple[int, int]) -> int:
-        tops = [leaf[-1] for leaf in self.leaves if leaf]
-        return min(bisect_left(tops, entry), len(self.leaves) - 1)
+    @property
+    def height(self) -> int:
+        return _height(self.root)
 
     def put(self, room: int, bin: int) -> None:
-        at = self._leaf((room, bin))
-        leaf = self.leaves[at]
-        leaf.insert(bisect_left(leaf, (room, bin)), (room, bin))
-        if len(leaf) > self.width:
-            half = len(leaf) // 2
-            self.leaves[at : at + 1] = [leaf[:half], leaf[half:]]
+        self.root = _with(self.root, (room, bin))
 
     def take(self, size: int) -> tuple[int, int] | None:
-        at = self._leaf((size, -1))
-        leaf = self.leaves[at]
-        k = bisect_left(leaf, (size, -1))
-        if k == len(leaf):
-            return None
-        found = leaf.pop(k)
-        if not leaf and len(self.leaves) > 1:
-            del self.leaves[at]
+        node, found = self.root, None
+        while node is not None:
+            if node.entry[0] >= size:
+                node, found = node.small, node.entry
+            else:
+                node = node.large
+        if found is not None:
+            self.root = _without(self.root, found)
         return found
 
 
@@ -138,15 +213,15 @@ def _parts(rows: DataFrame, shards: int) -> DataFrame:
     large = groups.filter(F.col("bytes") > capacity).select(
         "key", F.ceil(F.col("bytes") * 8 / F.lit(capacity)).alias("cuts")
     )
-    cut = F.pmod(F.xxhash64("doc_id"), F.coalesce("cuts", F.lit(1)))
+    cut = F.pmod(F.xxhash64("row"), F.coalesce("cuts", F.lit(1)))
     return rows.join(F.broadcast(large), "key", "left").withColumn("part", cut).drop("cuts")
 
 
 def _slots(placed: DataFrame) -> DataFrame:
-    """Gapless numbers in each shard, numbered in blocks that are dealt by a hash of the id."""
+    """Gapless numbers in each shard, numbered in blocks that are dealt by a hash of the row number."""
     n = placed.count()
     placed = placed.withColumn(
-        "block", F.pmod(F.xxhash64("doc_id"), F.lit(max(1, -(-n // NUMBERED))))
+        "block", F.pmod(F.xxhash64("row"), F.lit(max(1, -(-n // NUMBERED))))
     )
     before = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = placed.groupBy("shard", "block").agg(F.count(F.lit(1)).alias("n"))
@@ -154,7 +229,7 @@ def _slots(placed: DataFrame) -> DataFrame:
         "shard", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first")
     )
     inside = F.row_number().over(
-        Window.partitionBy("shard", "block").orderBy("doc_id", "key", "size")
+        Window.partitionBy("shard", "block").orderBy("doc_id", "key", "row")
     )
     return (
         placed.withColumn("slot", inside)
@@ -173,6 +248,7 @@ def shard(
         _size(F.col(text)).alias("size"),
         F.crc32(body).alias("text_crc32"),
         F.unhex(F.md5(body)).alias("key"),
+        F.monotonically_increasing_id().alias("row"),
     )
     keyed = materialize(_parts(materialize(rows, "shard-rows"), shards), "shard-keyed")
     items = materialize(_items(keyed, shards, parcels), "shard-items")

@@ -1,3 +1,5 @@
+import bisect
+import math
 import random
 import zlib
 from collections import defaultdict
@@ -58,3 +60,38 @@ def test_hot_group_and_edges(spark):
     assert sharding.shard(df.limit(0), 10).count() == 0
     doubled = df.filter("doc_id > 1990").union(spark.createDataFrame([(None, "y", 1), (None, "y", 1)], df.schema))
     assert sharding.shard(doubled, 2).count() == 4
+
+
+def test_tree_stays_balanced():
+    rng = random.Random(2)
+    tree, bins = sharding.RoomTree(), 100_000
+    for at in range(bins):
+        tree.put(at, at)
+    assert tree.height <= 1.45 * math.log2(bins)
+    rooms = list(range(bins))
+    for _ in range(2_000):
+        size = rng.randrange(bins)
+        room, at = tree.take(size)
+        k = bisect.bisect_left(rooms, size)
+        assert room == rooms.pop(k)
+        tree.put(room // 3, at)
+        bisect.insort(rooms, room // 3)
+    assert tree.take(bins) is None
+    while rooms:
+        assert tree.take(0)[0] == rooms.pop(0) if len(rooms) < 500 else tree.take(rooms.pop())
+        assert tree.height <= 1.45 * math.log2(len(rooms) + 2) + 1
+    assert tree.take(0) is None
+
+
+def test_rows_without_ids_are_dealt_like_others(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "NUMBERED", 100)
+    pairs = [(None, "one text of many rows")] * 3_000 + [(7, "another text, one id")] * 3_000
+    df = spark.createDataFrame(pairs, "doc_id long, text string").repartition(7)
+    rows = sharding.shard(df, 10).collect()
+    sizes, slots = defaultdict(int), defaultdict(list)
+    for r in rows:
+        sizes[r.shard] += r["size"]
+        slots[r.shard].append(r.slot)
+    assert len(rows) == 6_000 and len(sizes) == 10
+    assert max(sizes.values()) < 1.1 * min(sizes.values())
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
