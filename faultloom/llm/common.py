@@ -5,7 +5,7 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Hashable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -148,6 +148,28 @@ def give_back() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+_kept: dict[Hashable, object] = {}
+
+
+def kept(owner: Hashable, make: Callable[[], object]):
+    """What an operator keeps in a worker between tasks, such as tables of words.
+
+    A worker outlives an operator, so it keeps the things of one owner at a time:
+    those of the last go, and their memory with them, when another asks.
+    """
+    if owner not in _kept:
+        forget()
+        _kept[owner] = make()
+    return _kept[owner]
+
+
+def forget() -> None:
+    """Drop what this worker keeps."""
+    if _kept:
+        _kept.clear()
+        give_back()
+
+
 def batch(schema: pa.Schema, columns: dict) -> pa.RecordBatch:
     """Columns as lists, numpy arrays or Arrow arrays."""
     arrays = [

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faultloom.llm.common import WordHashes, batch, free_name, has_rows, mixed, pieces, sliced, texts_as_bytes
+from faultloom.llm.common import WordHashes, batch, free_name, has_rows, kept, mixed, pieces, sliced, texts_as_bytes
 from faultloom.llm.components import connected_components
 from faultloom.session import materialize
 
@@ -92,7 +92,7 @@ _FEATURES = pa.schema([
 
 def _features(words: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, (a, b) = WordHashes(), _multipliers()
+        known, (a, b) = kept("minhash", WordHashes), _multipliers()
         for part in sliced(batches):
             ids, versions = part.column(0).to_pylist(), part.column(1).to_pylist()
             texts = texts_as_bytes(part.column(2))
@@ -198,17 +198,17 @@ _LINK = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("common", pa.int64()
 
 def _compare(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, last, kept = WordHashes(), None, None
+        known, last, held = kept("minhash", WordHashes), None, None
         for part in sliced(batches):
             a, b = part.column(0).to_pylist(), part.column(1).to_pylist()
             out = {"a": a, "b": b, "common": [], "either": []}
             for key, one, two in zip(a, texts_as_bytes(part.column(2)), texts_as_bytes(part.column(3)), strict=True):
                 if key != last:
-                    last, kept = key, shingles(known.of(one.lower().split()), words)
+                    last, held = key, shingles(known.of(one.lower().split()), words)
                 other = shingles(known.of(two.lower().split()), words)
-                common = len(np.intersect1d(kept, other, assume_unique=True))
+                common = len(np.intersect1d(held, other, assume_unique=True))
                 out["common"].append(common)
-                out["either"].append(len(kept) + len(other) - common)
+                out["either"].append(len(held) + len(other) - common)
             yield batch(_LINK, out)
 
     return run

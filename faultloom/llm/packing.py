@@ -27,13 +27,12 @@ import zlib
 from bisect import bisect_right, insort
 from collections import defaultdict
 from collections.abc import Iterator
-from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faultloom.llm.common import batch, sliced, texts_as_bytes
+from faultloom.llm.common import batch, kept, sliced, texts_as_bytes
 
 TIERS = (4096, 2048, 1024, 512, 256)
 #: Tokens of a step group, tokens of a pool, words and stems of words remembered with their ids.
@@ -101,9 +100,8 @@ class WordIds(dict):
         return b"".join(i.to_bytes(4, "little") for i in ids)
 
 
-@cache
 def word_ids(path: str) -> WordIds:
-    return WordIds(path)
+    return kept(("packing", path), lambda: WordIds(path))
 
 
 class Pool:

@@ -6,7 +6,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from faultloom.llm import packing
+from faultloom.llm import common, packing
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -65,3 +65,15 @@ def test_tiers_and_steps():
     assert [r["doc_id"] for r in rows if r["sequence_id"] == long][:2] == [40, 20]
     with pytest.raises(ValueError):
         packing.pack(None, PATH, tiers=(100, 10))
+
+
+def test_workers_keep_the_things_of_one_owner():
+    common.forget()
+    first = common.kept("one", dict)
+    first["word"] = b"ids"
+    assert common.kept("one", dict) is first
+    other = common.kept("two", dict)
+    assert other is not first and common.kept("one", dict) == {}
+    common.forget()
+    assert common.kept("two", dict) is not other
+    common.forget()
