@@ -1,3 +1,4 @@
+import hashlib
 import json
 
 import pytest
@@ -7,6 +8,7 @@ from faultloom import dims
 from faultloom.functions.text import WHITESPACE, strip
 from faultloom.functions.time import revision_tag
 from faultloom.operators import labelling, rows, validation
+from faultloom.plans.queries import QUERIES
 from faultloom.schemas import (
     AXES,
     CROSS_LINKS,
@@ -215,3 +217,18 @@ def test_labelling_retries_and_isolates_rows(spark):
 
 def test_axes_are_four():
     assert AXES == ("locus", "phase", "symptom", "root_cause")
+
+
+def test_the_digest_of_a_prompt_covers_its_prefix(spark, tmp_path):
+    docs = [(0, "T\nbody", "crewai", "en", 6), (1, "U", "agno", "de", 1)]
+    spark.createDataFrame(docs, "doc_id long, text string, source string, lang string, n_chars long").write.parquet(
+        f"{tmp_path}/documents.parquet"
+    )
+    events = spark.sql("SELECT id AS event_id, timestamp '2026-01-02' AS ts, 'click' AS event_type FROM range(2)")
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    prompts = {r.node_id: dims.system_prompt() + r.prompt for r in QUERIES["render_prompt"].run(spark, str(tmp_path)).collect()}
+    found = QUERIES["prompt_with_taxonomy"].run(spark, str(tmp_path)).collect()
+    assert len(found) == 2
+    for r in found:
+        assert r.n_chars == len(prompts[r.node_id])
+        assert r.prompt_digest == hashlib.md5(prompts[r.node_id].encode()).hexdigest()
