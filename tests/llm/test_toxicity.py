@@ -1,3 +1,5 @@
+import zlib
+
 import numpy as np
 import pytest
 
@@ -135,3 +137,51 @@ def test_columns_of_other_meaning_stay(spark, sf_dir):
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     docs = spark.createDataFrame([(1, "a", 0.9, 0.1, 5, "m")], "doc_id long, text string, toxicity double, Toxicity_ double, order int, model string")
     assert x.filtered(docs, labels).collect() == docs.collect()
+
+
+def frames(spark, rows):
+    """Documents and labels of (text, toxic) rows."""
+    ids = [(i, *row) for i, row in enumerate(rows)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in ids], "doc_id long, text string")
+    return docs, spark.createDataFrame([(i, y) for i, _, y in ids], "doc_id long, toxic int")
+
+
+def test_long_texts_are_learnt_from(spark):
+    """Toxic texts of over 200,000 bytes: the only ones of their class."""
+    rows = [("vile " + f"w{i % 7} " * 70_000, 1) if i % 10 == 0 else (f"w{i % 7} w{i % 5}", 0) for i in range(120)]
+    docs, labels = frames(spark, rows)
+    got = {r.doc_id: r.predicted for r in x.score_documents(docs, labels).collect()}
+    assert [got[i] for i in range(120)] == [y for _, y in rows]
+
+
+def test_every_labelled_row_is_learnt_from(spark):
+    rows = [(f"w{i % 50} w{i % 7}", int(i % 3 == 0)) for i in range(12_000)]
+    docs, labels = frames(spark, rows)
+    found = x.training(docs, labels, "doc_id", "text")
+    want = docs.filter(x.fold(x.F.col("doc_id")) != 0).count()
+    assert want > 9_000 and found.count() == want
+    assert x.training(docs.union(docs), labels.union(labels), "doc_id", "text").count() == 2 * want
+
+
+def test_averaged_shards_learn(spark, made, monkeypatch):
+    texts = [t.decode() for t in made[0]]
+    docs, labels = frames(spark, list(zip(texts, made[1].tolist(), strict=True)))
+    whole = x.learnt(docs, labels)
+    monkeypatch.setattr(x, "SHARD_ROWS", 100)
+    model = x.learnt(docs, labels)
+    assert not np.array_equal(model.table, whole.table)
+    held = [i for i in range(len(texts)) if zlib.crc32(str(i).encode()) % 5 == 0]
+    got = x.scores(model, [made[0][i] for i in held]) >= 0.5
+    assert (got == made[1][held]).mean() > 0.95
+    again = x.learnt(docs.repartition(7), labels.repartition(3))
+    assert np.allclose(again.table, model.table, atol=1e-5) and np.allclose(again.shifts, model.shifts, atol=1e-3)
+
+
+def test_one_shard_is_learnt_as_by_one_process(spark, made):
+    texts = [t.decode() for t in made[0]]
+    docs, labels = frames(spark, list(zip(texts, made[1].tolist(), strict=True)))
+    rows = sorted(x.training(docs, labels, "doc_id", "text").collect(), key=lambda r: (r.order, r.text))
+    want = x.train([r.text.encode() for r in rows], [r.toxic for r in rows])
+    got = x.learnt(docs, labels)
+    assert np.array_equal(got.table, want.table) and got.bias == want.bias
+    assert np.allclose(got.shifts, want.shifts, atol=1e-3)
