@@ -13,7 +13,9 @@ in full. The steps:
    issue times the largest norm any record has on terms that frequent. The
    issue's prefix ends where this product drops below the threshold, so a pair
    that shares no prefix term cannot reach it (prefix filtering after Bayardo,
-   Ma, Srikant: Scaling Up All Pairs Similarity Search, WWW 2007).
+   Ma, Srikant: Scaling Up All Pairs Similarity Search, WWW 2007). It goes on
+   until the rest can add no more than a part of the threshold, so that a pair
+   with one weak common term has no chance in the next step.
 4. Prefix terms are joined with the records' terms and summed per pair. A pair
    survives if its sum plus what the issue's rest can add reaches the threshold.
    The rest is added for the survivors only.
@@ -44,6 +46,9 @@ MAX_DOCUMENT_SHARE = 0.9
 # Sums in another order may differ in the last digits; a bound must not lose a pair to that.
 _SLACK = 1e-9
 
+# The part of the threshold that terms after the prefix may add.
+_REST = 0.25
+
 # A term with more than 1/_HOT_TERMS of all (text, term) entries is hot. There are fewer than that.
 _HOT_TERMS = 100_000
 _SALTS = 1024
@@ -249,9 +254,8 @@ def _reach(record_terms: DataFrame) -> DataFrame:
     )
 
 
-def _similar_texts(vectors: DataFrame, threshold: float) -> DataFrame:
-    """Pairs of an issue's and a record's text with a similarity at or above the threshold."""
-    floor = threshold - _SLACK
+def _survivors(vectors: DataFrame, floor: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Pairs that may reach the floor with what their prefix terms add; the issues' other terms; the records' terms."""
     of_record = vectors.filter("of_record")
     classes = materialize(_classes(of_record, floor), "record-classes")
     classed = of_record.withColumnRenamed("text_id", "record_text").join(classes, "record_text")
@@ -264,8 +268,8 @@ def _similar_texts(vectors: DataFrame, threshold: float) -> DataFrame:
         .join(F.broadcast(reach), "level")
         .select(F.col("text_id").alias("issue_text"), "class", "term", "w", can_add.alias("can_add"))
     )
-    prefix = issue_terms.filter(F.col("can_add") >= floor)
-    rest = issue_terms.filter(F.col("can_add") < floor)
+    prefix = issue_terms.filter(F.col("can_add") >= floor * _REST)
+    rest = issue_terms.filter(F.col("can_add") < floor * _REST)
     bounds = rest.groupBy("issue_text", "class").agg(F.max("can_add").alias("bound"))
     survivors = (
         prefix.join(record_terms, ["class", "term"])
@@ -275,6 +279,12 @@ def _similar_texts(vectors: DataFrame, threshold: float) -> DataFrame:
         .filter(F.col("sum") + F.coalesce("bound", F.lit(0.0)) >= floor)
         .select("issue_text", "record_text", "class", "sum")
     )
+    return survivors, rest, record_terms
+
+
+def _similar_texts(vectors: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of an issue's and a record's text with a similarity at or above the threshold."""
+    survivors, rest, record_terms = _survivors(vectors, threshold - _SLACK)
     added = F.coalesce(F.col("w") * F.col("record_w"), F.lit(0.0))
     return (
         survivors.join(rest, ["issue_text", "class"], "left")

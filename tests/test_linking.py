@@ -159,3 +159,22 @@ def test_sweep_and_top(spark):
     row = linking.links_per_record(links, issues).first()
     assert (row.n_issues, row.n_frameworks, row.best_similarity) == (2, 2, 0.5)
     assert linking.linked_issues(issues, links.filter("similarity > 0.2")).count() == 1
+
+
+def test_pairs_with_one_weak_common_term_do_not_survive(spark, monkeypatch):
+    """Survivors are added up term by term, so few but the links may be among them."""
+    words = [f"w{i}" for i in range(400)]
+    issues = [(f"n{i}", " ".join(words[(i * 37 + j * (j + i % 7)) % 400] for j in range(60))) for i in range(60)]
+    records = [(f"r{i}", " ".join(words[(i * 53 + j * (j + 3)) % 400] for j in range(60))) for i in range(20)]
+    records.append(("copy", issues[5][1]))
+    left, right = frames(spark, issues, records)
+    texts = linking._texts(left, right)
+    vectors = linking.materialize(linking._vectors(linking._weighted_terms(texts, STOP, 0.9)), "vectors")
+    few = linking._survivors(vectors, 0.3)[0].count()
+    monkeypatch.setattr(linking, "_REST", 1.0)
+    many = linking._survivors(vectors, 0.3)[0].count()
+    monkeypatch.undo()
+    want = brute_force(issues, records, 0.3)
+    assert 0 < len(want) <= few < many / 3
+    got = linked(spark, issues, records, 0.3)
+    assert got.keys() == want.keys() and all(math.isclose(got[k], want[k]) for k in want)
