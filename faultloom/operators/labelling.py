@@ -31,6 +31,9 @@ class TransientError(Exception):
 
 _FIELDS = [f.name for f in LABELS if f.name != "node_id"]
 _COUNTS = [f.name for f in USAGE if f.name != "node_id"]
+#: Rows of a task are at most about this many, so that tasks stay small as the input grows.
+TASK_ROWS = 10_000
+
 LABELLED = T.StructType(
     [*LABELS.fields, *USAGE.fields[1:], T.StructField("error", T.StringType())]
 )
@@ -87,6 +90,7 @@ def label_prompts(
     parallelism: int | None = None,
     at_once: int = 100,
     concurrent: int = 1,
+    rows: int | None = None,
 ) -> DataFrame:
     """Run a labeller over (node_id, prompt) rows.
 
@@ -96,14 +100,16 @@ def label_prompts(
     ``concurrent`` times the tasks that run. A row that fails, or whose answer has a field of
     the wrong type, keeps its error and no labels. A column ``row``, where there
     is one, is passed through beside the labels, so that nothing need be joined
-    back. ``parallelism`` spreads the calls evenly over that many tasks; rows go
-    on after ``at_once`` answers. Write the result before using it twice: every
+    back. ``parallelism`` spreads the calls evenly over that many tasks, or over more
+    where a task would have above ``TASK_ROWS`` rows, which are counted if ``rows``
+    does not say how many there are; rows go on after ``at_once`` answers. Write the result before using it twice: every
     use of the frame calls the labeller.
     """
     passed = [f for f in prompts.schema if f.name == "row"]
     prompts = prompts.select("node_id", "prompt", *[f.name for f in passed])
     if parallelism:
-        prompts = prompts.repartition(parallelism)
+        rows = prompts.count() if rows is None else rows
+        prompts = prompts.repartition(max(parallelism, -(-rows // TASK_ROWS)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = threading.local()
@@ -175,7 +181,7 @@ def label_resumed(
     tried = []
     for wave in range(waves):
         own = asked.filter(F.pmod(F.xxhash64("digest"), F.lit(waves)) == wave)
-        calls = label_prompts(own.select(F.col("digest").alias("node_id"), "prompt"), factory, **how)
+        calls = label_prompts(own.select(F.col("digest").alias("node_id"), "prompt"), factory, rows=per_wave, **how)
         calls = materialize(calls.withColumnRenamed("node_id", "digest"), "wave")
         folder = f"{_answers_of(store, model)}/wave-{uuid.uuid4().hex}"
         calls.filter("error IS NULL").drop("error").write.parquet(folder)

@@ -232,3 +232,15 @@ def test_the_digest_of_a_prompt_covers_its_prefix(spark, tmp_path):
     for r in found:
         assert r.n_chars == len(prompts[r.node_id])
         assert r.prompt_digest == hashlib.md5(prompts[r.node_id].encode()).hexdigest()
+
+
+def test_tasks_of_a_labeller_stay_small(spark, monkeypatch):
+    """More rows make more tasks, not longer ones; ``parallelism`` is the least."""
+    monkeypatch.setattr(labelling, "TASK_ROWS", 100)
+    prompts = spark.range(0, 1500, 1, 2).select(F.col("id").cast("string").alias("node_id"), F.lit("p").alias("prompt"))
+
+    whole = labelling.label_prompts(prompts, lambda: lambda p: {}, parallelism=2)
+    counts = [r["count"] for r in whole.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(counts) == 1500 and len(counts) == 15 and max(counts) <= 120
+    few = labelling.label_prompts(prompts.limit(50), lambda: lambda p: {}, parallelism=2)
+    assert few.select(F.spark_partition_id()).distinct().count() == 2
