@@ -7,7 +7,6 @@ import time
 import uuid
 from collections.abc import Callable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
 from typing import Any
 
 import pyarrow as pa
@@ -17,7 +16,7 @@ from pyspark.sql import types as T
 
 from faultloom.operators.validation import check_labels
 from faultloom.schemas import LABELS, USAGE, empty
-from faultloom.session import materialize
+from faultloom.session import materialize, scratch_path
 from faultloom.sources import fs
 
 # A labeller takes a prompt and returns the label fields, optionally with token counts.
@@ -135,7 +134,8 @@ def label_prompts(
     return prompts.mapInArrow(run, T.StructType([*LABELLED.fields, *passed]))
 
 
-ANSWERS = T.StructType([T.StructField("digest", T.StringType()), *LABELLED.fields[1:-1]])
+_TRIED = T.StructType([T.StructField("digest", T.StringType()), *LABELLED.fields[1:]])
+ANSWERS = T.StructType(_TRIED.fields[:-1])
 
 
 def prompt_digest(prompt: str = "prompt") -> Column:
@@ -154,6 +154,16 @@ def read_answers(spark: SparkSession, store: str, model: str) -> DataFrame:
     return spark.read.schema(ANSWERS).parquet(*waves) if waves else empty(spark, ANSWERS)
 
 
+def _waves(asked: DataFrame, n: int) -> list[DataFrame]:
+    """The rows in n parts of about one size, each of which reads files of its own."""
+    if n < 2:
+        return [asked] * n
+    spark, path = asked.sparkSession, scratch_path(asked.sparkSession, "waves")
+    dealt = asked.withColumn("wave", F.pmod(F.xxhash64("digest"), F.lit(n)).cast("int"))
+    dealt.repartition("wave").write.partitionBy("wave").parquet(path)
+    return [spark.read.schema(asked.schema).parquet(f"{path}/{name}") for name in fs.subdirs(spark, path)]
+
+
 def label_resumed(
     prompts: DataFrame,
     factory: LabellerFactory,
@@ -177,16 +187,16 @@ def label_resumed(
     known = read_answers(spark, store, model).select("digest")
     asked = keyed.groupBy("digest").agg(F.min("prompt").alias("prompt"), F.min("node_id").alias("first_id"))
     asked = materialize(asked.join(known, "digest", "left_anti"), "unanswered")
-    waves = -(-asked.count() // per_wave)
     tried = []
-    for wave in range(waves):
-        own = asked.filter(F.pmod(F.xxhash64("digest"), F.lit(waves)) == wave)
+    for own in _waves(asked, -(-asked.count() // per_wave)):
         calls = label_prompts(own.select(F.col("digest").alias("node_id"), "prompt"), factory, rows=per_wave, **how)
-        calls = materialize(calls.withColumnRenamed("node_id", "digest"), "wave")
+        tried.append(scratch_path(spark, "wave"))
+        calls.withColumnRenamed("node_id", "digest").write.parquet(tried[-1])
+        calls = spark.read.schema(_TRIED).parquet(tried[-1])
         folder = f"{_answers_of(store, model)}/wave-{uuid.uuid4().hex}"
         calls.filter("error IS NULL").drop("error").write.parquet(folder)
-        tried.append(calls.filter("error IS NOT NULL").select("digest", "error"))
-    failed = reduce(DataFrame.union, tried, spark.createDataFrame([], "digest string, error string"))
+    calls = spark.read.schema(_TRIED).parquet(*tried) if tried else empty(spark, _TRIED)
+    failed = calls.filter("error IS NOT NULL").select("digest", "error")
     found = read_answers(spark, store, model).dropDuplicates(["digest"])
     joined = keyed.join(found, "digest", "left").join(failed, "digest", "left")
     joined = joined.join(asked.select("digest", "first_id"), "digest", "left")

@@ -244,3 +244,27 @@ def test_tasks_of_a_labeller_stay_small(spark, monkeypatch):
     assert sum(counts) == 1500 and len(counts) == 15 and max(counts) <= 120
     few = labelling.label_prompts(prompts.limit(50), lambda: lambda p: {}, parallelism=2)
     assert few.select(F.spark_partition_id()).distinct().count() == 2
+
+
+def test_a_wave_reads_its_own_rows(spark, tmp_path):
+    """Not all rows once per wave."""
+    prompts = spark.range(300).select(F.col("id").cast("string").alias("node_id"), F.concat(F.lit("p"), "id").alias("prompt"))
+    asked = prompts.select(labelling.prompt_digest().alias("digest"), "prompt", F.col("node_id").alias("first_id"))
+    waves = labelling._waves(asked, 7)
+    files = [f for wave in waves for f in wave.inputFiles()]
+    assert len(waves) == 7 and len(files) == len(set(files)) >= 7
+    assert sorted(r for wave in waves for r in wave.collect()) == sorted(asked.collect())
+
+    def factory():
+        def label(prompt):
+            if prompt.endswith("7"):
+                raise ValueError("no")
+            return {"reasoning": prompt}
+
+        return label
+
+    got = labelling.label_resumed(prompts, factory, f"{tmp_path}/store", "m", per_wave=50).collect()
+    assert {r.node_id: (r.reasoning, r.error) for r in got} == {
+        str(i): (None, "ValueError: no") if i % 10 == 7 else (f"p{i}", None) for i in range(300)
+    }
+    assert labelling.read_answers(spark, f"{tmp_path}/store", "m").count() == 270
