@@ -24,6 +24,8 @@ from faultloom.sources import fs
 from faultloom.sources.payloads import good_rows, quarantine, type_payloads
 
 BATCH, FOLDED = "batch_id", "folded"
+#: Up to so many partitions Spark writes a shuffle without holding rows (spark.shuffle.sort.bypassMergeThreshold).
+SPREAD = 200
 
 
 def _latest(rows: DataFrame) -> DataFrame:
@@ -36,9 +38,22 @@ def _latest(rows: DataFrame) -> DataFrame:
     return rows.withColumn("_rank", F.row_number().over(newest)).filter("_rank = 1").drop("_rank")
 
 
+def _spread(rows: DataFrame) -> DataFrame:
+    """The rows dealt out evenly, whatever they hold.
+
+    A file may be one block that a single task reads whole. Ranked there, all its rows
+    would be sorted in that task's memory; dealt out by their number, they
+    are sorted in parts of a shuffle's usual size, equal rows and all.
+    """
+    dealt, by = rows.withColumn("_row", F.monotonically_increasing_id()), ["_row"]
+    if int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) > SPREAD:
+        by = [SPREAD, *by]
+    return dealt.repartition(*by).drop("_row")
+
+
 def write_batch(rows: DataFrame, batch_id: int, table: str) -> None:
     """Put one micro-batch into the log, one row per issue."""
-    rows = _latest(rows.select(*RAW_ISSUE.names).withColumn(BATCH, F.lit(batch_id).cast("long")))
+    rows = _latest(_spread(rows.select(*RAW_ISSUE.names)).withColumn(BATCH, F.lit(batch_id).cast("long")))
     rows.drop(BATCH).write.mode("overwrite").parquet(f"{table}/{BATCH}={batch_id}")
 
 

@@ -100,3 +100,15 @@ def test_a_compaction_may_stop_anywhere(spark, tmp_path):
 
 def test_nothing_streamed_yet(spark, tmp_path):
     assert live.read_upserted(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_a_file_of_one_block_is_ranked_in_parts(spark):
+    coalesce, day = "spark.sql.adaptive.coalescePartitions.enabled", datetime(2026, 4, 20)
+    block = raw(spark, [("a", day, "same")] * 300 + [(f"n{i}", day, "x") for i in range(700)]).coalesce(1)
+    parts = live._spread(block)
+    spark.conf.set(coalesce, "false")  # so few rows would share a task
+    try:
+        sizes = [r["count"] for r in parts.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set(coalesce, "true")
+    assert sum(sizes) == 1000 and max(sizes) < 400 and parts.columns == block.columns
