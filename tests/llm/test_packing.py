@@ -77,3 +77,18 @@ def test_workers_keep_the_things_of_one_owner():
     common.forget()
     assert common.kept("two", dict) is not other
     common.forget()
+
+
+def test_word_tables_stay_small_and_words_keep_their_ids():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    ids, plain = packing.WordIds(path), Tokenizer.from_file(path)
+    odd = ["straße", "Ñandú's", "don't", "ÿaé", "café", "İstanbul", "x1y2", "<|endoftext|>", "naïve-ish!", "µm", "ΣΑΣ"]
+    for word in odd + [f"{a}é{b}" for a in ("co", "Ba") for b in ("r", "ß", "")]:
+        raw = np.array(plain.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        assert ids[word.encode()] == raw, word
+    letters = "abcdefghijklmnopqrst"
+    for n in range(700_000):
+        word = "".join(letters[n // 20**k % 20] for k in range(5)).encode()
+        _ = ids[word + b"."]
+    tables = (ids, ids.old, ids.stems, ids.old_stems)
+    assert sum(sum(map(len, t.items())) + len(t) * 130 for t in tables) < 100e6
