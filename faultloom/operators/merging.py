@@ -2,21 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from faultloom.schemas import ISSUES, conform
+from faultloom.session import materialize
 
 
-def _newest_per_issue(rows: DataFrame) -> DataFrame:
+#: Rows from which an issue may be loud, and the share of all rows that fewer issues than this can each have.
+LOUD_ROWS, LOUD_IDS = 10_000, 10_000
+
+
+def _newest_per_issue(rows: DataFrame, *dealt: str) -> DataFrame:
     """One row per issue: the latest label, then the new side, then the latest update.
 
     A hash over the row settles what is left, so the result does not depend on
     row order. Spark ranks inside each partition before the shuffle (rank
-    limit 1), so an issue with very many versions arrives as a few rows.
+    limit 1), so an issue with very many versions arrives as a few rows. Rows that
+    are ``dealt`` by columns made of the id alone are ranked where they lie.
     """
-    tie = F.xxhash64(*[c for c in rows.columns if c != "_new"])
-    newest = Window.partitionBy("node_id").orderBy(
+    tie = F.xxhash64(*[c for c in rows.columns if c not in ("_new", *dealt)])
+    newest = Window.partitionBy(*dealt, "node_id").orderBy(
         F.desc_nulls_last("classified_at"),
         F.desc("_new"),
         F.desc_nulls_last("updated_at"),
@@ -61,6 +67,35 @@ def merge_latest(
     return merged.select(*existing.columns)
 
 
+def _loud_ids(rows: DataFrame) -> DataFrame | None:
+    """Ids that have so many rows that one task should not get them all; None where there are none. They are few."""
+    total = rows.count()
+    if total <= LOUD_ROWS:
+        return None
+    loud = rows.groupBy("node_id").agg(F.count("*").alias("n")).filter(
+        F.col("n") > max(LOUD_ROWS, total // LOUD_IDS)
+    )
+    loud = materialize(loud.select(F.col("node_id").alias("_loud")), "loud-ids")
+    return loud if loud.take(1) else None
+
+
+def merge_dealt(new: DataFrame, existing: DataFrame, bucket: str, of_id: Column) -> DataFrame:
+    """``merge_latest`` of tables of which none is unique, dealt by ``bucket``, a column made of the id.
+
+    Rows are shuffled once, for the ranking and the buckets alike. Only those of an
+    issue with very many are ranked before that, so they reach its bucket as one.
+    """
+    both = existing.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)))
+    loud = _loud_ids(both)
+    if loud is not None:
+        same = F.col("node_id").eqNullSafe(F.col("_loud"))
+        many = both.join(F.broadcast(loud), same, "left_semi")
+        # Of an issue that is ranked, the side no longer matters.
+        first = _newest_per_issue(many).withColumn("_new", F.lit(1))
+        both = both.join(F.broadcast(loud), same, "left_anti").unionByName(first)
+    return _newest_per_issue(both.withColumn(bucket, of_id).repartition(bucket), bucket)
+
+
 def union_shards(*shards: DataFrame) -> DataFrame:
     """All rows of all shards, duplicates included, on the declared schema."""
     first, *rest = [conform(shard, ISSUES) for shard in shards]

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from faultloom.dims import frameworks, taxonomy
-from faultloom.operators.merging import merge_latest
+from faultloom.operators.merging import merge_dealt, merge_latest
 from faultloom.schemas import CROSS_LINKS, FRAMEWORKS, ISSUES, TAXONOMY, conform, empty
 from faultloom.sources import fs
 
@@ -230,9 +230,13 @@ def _publish_issues(
             how = how | {"strict_reference": False}
         else:
             existing = empty(spark, ISSUES) if listed is not None else read_table(spark, main, "issues")
-        rows = merge_latest(rows, existing, **how)
     folder = _new_folder(target)
-    rows.withColumn("bucket", bucket_of(buckets)).repartition("bucket").write.partitionBy("bucket").parquet(folder)
+    if cumulative and not any(how.values()):
+        dealt = merge_dealt(rows, existing, "bucket", bucket_of(buckets))
+    else:
+        rows = merge_latest(rows, existing, **how) if cumulative else rows
+        dealt = rows.withColumn("bucket", bucket_of(buckets)).repartition("bucket")
+    dealt.write.partitionBy("bucket").parquet(folder)
     if not fs.subdirs(spark, folder):
         return known
     written = spark.read.schema("node_id string, framework_slug string, bucket int").parquet(folder)

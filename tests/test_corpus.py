@@ -351,3 +351,16 @@ def test_shards_are_found_at_any_depth(spark, tmp_path):
         issues(spark, [(folder, "a", "crash", None)]).write.parquet(str(tmp_path / folder / "2026-W17" / "issues.parquet"))
     assert sorted(r.node_id for r in snapshots.read_shards(spark, str(tmp_path)).collect()) == sorted(["x", deep])
     assert fs.find(spark, str(tmp_path / "none"), "issues.parquet") == []
+
+
+@pytest.mark.parametrize("loud_rows", [3, 10_000])
+def test_dealt_merge_shuffles_rows_once(spark, monkeypatch, loud_rows):
+    old = issues(spark, [("n1", "a", f"s{i}", "2026-04-30") for i in range(20)] + [(None, "a", "crash", "2026-05-20")] * 6 + [("n4", "a", "crash", None)])
+    new = issues(spark, [("n1", "a", "loop", "2026-05-17"), ("n4", "a", "loop", None), ("n5", "a", "loop", None), (None, "a", "loop", "2026-05-17")])
+    monkeypatch.setattr(merging, "LOUD_ROWS", loud_rows)
+    dealt = merging.merge_dealt(new, old, "bucket", snapshots.bucket_of(8))
+    assert found(dealt) == found(merging.merge_latest(new, old)) == {None: "crash", "n1": "loop", "n4": "loop", "n5": "loop"}
+    assert dealt.count() == 4 and dealt.columns == [*ISSUES.names, "bucket"]
+    if loud_rows > 100:
+        planned = merging.merge_dealt(new, old, "bucket", snapshots.bucket_of(8))
+        assert planned._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1
