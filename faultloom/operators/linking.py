@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from faultloom.functions import text as tx
 from faultloom.operators.rows import match_texts
-from faultloom.schemas import CROSS_LINKS, conform
+from faultloom.schemas import CROSS_LINKS, conform, empty
 from faultloom.session import materialize
 
 # The linking defaults.
@@ -312,6 +312,9 @@ def link_texts(
     """
     if threshold <= 0:
         raise ValueError("threshold must be above 0: every pair is similar by 0 or more")
+    if not records.filter(F.col("text").isNotNull()).take(1):
+        # Nothing to link with: the issues' terms are of no use.
+        return empty(issues.sparkSession, CROSS_LINKS)
     stop_words = english_stop_words() if stop_words is None else stop_words
     texts = _texts(issues, records)
     vectors = materialize(

@@ -189,6 +189,8 @@ def take_turn(
         wanted = wanted.withColumn("waits", waits)
     # The kept rows feed the labels, the links and the cursors; read the landing files once.
     wanted = materialize(wanted, "wanted")
+    if not cap:
+        return wanted.select(*new.columns), wanted.select(*new.columns)
     kept = materialize(intake.cap_by_cutoff(wanted, cap, F.col("waits")).select(*new.columns), "kept")
     return wanted.select(*new.columns), kept
 

@@ -178,3 +178,13 @@ def test_pairs_with_one_weak_common_term_do_not_survive(spark, monkeypatch):
     assert 0 < len(want) <= few < many / 3
     got = linked(spark, issues, records, 0.3)
     assert got.keys() == want.keys() and all(math.isclose(got[k], want[k]) for k in want)
+
+
+def test_without_records_nothing_is_tokenised(spark, monkeypatch):
+    def fails(*_):
+        raise AssertionError("terms of issues were made")
+
+    monkeypatch.setattr(linking, "materialize", fails)
+    issues, records = frames(spark, [("n1", "memory error in loop")], [("r1", None)])
+    assert linking.link_texts(issues, records).columns == CROSS_LINKS.names
+    assert linking.link_texts(issues, records.limit(0)).count() == 0

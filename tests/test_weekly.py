@@ -353,3 +353,14 @@ def test_a_sample_that_cannot_keep_its_strata_says_so(spark, caplog):
     with caplog.at_level("WARNING"):
         assert sampling.stratified_sample(rows, 5, stratum="framework_slug").count() == 5
     assert "20 strata" in caplog.text
+
+
+def test_a_run_without_a_cap_copies_no_rows(spark, tmp_path, monkeypatch):
+    from faultloom.plans import weekly as job
+
+    tags, write = [], job.materialize
+    monkeypatch.setattr(job, "materialize", lambda df, tag: (tags.append(tag), write(df, tag))[1])
+    land(tmp_path / "landing", "openai/swarm", node_id="a")
+    snapshot = run_weekly(spark, weekly(tmp_path))
+    assert tags == ["wanted", "issues"]
+    assert [r.node_id for r in spark.read.parquet(f"{snapshot}/issues.parquet").collect()] == ["a"]
