@@ -1,3 +1,4 @@
+import random
 import zlib
 from collections import defaultdict
 
@@ -92,3 +93,38 @@ def test_word_tables_stay_small_and_words_keep_their_ids():
         _ = ids[word + b"."]
     tables = (ids, ids.old, ids.stems, ids.old_stems)
     assert sum(sum(map(len, t.items())) + len(t) * 130 for t in tables) < 100e6
+
+
+def test_words_come_apart_where_the_tokenizer_parts_them():
+    ids, plain, draw = packing.WordIds(PATH), Tokenizer.from_file(PATH), random.Random(5)
+    signs = (
+        *"aszSTHAEJWY'',.!<|>_-=(19éÉÈ×÷ßµÿØσΣжЖ",
+        *"²½ª\u0149\u017f\u0138\u01c5文ﬁ—“’ \n\t\x00\x1c\x7f\x85\xa0\u3000",
+        *"\u02bc\u0130\u212a\u212b\u1e96\u200d",  # letters whose case or composition is odd
+        *"\u0338\u0331\u0301\u0307\u0308\u030a\u030c\u0344\u0345",  # combining marks
+        "'s", "'re", "'ll", "don't", "the", "The,", "ing!!", "<|endoftext|>", "<|EndOfText|>", "...", "3.14",
+    )
+    every = [f"x{chr(c)}{mark}y{chr(c)}{mark}{chr(c)}" for c in range(0x80, 0x500) for mark in ("!", "'s", "_")]
+    for t, words in zip(every, packing.all_words([t.encode() for t in every]), strict=True):
+        raw = np.array(plain.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+        assert b"".join(map(ids.__getitem__, words)) == raw, t
+    few = [s for s in signs if not any(0x300 <= ord(c) < 0x380 for c in s) and "<|" not in s]
+    for rounds in range(300):
+        texts = ["".join(draw.choices(few if rounds % 2 else signs, k=draw.randint(0, 30))) for _ in range(40)]
+        found = list(packing.all_words([t.encode() for t in texts]))
+        for t, words in zip(texts, found, strict=True):
+            raw = np.array(plain.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+            assert b"".join(map(ids.__getitem__, words)) == raw, t
+
+
+def test_a_word_is_looked_up_whatever_its_case_and_marks():
+    ids, made = packing.WordIds(PATH), []
+    ids._encode = lambda word, encode=ids._encode: made.append(word) or encode(word)
+    stems = "alpha", "beta", "café", "слово"
+    before, behind = ("", "(", "--"), ("", ",", ".)", "?!", "-x")
+    spelt = [w for s in stems for w in (s, s.capitalize() if s.isascii() else s)]
+    texts = [f"{a}{w}{b}".encode() for w in spelt for a in before for b in behind]
+    for words in packing.all_words(texts):
+        _ = [ids[w] for w in words]
+    # Four stems, one of them behind two marks too, six marks and a letter.
+    assert len(set(made)) == len(made) <= 13, made
