@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faultloom.llm.common import WordHashes, batch, free_name, has_rows, kept, mixed, pieces, sliced, texts_as_bytes
+from faultloom.llm.common import WordHashes, batch, free_name, has_rows, kept, mixed, pieces, sliced, small_batches, texts_as_bytes
 from faultloom.llm.components import connected_components
 from faultloom.session import materialize
 
@@ -356,6 +356,7 @@ def near_duplicates(
     docs: DataFrame, words: int = 5, percent: int = 80, id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """(doc_id, version, n_shingles, component_id, kept) for every row; ``version`` is a hash of the text."""
+    small_batches(docs.sparkSession)
     rows = _versioned(docs, id, text)
     schema = "doc_id long, version long, n_shingles long, node binary, signature binary, bands array<long>"
     features = materialize(rows.mapInArrow(_features(words, band_rows(percent)), schema), "features")

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faultloom.llm.common import batch, kept, pieces, sliced, texts_as_bytes
+from faultloom.llm.common import batch, kept, pieces, sliced, small_batches, texts_as_bytes
 
 TIERS = (4096, 2048, 1024, 512, 256)
 #: Tokens of a step group, tokens of a pool, words and stems of words remembered with their ids.
@@ -299,6 +299,7 @@ def pack(
     """A row for each piece. ``tokenizer`` is a path that every executor has; tiers are powers of two, falling."""
     if any(t & (t - 1) for t in tiers) or list(tiers) != sorted(set(tiers), reverse=True):
         raise ValueError("tiers are different powers of two, the longest first")
+    small_batches(docs.sparkSession)
     end = end_id.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faultloom.llm.common import batch, forget, free_name, give_back, kept, sliced, texts_as_bytes
+from faultloom.llm.common import batch, forget, free_name, give_back, kept, sliced, small_batches, texts_as_bytes
 from faultloom.session import materialize
 
 #: What a shard holds about: so many rows, and no more than so many bytes of text.
@@ -486,6 +486,7 @@ def with_score(
     into: str = "score",
 ) -> DataFrame:
     """The rows with a score from 0 to 1; 0.5 and more is toxic."""
+    small_batches(docs.sparkSession)
     model = learnt(docs, labels, id, text)
     if model is None:
         return docs.withColumn(into, F.lit(0.0))
