@@ -5,6 +5,12 @@ in full. The steps:
 
 1. Equal texts are collapsed to one text with two counts, how many issues and
    how many records carry it. A crowd of copies is tokenised and compared once.
+   If the records' terms can be broadcast, issues that cannot reach the threshold
+   go here. An issue's products with the records need the frequencies of the
+   records' terms only; the frequency of any other term is at most that of all
+   terms with the same hash, so it adds at least so much to the issue's norm, and
+   the similarity is at most the products divided by that norm. The terms of all
+   issues are never shuffled so; the steps below see the issues that are left.
 2. Term and document frequencies come from grouped counts that are combined
    before the shuffle. Weights need one join of the terms with their frequency,
    in which the hot terms, few by definition, are broadcast.
@@ -31,7 +37,7 @@ from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.ml.feature import StopWordsRemover
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from faultloom.functions import text as tx
@@ -53,6 +59,16 @@ _REST = 0.25
 _HOT_TERMS = 100_000
 _SALTS = 1024
 
+# The records' terms, one by one and per record, are broadcast up to so many rows.
+_BROADCAST_TERMS = 100_000
+
+# How many hashes bound the frequencies of the other terms, and the most words of 64 bits of a filter of terms.
+_HASHES = 1 << 18
+_FILTER_WORDS = 1 << 20
+
+# Ids of texts, of 16 bytes, are broadcast up to so many.
+_BROADCAST_IDS = 500_000
+
 
 def english_stop_words() -> list[str]:
     return StopWordsRemover.loadDefaultStopWords("english")
@@ -61,8 +77,7 @@ def english_stop_words() -> list[str]:
 class _Texts(NamedTuple):
     issues: DataFrame  # node_id, text_id
     records: DataFrame  # corpus_id, external_id, text_id
-    distinct: DataFrame  # text_id, text, n_issues, n_records
-    sizes: DataFrame  # n_chars, a row per issue and record
+    distinct: DataFrame  # text_id, text or words, n_issues, n_records
 
 
 def _texts(issues: DataFrame, records: DataFrame) -> _Texts:
@@ -82,13 +97,17 @@ def _texts(issues: DataFrame, records: DataFrame) -> _Texts:
         left.select("node_id", identity),
         right.select("corpus_id", "external_id", identity),
         distinct,
-        both.select(F.length("text").alias("n_chars")),
     )
 
 
+def _tokenised(texts: DataFrame, stop_words: Sequence[str]) -> DataFrame:
+    """The texts as ``words``."""
+    return texts.withColumn("words", tx.words(F.col("text"), stop_words)).drop("text")
+
+
 def _terms(texts: DataFrame, stop_words: Sequence[str], *keep: str) -> DataFrame:
-    """``keep`` columns and ``terms``, the words and word pairs of each text."""
-    words = texts.select(*keep, tx.words(F.col("text"), stop_words).alias("words"))
+    """``keep`` columns and ``terms``, the words and word pairs of each text or of its ``words``, if these are made."""
+    words = texts if "words" in texts.columns else _tokenised(texts, stop_words)
     return words.select(*keep, tx.unigrams_and_bigrams(F.col("words")).alias("terms"))
 
 
@@ -98,9 +117,11 @@ def term_counts(texts: DataFrame, stop_words: Sequence[str], *keep: str) -> Data
     The first of the kept columns identifies the text. Where the input is
     already partitioned by it, counting needs no shuffle.
     """
+    # Outer: an inner generator would have Spark make the terms once more below it, and below a shuffle.
     return (
         _terms(texts, stop_words, *keep)
-        .select(*keep, F.explode("terms").alias("term"))
+        .select(*keep, F.explode_outer("terms").alias("term"))
+        .filter("term IS NOT NULL")
         .groupBy(*keep, "term")
         .agg(F.count("*").alias("tf"))
     )
@@ -125,40 +146,142 @@ def document_frequency(texts: DataFrame, stop_words: Sequence[str], key: str) ->
     )
 
 
+def _totals(texts: DataFrame) -> Column:
+    """(n_texts, n_terms) of all issues and records: how many have a text, and the most terms these can have."""
+    rows = F.col("n_issues") + F.col("n_records")
+    # A text of n characters has at most 2 (n + 1) / 3 words and word pairs.
+    terms = F.size("words") * 2 if "words" in texts.columns else (F.length("text") + 1) * 2 / 3
+    totals = F.struct(
+        F.coalesce(F.sum(rows), F.lit(0)).cast("double").alias("n_texts"),
+        F.sum(terms * rows).alias("n_terms"),
+    )
+    return texts.agg(totals.alias("totals")).scalar()
+
+
+def _weight(tf: Column, df: Column, n_texts: Column) -> Column:
+    return (F.log(tf.cast("double")) + 1) * (F.log((n_texts + 1) / (df + 1)) + 1)
+
+
+def _distinct_terms(texts: DataFrame, stop_words: Sequence[str], *keep: str) -> DataFrame:
+    """``keep`` columns and ``term``, a row for each different term of a text, made within the text's row."""
+    # Outer: an inner generator would have Spark make the terms once more below it.
+    terms = F.explode_outer(F.array_distinct("terms")).alias("term")
+    return _terms(texts, stop_words, *keep).select(*keep, terms).filter("term IS NOT NULL")
+
+
+def _record_weights(records: DataFrame, stop_words: Sequence[str], known: DataFrame, keep: Column, n_texts: Column) -> DataFrame:
+    """(record_text, term, record_w): the records' unit vectors, by the frequencies ``known`` of their terms."""
+    weighted = (
+        term_counts(records, stop_words, "text_id")
+        .join(known, "term")
+        .filter(keep)
+        .select("text_id", "term", _weight(F.col("tf"), F.col("df"), n_texts).alias("weight"))
+    )
+    norm = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(Window.partitionBy("text_id")))
+    return weighted.select(F.col("text_id").alias("record_text"), "term", (F.col("weight") / norm).alias("record_w"))
+
+
+def _candidates(
+    distinct: DataFrame, stop_words: Sequence[str], max_share: float, threshold: float
+) -> DataFrame | None:
+    """(text_id) of the issues' texts that may reach the threshold with some record; None if that cannot be told by broadcasts.
+
+    The frequencies of the records' terms are exact. Other terms are counted by hash,
+    which is never less than the frequency of one of them, so their weights, and the
+    norms of the issues, are never too large.
+    """
+    records = materialize(distinct.filter("n_records > 0"), "record-texts")
+    terms = materialize(_distinct_terms(records, stop_words, "text_id"), "record-terms")
+    if terms.count() > _BROADCAST_TERMS:
+        return None
+    n_texts = _totals(distinct)["n_texts"]
+    by_hash = F.pmod(F.xxhash64("term"), F.lit(_HASHES))
+    own = F.broadcast(terms.select("term").distinct().withColumn("shared", F.lit(True)))
+    counted = (
+        _distinct_terms(distinct, stop_words, "n_issues", "n_records")
+        .join(own, "term", "left")
+        .groupBy(F.when(F.col("shared"), F.col("term")).alias("term"), F.when(F.col("shared").isNull(), by_hash).alias("hash"))
+        .agg(F.sum(F.col("n_issues") + F.col("n_records")).alias("df"))
+    )
+    frequency = materialize(counted, "frequency-bounds")
+    known = frequency.filter("term IS NOT NULL").select("term", "df")
+    bounds = frequency.filter("term IS NULL").select("hash", F.col("df").alias("bound"))
+    keep = F.col("df") <= F.lit(max_share) * n_texts
+    vectors = materialize(_record_weights(records, stop_words, F.broadcast(known), keep, n_texts), "record-vectors")
+    # Texts are dealt by their identity once; whatever is grouped by text after that stays where it is.
+    issues = distinct.filter("n_issues > 0").repartition("text_id")
+    df = F.coalesce("df", F.least("bound", n_texts))
+    weighted = (
+        term_counts(issues, stop_words, "text_id")
+        .join(F.broadcast(known), "term", "left")
+        .withColumn("hash", F.when(F.col("df").isNull(), by_hash))
+        .join(F.broadcast(bounds), "hash", "left")
+        .withColumn("df", df)
+        .filter(keep)
+        .select("text_id", "term", _weight(F.col("tf"), F.col("df"), n_texts).alias("w"))
+    )
+    # A text has a sum with each record and one with none, its own square.
+    nobody = vectors.select("term").distinct().select(
+        F.lit(None).cast("binary").alias("record_text"), "term", F.lit(None).cast("double").alias("record_w")
+    )
+    sums = (
+        weighted.join(F.broadcast(materialize(vectors.union(nobody), "record-sides")), "term", "left")
+        .groupBy("text_id", "record_text")
+        .agg(F.sum(F.col("w") * F.coalesce("record_w", "w")).alias("sum"))
+    )
+    best = sums.groupBy("text_id").agg(
+        F.sqrt(F.max(F.when(F.col("record_text").isNull(), F.col("sum")))).alias("norm"),
+        F.max(F.when(F.col("record_text").isNotNull(), F.col("sum"))).alias("most"),
+    )
+    return materialize(best.filter(F.col("most") / F.col("norm") >= threshold - _SLACK).select("text_id"), "candidates")
+
+
+def _chosen_texts(distinct: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The records' texts and those with a chosen id, written."""
+    ids = chosen.withColumn("chosen", F.lit(True))
+    if chosen.count() <= _BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    return materialize(distinct.join(ids, "text_id", "left").filter("n_records > 0 OR chosen").drop("chosen"), "chosen-texts")
+
+
+def _filtered(entries: DataFrame, terms: DataFrame) -> DataFrame:
+    """The entries of ``terms``, and few others: a filter with some 16 bits for each term, by hash, is broadcast."""
+    words = max(1, min(_FILTER_WORDS, terms.count() // 4))
+    word = F.pmod(F.shiftrightunsigned(F.xxhash64("term"), 6), F.lit(words)).alias("word")
+    bit = F.expr("shiftleft(1L, CAST(xxhash64(term) & 63 AS INT))")
+    bits = terms.groupBy(word).agg(F.bit_or(bit).alias("bits"))
+    marked = entries.withColumn("word", word).join(F.broadcast(bits), "word")
+    return marked.filter(F.col("bits").bitwiseAND(bit) != 0).drop("word", "bits")
+
+
 def _weighted_terms(
-    texts: _Texts, stop_words: Sequence[str], max_share: float
+    texts: _Texts, stop_words: Sequence[str], max_share: float, chosen: DataFrame | None = None
 ) -> DataFrame:
     """Weights before normalisation: text_id, n_issues, n_records, term, df, shared, weight.
 
     Terms found in more than ``max_share`` of all texts are dropped. ``shared``
     marks terms some record contains; the others only matter for the norm.
+    With ``chosen`` text ids, of these texts and the records only; frequencies
+    are those over all texts.
 
     Frequent terms would be hot keys of the join of terms with frequencies.
     At most ``_HOT_TERMS`` terms can each hold more than that fraction of all
     entries, so these few are broadcast and their entries get a join key salted
     by text.
     """
-    # A text of n characters has at most 2 (n + 1) / 3 words and word pairs.
-    totals = (
-        texts.sizes.agg(
-            F.struct(
-                F.count("*").cast("double").alias("n_texts"),
-                (F.sum(F.col("n_chars") + 1) * 2 / 3 / _HOT_TERMS).alias("hot_from"),
-            ).alias("totals")
-        )
-    ).scalar()
-    n_texts, hot_from = totals["n_texts"], totals["hot_from"]
-    counts = term_counts(texts.distinct, stop_words, "text_id", "n_issues", "n_records")
+    totals = _totals(texts.distinct)
+    n_texts, hot_from = totals["n_texts"], totals["n_terms"] / _HOT_TERMS
+    wanted = texts.distinct if chosen is None else _chosen_texts(texts.distinct, chosen)
+    counts = term_counts(wanted.repartition("text_id"), stop_words, "text_id", "n_issues", "n_records")
     # For frequencies a text's terms are made distinct within its row, before anything is grouped.
-    frequency = (
-        _terms(texts.distinct, stop_words, "n_issues", "n_records")
-        .select("n_issues", "n_records", F.explode(F.array_distinct("terms")).alias("term"))
-        .groupBy("term")
-        .agg(
-            F.count("*").alias("entries"),
-            F.sum(F.col("n_issues") + F.col("n_records")).alias("df"),
-            F.max(F.col("n_records") > 0).alias("shared"),
-        )
+    entries = _distinct_terms(texts.distinct, stop_words, "n_issues", "n_records")
+    if chosen is not None:
+        terms = materialize(_distinct_terms(wanted, stop_words).distinct(), "wanted-terms")
+        entries = _filtered(entries, terms)
+    frequency = entries.groupBy("term").agg(
+        F.count("*").alias("entries"),
+        F.sum(F.col("n_issues") + F.col("n_records")).alias("df"),
+        F.max(F.col("n_records") > 0).alias("shared"),
     )
     hot = frequency.filter(F.col("entries") > hot_from).select(
         "term", F.col("df").alias("hot_df"), F.col("shared").alias("hot_shared")
@@ -185,10 +308,7 @@ def _weighted_terms(
             "term",
             "df",
             "shared",
-            (
-                (F.log(F.col("tf").cast("double")) + 1)
-                * (F.log((n_texts + 1) / (F.col("df") + 1)) + 1)
-            ).alias("weight"),
+            _weight(F.col("tf"), F.col("df"), n_texts).alias("weight"),
         )
     )
 
@@ -306,9 +426,9 @@ def link_texts(
 ) -> DataFrame:
     """Links between (node_id, text) rows and (corpus_id, external_id, text) rows.
 
-    The term vectors, limited to words the records contain, are written to the
-    shared folder once, as four later reads of them would each repeat the
-    tokenising. Without issues, records or common words there are no links.
+    The distinct texts' words and the term vectors, limited to terms the records
+    contain, are written to the shared folder once, as later reads of them would each repeat
+    what made them. Without issues, records or common words there are no links.
     """
     if threshold <= 0:
         raise ValueError("threshold must be above 0: every pair is similar by 0 or more")
@@ -317,8 +437,10 @@ def link_texts(
         return empty(issues.sparkSession, CROSS_LINKS)
     stop_words = english_stop_words() if stop_words is None else stop_words
     texts = _texts(issues, records)
+    texts = texts._replace(distinct=materialize(_tokenised(texts.distinct, stop_words), "texts"))
+    near = _candidates(texts.distinct, stop_words, max_share, threshold)
     vectors = materialize(
-        _vectors(_weighted_terms(texts, stop_words, max_share)), "vectors"
+        _vectors(_weighted_terms(texts, stop_words, max_share, near)), "vectors"
     )
     links = (
         _similar_texts(vectors, threshold)

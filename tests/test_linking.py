@@ -188,3 +188,28 @@ def test_without_records_nothing_is_tokenised(spark, monkeypatch):
     issues, records = frames(spark, [("n1", "memory error in loop")], [("r1", None)])
     assert linking.link_texts(issues, records).columns == CROSS_LINKS.names
     assert linking.link_texts(issues, records.limit(0)).count() == 0
+
+
+def test_issues_far_from_every_record_go_before_frequencies_are_counted(spark, monkeypatch):
+    """Only candidates and records are weighted; links are those of all texts, also where hashes bound badly."""
+    issues = [(f"n{i}", " ".join(f"w{i}x{j}" for j in range(40)) + f" common{i % 3} planner") for i in range(50)]
+    issues += [("copy", "planner retry crash common1 loop"), ("near", "retry crash somewhere else common2")]
+    records = [("r0", "planner retry crash loop"), ("r1", "quarterly revenue of chains common1")]
+    want = brute_force(issues, records, 0.2)
+    weighted, filtered = linking._weighted_terms, []
+
+    def seen(*args):
+        out = weighted(*args)
+        filtered.append(out.select("text_id").distinct().count())
+        return out
+
+    monkeypatch.setattr(linking, "_weighted_terms", seen)
+    for limits, most in (({}, 10), ({"_HASHES": 1, "_FILTER_WORDS": 1, "_BROADCAST_IDS": 0}, 54)):
+        for name, value in limits.items():
+            monkeypatch.setattr(linking, name, value)
+        got = linked(spark, issues, records, 0.2)
+        assert got.keys() == want.keys() and all(math.isclose(got[k], want[k]) for k in want)
+        assert filtered[-1] <= most
+    monkeypatch.setattr(linking, "_BROADCAST_TERMS", 3)
+    got = linked(spark, issues, records, 0.2)
+    assert got.keys() == want.keys() and filtered[-1] == 54
