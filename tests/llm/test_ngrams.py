@@ -105,3 +105,29 @@ def test_filter_that_is_not_broadcast(spark, sf_dir, monkeypatch, tokens):
     assert [r[:5] for r in got] == [r[:5] for r in want]
     assert np.allclose([r[5:] for r in got], [r[5:] for r in want], rtol=0, atol=1e-9)
     assert g.score(docs.limit(0)).count() == 0
+
+
+def test_probes_of_a_filter_that_is_not_broadcast_are_small(spark, monkeypatch):
+    """A row for each chunk and segment, and a byte for each level; also where a chunk is read in pieces."""
+    texts = [" ".join(f"w{k}x{i % (k + 7)}" for i in range(60)) for k in range(400)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    monkeypatch.setattr(g, "SEGMENT_TOKENS", 5_000)
+    want = sorted(map(tuple, g.score(docs).collect()))
+    written, kept = {}, g.materialize
+
+    def seen(df, tag):
+        written[tag] = out = kept(df, tag)
+        return out
+
+    monkeypatch.setattr(g, "materialize", seen)
+    monkeypatch.setattr(g, "BROADCAST_BYTES", -1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "90")
+    try:
+        got = sorted(map(tuple, g.score(docs).collect()))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert [r[:5] for r in got] == [r[:5] for r in want] and np.allclose([r[5:] for r in got], [r[5:] for r in want], rtol=0, atol=1e-9)
+    levels = written["levels"]
+    assert "probes" not in written and levels.count() < 40 * g.segments_for(24_400)
+    grams = np.unique(np.random.default_rng(1).integers(0, 1 << 63, 5000, np.uint64))
+    assert (g._unpacked(g._packed(grams)) == grams).all() and len(g._packed(grams)) == 40_000
